@@ -5,13 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lamina.llm import quality
+from lamina.llm import decontaminate, quality, warc
 from lamina.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", ids, "contaminated")
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -19,8 +30,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op10_quality": op10_quality}
+    return {f.__name__: f for f in (op2_decontaminate, op8_warc, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_quality": quality.oracle_sql()}
+    return {"op2_decontaminate": decontaminate.oracle_sql(), "op8_warc": warc.oracle_sql(), "op10_quality": quality.oracle_sql()}
