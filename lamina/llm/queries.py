@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, mixing, quality, warc
-from lamina.llm.shared import table
+from lamina.llm import decontaminate, langid, mixing, quality, toxicity, warc
+from lamina.llm.shared import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,19 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", ids, "contaminated")
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = langid.identify(docs, docs.filter(remainder(F.col("doc_id"), 3) != 1))
+    return out.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(remainder(F.col("doc_id"), 5) != 0))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return toxicity.score(docs, model).select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", predicted)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -34,7 +47,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_decontaminate, op8_warc, op9_mixing, op10_quality)}
+    return {f.__name__: f for f in (op2_decontaminate, op5_langid, op6_toxicity, op8_warc, op9_mixing, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
