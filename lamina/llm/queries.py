@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, langid, mixing, quality, toxicity, warc
+from lamina.llm import decontaminate, langid, mixing, quality, tokens, toxicity, warc
 from lamina.llm.shared import remainder, table
 
+#: A public vocabulary; its path is a parameter of the operator.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -32,6 +36,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", predicted)
 
 
+def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = tokens.round_trip(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False)
+    return out.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -47,7 +56,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_decontaminate, op5_langid, op6_toxicity, op8_warc, op9_mixing, op10_quality)}
+    return {f.__name__: f for f in (op2_decontaminate, op5_langid, op6_toxicity, op7_tokens, op8_warc, op9_mixing, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:

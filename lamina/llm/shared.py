@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import posixpath
 import tempfile
 import uuid
@@ -10,6 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +45,25 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a URI or plain path, and the path in it."""
+    return (pafs.LocalFileSystem(), path) if path.startswith("/") else pafs.FileSystem.from_uri(path)
+
+
+def put(path: str, parts: Iterator[bytes]) -> int:
+    """Writes a file under a name of its own, then moves it to `path`; returns its bytes."""
+    fs, at = store(path)
+    fs.create_dir(os.path.dirname(at), recursive=True)
+    own = f"{at}.{TaskContext.get().taskAttemptId() if TaskContext.get() else 0}.part"
+    n = 0
+    with fs.open_output_stream(own) as out:
+        for part in parts:
+            out.write(part)
+            n += len(part)
+    fs.move(own, at)
+    return n
+
+
 def remainder(key: Column, n: int) -> Column:
     """crc32 of the key as text, modulo n."""
     return F.crc32(key.cast("string").cast("binary")) % n

@@ -15,18 +15,16 @@ result; columns other than id, url and payload are left out.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 from hashlib import sha256
 
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm.shared import shared_dir
+from lamina.llm.shared import put, shared_dir, store
 
 #: Fixed by the contract: payloads below this many bytes are never revisits.
 MIN_BYTES = 100
@@ -38,25 +36,6 @@ CHUNK = 1 << 18
 SALTS = 16
 
 
-def store(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a URI or plain path, and the path in it."""
-    return (pafs.LocalFileSystem(), path) if path.startswith("/") else pafs.FileSystem.from_uri(path)
-
-
-def put(path: str, parts: Iterator[bytes]) -> int:
-    """Writes a file under a name of its own, then moves it to `path`; returns its bytes."""
-    fs, at = store(path)
-    fs.create_dir(os.path.dirname(at), recursive=True)
-    own = f"{at}.{TaskContext.get().taskAttemptId() if TaskContext.get() else 0}.part"
-    n = 0
-    with fs.open_output_stream(own) as out:
-        for part in parts:
-            out.write(part)
-            n += len(part)
-    fs.move(own, at)
-    return n
-
-
 def record(page: int, url: str | None, payload: bytes, digest: str, first: int | None, date: str) -> bytes:
     """One gzip member with a response record, or with a revisit record of `first`."""
     head = HTTP % len(payload)
