@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, langid, mixing, quality, tokens, toxicity, warc
+from lamina.llm import decontaminate, langid, mixing, ngram_join, quality, tokens, toxicity, warc
 from lamina.llm.shared import remainder, table
 
 #: A public vocabulary; its path is a parameter of the operator.
@@ -23,6 +23,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", ids, "contaminated")
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = langid.identify(docs, docs.filter(remainder(F.col("doc_id"), 3) != 1))
@@ -56,8 +60,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_decontaminate, op5_langid, op6_toxicity, op7_tokens, op8_warc, op9_mixing, op10_quality)}
+    return {f.__name__: f for f in (op2_decontaminate, op3_ngram_join, op5_langid, op6_toxicity, op7_tokens, op8_warc, op9_mixing, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": decontaminate.oracle_sql(), "op8_warc": warc.oracle_sql(), "op10_quality": quality.oracle_sql()}
+    return {"op2_decontaminate": decontaminate.oracle_sql(), "op3_ngram_join": ngram_join.oracle_sql(), "op8_warc": warc.oracle_sql(), "op10_quality": quality.oracle_sql()}
