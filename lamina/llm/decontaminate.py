@@ -96,8 +96,8 @@ def spans(text: bytes, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 FIELDS = "n_words long, hit_ranges array<struct<first:long,last:long>>, hit_spans array<struct<start:long,end:long>>, items array<string>"
 
 
-def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document: key, n_words, hit_ranges (words), hit_spans (bytes of the text), items."""
+def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES, keep: str | None = None) -> DataFrame:
+    """Per document: key, n_words, hit_ranges (words), hit_spans (bytes of the text), items; with one automaton also the column `keep`."""
     spark = docs.sparkSession
     sized = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text"))
     blocks: list[list] = [[]]
@@ -111,7 +111,12 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
         blocks[-1].append((row["item"], row["text"]))
         filled += cost
     narrow = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    if len(blocks) > 1:
+        keep = None
+    if keep:
+        narrow = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.col(f"`{keep}`").alias("row"))
     kind = narrow.schema["key"].dataType.simpleString()
+    also = f", row {narrow.schema['row'].dataType.simpleString()}" if keep else ""
     parts = []
     for block in blocks:
         held = spark.sparkContext.broadcast(block)
@@ -130,11 +135,11 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
                 word = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
                 byte = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("key"), pa.array(cols[0], pa.int64()), pa.array(cols[1], word), pa.array(cols[2], byte), pa.array(cols[3], pa.list_(pa.string()))],
-                    names=["key", "n_words", "hit_ranges", "hit_spans", "items"],
+                    [batch.column("key"), pa.array(cols[0], pa.int64()), pa.array(cols[1], word), pa.array(cols[2], byte), pa.array(cols[3], pa.list_(pa.string())), *([batch.column("row")] if keep else [])],
+                    names=["key", "n_words", "hit_ranges", "hit_spans", "items", *(["row"] if keep else [])],
                 )
 
-        parts.append(narrow.mapInArrow(run, f"key {kind}, {FIELDS}"))
+        parts.append(narrow.mapInArrow(run, f"key {kind}, {FIELDS}{also}"))
     out = parts[0]
     if len(parts) > 1:
         # several passes are merged by key, which has to be unique then
@@ -160,6 +165,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     return out.select(
         F.col("key").alias(key), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "hit_ranges", "hit_spans",
         ((F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        *([F.col("row").alias(keep)] if keep else []),
     )
 
 

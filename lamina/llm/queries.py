@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, langid, mixing, ngram_join, quality, tokens, toxicity, warc
+from lamina.llm import decontaminate, langid, mixing, ngram_join, quality, suffix_dedup, tokens, toxicity, warc
 from lamina.llm.shared import remainder, table
 
 #: A public vocabulary; its path is a parameter of the operator.
@@ -17,6 +17,10 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")
@@ -60,7 +64,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_decontaminate, op3_ngram_join, op5_langid, op6_toxicity, op7_tokens, op8_warc, op9_mixing, op10_quality)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_decontaminate, op3_ngram_join, op5_langid, op6_toxicity, op7_tokens, op8_warc, op9_mixing, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
