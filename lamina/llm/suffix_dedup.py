@@ -47,6 +47,10 @@ LENGTH = 50
 GRAM, TRIGGER_BYTES, PHRASE_BYTES = 16, 6, 5
 #: Phrases that a task gathers before it sends them; rows from which a trigger is spread; most such triggers.
 CHUNK, HOT, MOST_HOT = 1 << 20, 1000, 1 << 20
+#: Phrases of one trigger that a task sends; of more it sends only that there are many.
+FEW = 8
+#: Bytes of phrases that a task gathers before it sends them as text.
+TEXT_CHUNK = 16 << 20
 LOW = np.uint64((1 << (8 * TRIGGER_BYTES)) - 1)
 
 
@@ -106,12 +110,56 @@ def settled(trigger: np.ndarray, phrase: np.ndarray) -> np.ndarray:
     return mix(trigger * np.uint64(0x9E3779B97F4A7C15) + phrase)
 
 
-def by_key(docs: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
-    order = np.argsort(docs, kind="stable")
-    docs, columns = docs[order], [c[order] for c in columns]
-    head = heads(docs)
-    for a, b in zip(head, np.append(head[1:], len(docs)), strict=False):
-        yield int(docs[a]), *(c[a:b].tobytes() for c in columns)
+def merged(key: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of starts, sorted by key, with touching and overlapping ones joined."""
+    order = np.lexsort((start, key))
+    key, start, end = key[order], start[order], (start + count)[order]
+    if not len(key):
+        return key, start, end
+    head = heads(key)
+    # ends are made to rise through all keys, so that one running maximum serves
+    shift = np.zeros(len(key), np.int64)
+    shift[head[1:]] = end.max() + 1
+    shift = np.cumsum(shift)
+    top = np.maximum.accumulate(end + shift)
+    new = np.ones(len(key), bool)
+    new[1:] = (start + shift)[1:] > top[:-1]
+    at = np.flatnonzero(new)
+    return key[at], start[at], (top - shift)[np.append(at[1:], len(key)) - 1] - start[at]
+
+
+def dealt(keys: np.ndarray, parts: int, *columns: np.ndarray) -> Iterator[tuple]:
+    """(part, keys, columns …) as bytes, a key's rows all in one part."""
+    part = (mix(keys.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    cut = np.searchsorted(part[order], np.arange(parts + 1))
+    for p in np.flatnonzero(np.diff(cut)):
+        o = order[cut[p] : cut[p + 1]]
+        yield int(p), keys[o].tobytes(), *(c[o].tobytes() for c in columns)
+
+
+def gathered(packed: DataFrame, parts: int) -> DataFrame:
+    """From packed rows (part, keys, a, b) one row (key, a, b) for each key; a and b hold 8-byte values."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [[np.frombuffer(v or b"", np.int64) for v in r.values()] for batch in batches for r in batch.select(["keys", "a", "b", "more"]).to_pylist()]
+        if not rows:
+            return
+        keys, a, b, more = (np.concatenate(c) for c in zip(*rows, strict=True))
+        order = np.argsort(keys, kind="stable")
+        keys, a, b, more = keys[order], a[order], b[order], more[order].astype(bool)
+        head = heads(keys)
+        # a row of kind "more" has its value in a for the second list
+        for at in range(0, len(head), 4096):
+            ends = np.append(head, len(keys))[at : at + 4097]
+            if more.any():
+                first = [a[x:y][~more[x:y]].tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)]
+                second = [a[x:y][more[x:y]].tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)]
+            else:
+                first, second = ([c[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)] for c in (a, b))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[ends[:-1]]), pa.array(first, pa.binary()), pa.array(second, pa.binary())], names=["key", "a", "b"])
+
+    return packed.repartitionById(parts, "part").mapInArrow(run, "key long, a binary, b binary")
 
 
 def parts_of(docs: DataFrame) -> int:
@@ -119,7 +167,11 @@ def parts_of(docs: DataFrame) -> int:
 
 
 def parse(rows: DataFrame, parts: int, hot_rows: int = HOT) -> DataFrame:
-    """Per text: which phrases are settled as a whole, which triggers have several phrases; and the hot triggers."""
+    """Packed by text: phrases that are settled as a whole, and triggers (more) with several phrases; in part null, hot triggers."""
+
+    def answers(key: np.ndarray, value: np.ndarray, more: bool) -> Iterator[tuple]:
+        return dealt(key, parts, value, np.zeros(len(key), np.int64), np.full(len(key), more, np.int64))
+
     kinds = [pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
     names = ["part", "sure", "base", "width", "a", "b", "c", "d"]
 
@@ -127,27 +179,31 @@ def parse(rows: DataFrame, parts: int, hot_rows: int = HOT) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered: list[tuple] = []
-        held = turn = 0
+        found: list[tuple] = []
+        held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal turn
-            doc, trigger, phrase = (np.concatenate(c) for c in zip(*gathered, strict=True))
+            doc, trigger, phrase = (np.concatenate(c) for c in zip(*found, strict=True))
             order = np.lexsort((doc, phrase, trigger))
             doc, trigger, phrase = doc[order], trigger[order], phrase[order]
             keep = heads(trigger, phrase, doc)
             doc, trigger, phrase = doc[keep], trigger[keep], phrase[keep]
+            head = heads(trigger, phrase)
+            size = np.diff(np.append(head, len(doc)))
+            later = doc != np.repeat(doc[head], size)
+            out = [(p, True, 0, 0, *row) for p, *row in answers(doc[later], settled(trigger, phrase)[later], False)]
+            # the smallest key of each phrase goes on; of a trigger with many phrases only the fact, as phrase 0
+            doc, trigger, phrase = doc[head], trigger[head], phrase[head]
             head = heads(trigger)
             count = np.diff(np.append(head, len(doc)))
-            last = head + count - 1
-            several = phrase[head] != phrase[last]
-            many = np.repeat(several, count)
-            later = ~many & (doc != np.repeat(doc[head], count))
-            turn += 1
-            out = [(turn % parts, True, 0, 0, doc[later].tobytes(), settled(trigger, phrase)[later].tobytes(), doc[many].tobytes(), trigger[many].tobytes())]
-            # one entry for each trigger; phrase 0 says that there are several
-            t, p, d = trigger[head], np.where(several, np.uint64(0), phrase[head]), doc[head]
-            n = np.minimum(count, 255).astype(np.uint8)
+            size = np.minimum(np.add.reduceat(size, head), 255).astype(np.uint8)
+            many = count > FEW
+            told = np.repeat(many, count)
+            out += [(p, True, 0, 0, *row) for p, *row in answers(doc[told], trigger[told], True)]
+            phrase[head[many]] = 0
+            told[head] = False
+            n = np.repeat(size, count)[~told]
+            t, p, d = trigger[~told], phrase[~told], doc[~told]
             part = (mix(t) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             t, p, d, n = t[order], p[order], d[order], n[order]
@@ -168,48 +224,47 @@ def parse(rows: DataFrame, parts: int, hot_rows: int = HOT) -> DataFrame:
                 row, _, _, trigger, phrase = phrases(data[at[i] : at[j]], at[i : j + 1] - at[i])
                 if not len(row):
                     continue
-                gathered.append((keys[i:j][row], trigger & LOW, np.maximum(phrase & np.uint64((1 << (8 * PHRASE_BYTES)) - 1), np.uint64(1))))
+                found.append((keys[i:j][row], trigger & LOW, np.maximum(phrase & np.uint64((1 << (8 * PHRASE_BYTES)) - 1), np.uint64(1))))
                 held += len(row)
                 if held >= CHUNK:
                     yield from flush()
-                    gathered.clear()
+                    found.clear()
                     held = 0
         if held:
             yield from flush()
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns: list[tuple] = []
-        whole, mixed = (lambda d, s: [(k, v, b"") for k, v in by_key(d, s)]), (lambda d, t: [(k, b"", v) for k, v in by_key(d, t)])
-        out_names, out_kinds = ["key", "settled", "mixed"], [pa.int64(), pa.binary(), pa.binary()]
-        hot = np.zeros(0, np.uint64)
+        names, kinds = ["part", "keys", "a", "b", "more"], [pa.int32(), *[pa.binary()] * 4]
         for batch in batches:
             for r in batch.to_pylist():
                 if r["sure"]:
-                    done = whole(np.frombuffer(r["a"], np.int64), np.frombuffer(r["b"], np.uint64)) + mixed(np.frombuffer(r["c"], np.int64), np.frombuffer(r["d"], np.uint64))
-                    if done:
-                        yield batch_of(done, out_names, out_kinds)
+                    yield batch_of([(r["part"], r["a"], r["b"], r["c"], r["d"])], names, kinds)
                 else:
                     columns.append((wide(r["a"], TRIGGER_BYTES), wide(r["b"], PHRASE_BYTES), wide(r["c"], r["width"]).astype(np.int64) + r["base"], np.frombuffer(r["d"], np.uint8)))
-        if columns:
-            t, p, d, n = (np.concatenate(c) for c in zip(*columns, strict=True))
-            columns.clear()
-            order = np.lexsort((d, p, t))
-            t, p, d, n = t[order], p[order], d[order], n[order]
-            head = heads(t)
-            count = np.diff(np.append(head, len(t)))
-            one = (p[head] == p[head + count - 1]) & (p[head] != 0)
-            first = np.minimum.reduceat(d, head)
-            same = np.repeat(one, count)
-            later, other = same & (d != np.repeat(first, count)), np.repeat(~one & (count > 1), count) & (p != 0)
-            hot = t[head][np.add.reduceat(n.astype(np.int64), head) >= hot_rows]
-            done = whole(d[later], settled(t[later], p[later])) + mixed(d[other], t[other])
-            if len(hot):
-                done.append((None, b"", hot.tobytes()))
-            for i in range(0, len(done), 5000):
-                yield batch_of(done[i : i + 5000], out_names, out_kinds)
+        if not columns:
+            return
+        t, p, d, n = (np.concatenate(c) for c in zip(*columns, strict=True))
+        columns.clear()
+        order = np.lexsort((d, p, t))
+        t, p, d, n = t[order], p[order], d[order], n[order]
+        head = heads(t)
+        hot = t[head][np.add.reduceat(n.astype(np.int64), head) >= hot_rows]
+        count = np.diff(np.append(head, len(t)))
+        several = np.repeat(p[head] != p[head + count - 1], count) & (p != 0)
+        head = heads(t, p)
+        first = np.zeros(len(t), bool)
+        first[head] = True
+        later = (p != 0) & (d != np.repeat(d[head], np.diff(np.append(head, len(t)))))
+        ask = several & first
+        done = [*answers(d[later], settled(t[later], p[later]), False), *answers(d[ask], t[ask], True)]
+        if len(hot):
+            done.append((None, b"", hot.tobytes(), b"", b""))
+        if done:
+            yield batch_of(done, names, kinds)
 
     sent = rows.filter("key IS NOT NULL").mapInArrow(send, "part int, sure boolean, base long, width int, a binary, b binary, c binary, d binary")
-    return sent.repartitionById(parts, "part").mapInArrow(match, "key long, settled binary, mixed binary")
+    return sent.repartitionById(parts, "part").mapInArrow(match, "part int, keys binary, a binary, b binary, more binary")
 
 
 def corpus_order(text: np.ndarray, start: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -240,7 +295,7 @@ def corpus_order(text: np.ndarray, start: np.ndarray, key: np.ndarray) -> np.nda
 
 
 def compare(joined: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
-    """(key, starts, counts) of settled starts, from texts with the findings of `parse`."""
+    """Packed by text: settled starts (a) and how many follow one another (b), from texts with the findings of `parse`."""
     held = joined.sparkSession.sparkContext.broadcast(np.sort(hot))  # MOST_HOT numbers at most
     names = ["part", "sure", "keys", "triggers", "starts", "counts", "text"]
     kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 5]
@@ -254,34 +309,12 @@ def compare(joined: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
         return text[np.arange(int(size.sum())) + np.repeat(start - into, size)], into
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spread, turn = held.value, 0
-        for batch in batches:
-            sure: list[tuple] = []
-            asked: list[tuple] = []
-            done, mixed = batch.column("settled"), batch.column("mixed")
-            use = [k for k in range(batch.num_rows) if done[k].is_valid]
-            if not use:
-                continue
-            batch = batch.take(pa.array(use))
-            done, mixed, keys = batch.column("settled").to_pylist(), batch.column("mixed").to_pylist(), batch.column("key").to_numpy()
-            data, at = string_bytes(batch.column("text"))
-            for i, j in blocks(at):
-                text = data[at[i] : at[j]]
-                row, first, count, trigger, phrase = phrases(text, at[i : j + 1] - at[i])
-                trigger = trigger & LOW
-                code = settled(trigger, np.maximum(phrase & np.uint64((1 << (8 * PHRASE_BYTES)) - 1), np.uint64(1)))
-                cut = np.searchsorted(row, np.arange(j - i + 1))
-                yes, ask = np.zeros(len(row), bool), np.zeros(len(row), bool)
-                for k in range(j - i):
-                    part = slice(cut[k], cut[k + 1])
-                    yes[part] = np.isin(code[part], np.frombuffer(b"".join(done[i + k]), np.uint64))
-                    ask[part] = np.isin(trigger[part], np.frombuffer(b"".join(mixed[i + k]), np.uint64))
-                ask &= ~yes
-                inside = first - (at[i : j + 1] - at[i])[row]
-                sure.append((keys[i:j][row][yes], inside[yes], count[yes]))
-                asked.append((keys[i:j][row][ask], trigger[ask], inside[ask], count[ask], *pieces(text, first[ask], count[ask] + LENGTH - 1)))
-            key, trigger, inside, count = (np.concatenate([a[c] for a in asked]) for c in range(4))
-            text = np.concatenate([a[4] for a in asked])
+        spread = held.value
+        sure: list[tuple] = []
+        asked: list[tuple] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            key, trigger, inside, count, text = (np.concatenate(c) for c in zip(*asked, strict=True))
             into = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
             if len(spread) and len(trigger):
                 is_hot = spread[np.minimum(np.searchsorted(spread, trigger), len(spread) - 1)] == trigger
@@ -296,33 +329,65 @@ def compare(joined: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
                 equal = (text[place[:, None] + np.arange(LENGTH)] == text[np.repeat(place[head], size)[:, None] + np.arange(LENGTH)]).all(1) if len(h) else np.zeros(0, bool)
                 later = equal & (owner != np.repeat(owner[head], size))
                 sure.append((owner[later], home[later], np.ones(int(later.sum()), np.int64)))
-                # the smallest key's starts of a string stand for all of this task
-                left = ~later
+                # the smallest key's starts of a string stand for all that the task holds here
+                left, cold = ~later, ~is_hot
                 bytes_of, _ = pieces(text, place[left], np.full(int(left.sum()), LENGTH))
-                cold = ~is_hot
                 rest, _ = pieces(text, into[cold], count[cold] + LENGTH - 1)
                 key, trigger, inside = np.append(key[cold], owner[left]), np.append(trigger[cold], h[left]), np.append(inside[cold], home[left])
                 count = np.append(count[cold], np.ones(int(left.sum()), np.int64))
                 text = np.append(rest, bytes_of)
                 into = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
-            turn += 1
-            k, s, c = (np.concatenate(x) for x in zip(*sure, strict=True))
-            rows = [(turn % parts, True, k.tobytes(), b"", s.astype(np.int64).tobytes(), c.astype(np.int64).tobytes(), b"")]
+            done = merged(*(np.concatenate(x) for x in zip(*sure, strict=True)))
+            rows = [(p, True, k, b"", s, c, b"") for p, k, s, c in dealt(done[0], parts, *done[1:])]
             part = (mix(trigger + np.uint64(1)) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             cut = np.searchsorted(part[order], np.arange(parts + 1))
-            for p in range(parts):
+            for p in np.flatnonzero(np.diff(cut)):
                 o = order[cut[p] : cut[p + 1]]
-                if len(o):
-                    body, _ = pieces(text, into[o], count[o] + LENGTH - 1)
-                    rows.append((p, False, key[o].tobytes(), trigger[o].tobytes(), inside[o].astype(np.int64).tobytes(), count[o].astype(np.uint8).tobytes(), body.tobytes()))
-            yield batch_of(rows)
+                body, _ = pieces(text, into[o], count[o] + LENGTH - 1)
+                rows.append((int(p), False, key[o].tobytes(), trigger[o].tobytes(), inside[o].astype(np.int64).tobytes(), count[o].astype(np.uint8).tobytes(), body.tobytes()))
+            if rows:
+                yield batch_of(rows)
+
+        size = 0
+        for batch in batches:
+            use = np.flatnonzero(~np.asarray(batch.column("a").is_null()))
+            if not len(use):
+                continue
+            batch = batch.take(pa.array(use))
+            done, mixed, keys = batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("key").to_numpy()
+            data, at = string_bytes(batch.column("text"))
+            for i, j in blocks(at):
+                text = data[at[i] : at[j]]
+                row, first, count, trigger, phrase = phrases(text, at[i : j + 1] - at[i])
+                trigger = trigger & LOW
+                code = settled(trigger, np.maximum(phrase & np.uint64((1 << (8 * PHRASE_BYTES)) - 1), np.uint64(1)))
+                cut = np.searchsorted(row, np.arange(j - i + 1))
+                yes, ask = np.zeros(len(row), bool), np.zeros(len(row), bool)
+                for k in range(j - i):
+                    part = slice(cut[k], cut[k + 1])
+                    if done[i + k]:
+                        yes[part] = np.isin(code[part], np.frombuffer(done[i + k], np.uint64))
+                    if mixed[i + k]:
+                        ask[part] = np.isin(trigger[part], np.frombuffer(mixed[i + k], np.uint64))
+                ask &= ~yes
+                inside = first - (at[i : j + 1] - at[i])[row]
+                sure.append((keys[i:j][row][yes], inside[yes], count[yes]))
+                asked.append((keys[i:j][row][ask], trigger[ask], inside[ask], count[ask], pieces(text, first[ask], count[ask] + LENGTH - 1)[0]))
+                size += len(asked[-1][4]) + 24 * len(sure[-1][0])
+                if size >= TEXT_CHUNK:
+                    yield from flush()
+                    sure.clear(), asked.clear()
+                    size = 0
+        if asked:
+            yield from flush()
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(key: np.ndarray, start: np.ndarray, count: np.ndarray) -> pa.RecordBatch | None:
-            rows = list(by_key(key, start, count))
+            key, start, count = merged(key, start, count)
+            rows = list(dealt(key, parts, start, count, np.zeros(len(key), np.int64)))
             if rows:
-                return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["key", "starts", "counts"])
+                return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], names=["part", "keys", "a", "b", "more"])
 
         got: list[tuple] = []
         for batch in batches:
@@ -355,7 +420,7 @@ def compare(joined: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
                 yield found
 
     sent = joined.mapInArrow(send, "part int, sure boolean, keys binary, triggers binary, starts binary, counts binary, text binary")
-    return sent.repartitionById(parts, "part").mapInArrow(settle, "key long, starts binary, counts binary")
+    return sent.repartitionById(parts, "part").mapInArrow(settle, "part int, keys binary, a binary, b binary, more binary")
 
 
 def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = True, hot_rows: int = HOT) -> DataFrame:
@@ -364,27 +429,27 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text:
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     found = materialize(parse(rows, parts, hot_rows))
     hot = np.zeros(0, np.uint64)
-    for r in found.filter("key IS NULL").select("mixed").limit(1 << 16).toLocalIterator():
-        hot = np.append(hot, np.frombuffer(r["mixed"], np.uint64))
-    if len(hot) > MOST_HOT:
-        raise ValueError(f"more than {MOST_HOT} triggers in {hot_rows} rows or more: raise hot_rows")
-    per_text = found.filter("key IS NOT NULL").groupBy("key").agg(F.collect_list("settled").alias("settled"), F.collect_list("mixed").alias("mixed"))
+    for r in found.filter("part IS NULL").select("a").toLocalIterator():
+        hot = np.append(hot, np.frombuffer(r["a"], np.uint64))
+        if len(hot) > MOST_HOT:
+            raise ValueError(f"more than {MOST_HOT} triggers in {hot_rows} rows or more: raise hot_rows")
+    per_text = gathered(found.filter("part IS NOT NULL"), parts)
     # both joins are outer ones over the same rows, so that one shuffle of the texts serves both
-    marks = compare(rows.join(per_text, "key", "left"), hot, parts).groupBy("key").agg(F.collect_list("starts").alias("starts"), F.collect_list("counts").alias("counts"))
+    marks = gathered(compare(rows.join(per_text, "key", "left"), hot, parts), parts)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             data, at = string_bytes(batch.column("text"))
             raw = data.tobytes()
-            starts, counts = batch.column("starts").to_pylist(), batch.column("counts").to_pylist()
+            starts, counts = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             size, removed, spans, digest, kept, where = [], [], [], [], [], []
             for i in range(batch.num_rows):
                 t = raw[at[i] : at[i + 1]]
                 a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
                 if starts[i]:
-                    a = np.frombuffer(b"".join(starts[i]), np.int64)
-                    b = a + np.frombuffer(b"".join(counts[i]), np.int64) + LENGTH - 1
+                    a = np.frombuffer(starts[i], np.int64)
+                    b = a + np.frombuffer(counts[i], np.int64) + LENGTH - 1
                     order = np.argsort(a, kind="stable")
                     a, b = a[order], np.maximum.accumulate(b[order])
                     gap = np.flatnonzero(a[1:] > b[:-1])
