@@ -71,12 +71,25 @@ def band(n: Column, percent: int = PERCENT) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent)) + F.lit(1e-9)).cast("int")
 
 
-def within(x: str, y: str, percent: int = PERCENT) -> Column:
-    """Whether sizes and signatures of x and y leave a link possible."""
-    n, m = F.col(f"{x}.n").cast("long"), F.col(f"{y}.n").cast("long")
-    apart = sum((F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))) for s in SIGNS), F.lit(0))
-    # overlap <= (n + m - apart) / 2, and a link needs overlap >= percent / (100 + percent) * (n + m)
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * (n + m - apart) >= 2 * percent * (n + m))
+def sized(n: Column, m: Column, percent: int = PERCENT) -> Column:
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
+def bounded(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT, share: int = 1) -> DataFrame:
+    """Pairs (a, b) whose sizes, prefixes and signatures leave a link possible; c: the prefix hashes they share.
+
+    A link needs overlap >= percent / (100 + percent) * (n + m). Common elements
+    that are not in both prefixes stand behind the end of one prefix, so overlap
+    <= c + what is behind; and overlap <= (n + m - apart) / 2. With share > 1 that
+    part of the c needed is enough, for pairs of which c has not all.
+    """
+    side = lambda x: classes.select(F.col("id").alias(x), F.col("n").alias(f"{x}n"), *[F.col(s).alias(f"{x}{s}") for s in SIGNS])
+    rows = pairs.join(side("a"), "a").join(side("b"), "b")
+    apart = sum((F.bit_count(F.col(f"a{s}").bitwiseXOR(F.col(f"b{s}"))) for s in SIGNS), F.lit(0))
+    total, larger = F.col("an") + F.col("bn"), F.greatest("an", "bn")
+    behind = F.floor((percent * larger + 99) / 100) - 1
+    fits = sized(F.col("an"), F.col("bn"), percent) & ((100 + percent) * (share * F.col("c") + behind) >= percent * total)
+    return rows.filter(fits & ((100 + percent) * (total - apart) >= 2 * percent * total)).select("a", "b")
 
 
 def sketch(docs: DataFrame, key: str, text: str, percent: int, words: int) -> DataFrame:
@@ -211,27 +224,27 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     sketches = sketch(docs, key, text, percent, words)
     # a set's hash goes with its size: both have to be equal for two texts to be one class
     classes = materialize(sketches.filter("n > 0 AND key IS NOT NULL").groupBy("hash", "n").agg(F.min("key").alias("id"), *[F.first(s).alias(s) for s in SIGNS]))
-    tiles = materialize(shared_prefixes(sketches).join(classes, "hash").drop("hash").withColumn("band", band(F.col("n"), percent)))
-
-    me = F.struct("n", "id", *SIGNS)
-    leads = tiles.groupBy("gram", "band").agg(F.min(me).alias("y"), F.count("*").alias("c")).filter("c > 1").select("gram", "band", "y")
-    met = tiles.withColumn("x", me).select("gram", "band", "x").join(leads, ["gram", "band"]).filter("x.id <> y.id").filter(within("x", "y", percent))
-    met = met.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("c"))
-    met = met.groupBy("a").agg(F.max_by("b", F.struct("c", -F.col("b"))).alias("b"))
-    first = materialize(verified(materialize(met), docs, key, text, percent, words))
+    tiles = materialize(shared_prefixes(sketches).join(classes.select("hash", "id", "n"), "hash").select("gram", "id", F.col("n").cast("int").alias("n")))
+    banded = tiles.withColumn("band", band(F.col("n"), percent))
+
+    leads = banded.groupBy("gram", "band").agg(F.min(F.struct("n", "id")).alias("y"), F.count("*").alias("c")).filter("c > 1").select("gram", "band", "y")
+    met = banded.join(leads, ["gram", "band"]).filter((F.col("id") != F.col("y.id")) & sized(F.col("n"), F.col("y.n"), percent))
+    met = met.groupBy(F.col("id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("c"))
+    met = met.groupBy("a").agg(F.max(F.struct("c", (-F.col("b")).alias("b"))).alias("m")).select("a", (-F.col("m.b")).alias("b"), "m.c")
+    first = materialize(verified(materialize(bounded(met, classes, percent, 4)), docs, key, text, percent, words))
     known = materialize(components(first))
 
     # tiles that hold more than one component: the members outside the largest meet all others
-    named = tiles.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-    mixed = named.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("gram")
-    named = materialize(named.join(mixed, "gram", "left_semi"))
-    largest = named.groupBy("gram", "comp").agg(F.count("*").alias("c")).groupBy("gram").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
-    minor = named.join(largest, "gram").filter("comp <> main").drop("main")
-    near = minor.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    sides = named.join(largest, "gram").withColumn("other", F.col("comp") != F.col("main")).drop("main").alias("x")
-    rule = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.comp") != F.col("y.comp")) & (~F.col("x.other") | (F.col("x.id") < F.col("y.id")))
-    rest = sides.join(near.alias("y"), rule & within("x", "y", percent)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    rest = materialize(rest)
+    named = banded.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    by_comp = materialize(named.groupBy("gram", "comp").agg(F.count("*").alias("c")))
+    largest = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count("*").alias("k")).filter("k > 1").select("gram", "main")
+    named = materialize(named.join(largest, "gram"))
+    near = named.filter("comp <> main").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).alias("y")
+    rule = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.comp") != F.col("y.comp"))
+    rule &= ((F.col("x.comp") == F.col("x.main")) | (F.col("x.id") < F.col("y.id"))) & sized(F.col("x.n"), F.col("y.n"), percent)
+    # such a pair meets in every tile that holds both, so the count is of all prefix hashes that they share
+    rest = named.alias("x").join(near, rule).groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).agg(F.count("*").alias("c"))
+    rest = materialize(bounded(rest, classes, percent))
     links = first
     if not rest.isEmpty():
         links = first.union(verified(rest, docs, key, text, percent, words))
