@@ -5,7 +5,9 @@
    prefix that any partner must share (the smallest n - ceil(t n) + 1 hashes) and
    a bitmap signature: each hash flips one of 512 bits, so bits in which two
    signatures differ are never more than elements in which the sets differ.
-2. Prefix hashes that two classes share make tiles. They are found from packed
+2. Prefix hashes that two classes share make tiles. Hashes that very many classes
+   share are put last in the order of all hashes, so they are in a prefix only where
+   little else is. Tiles are found from packed
    arrays: a task sends each hash once, so a hash in a third of all rows costs one
    entry for each task.
 3. Tiles are banded by set size. First every class meets the smallest class of
@@ -38,6 +40,8 @@ from lamina.llm.shared import blocks, lower_ascii, materialize, mix, prefix_hash
 
 #: Fixed by the contract: words of a shingle, and the similarity in percent.
 WORDS, PERCENT = 4, 85
+#: Classes that share a prefix hash from which it counts as frequent; most of those; how far beyond prefixes they are looked for.
+FREQUENT, MOST_FREQUENT, WIDE = 200, 100_000, 2
 #: 64-bit words of a signature.
 SIGNATURE = 8
 #: Bits of the filter that keeps texts which nothing asks for out of a shuffle; when it is full, all texts pass.
@@ -84,6 +88,8 @@ def bounded(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT, share:
     part of the c needed is enough, for pairs of which c has not all.
     """
     side = lambda x: classes.select(F.col("id").alias(x), F.col("n").alias(f"{x}n"), *[F.col(s).alias(f"{x}{s}") for s in SIGNS])
+    if "most" in pairs.columns:  # sizes are known: what the prefixes rule out needs no join
+        pairs = pairs.filter((100 + percent) * (share * F.col("c") + F.floor((percent * F.col("most") + 99) / 100) - 1) >= percent * F.col("sum"))
     rows = pairs.join(side("a"), "a").join(side("b"), "b")
     apart = sum((F.bit_count(F.col(f"a{s}").bitwiseXOR(F.col(f"b{s}"))) for s in SIGNS), F.lit(0))
     total, larger = F.col("an") + F.col("bn"), F.greatest("an", "bn")
@@ -92,7 +98,16 @@ def bounded(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT, share:
     return rows.filter(fits & ((100 + percent) * (total - apart) >= 2 * percent * total)).select("a", "b")
 
 
-def sketch(docs: DataFrame, key: str, text: str, percent: int, words: int) -> DataFrame:
+def sketch(docs: DataFrame, key: str, text: str, percent: int, words: int, last: np.ndarray | None = None) -> DataFrame:
+    """Size, hash, signature and the leading hashes (WIDE times the prefix) of each set; hashes in `last` (sorted) come last."""
+    held = docs.sparkSession.sparkContext.broadcast(last) if last is not None and len(last) else None  # MOST_FREQUENT numbers at most
+
+    def leading(grams: np.ndarray) -> bytes:
+        if held is not None:
+            late = held.value[np.minimum(np.searchsorted(held.value, grams), len(held.value) - 1)] == grams
+            grams = np.concatenate([grams[~late], grams[late]])
+        return grams[: WIDE * prefix_size(len(grams), percent)].tobytes()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = string_bytes(batch.column("text"))
@@ -101,7 +116,7 @@ def sketch(docs: DataFrame, key: str, text: str, percent: int, words: int) -> Da
                 for grams in shingle_sets(data[at[i] : at[j]], at[i : j + 1] - at[i], words):
                     sizes.append(len(grams))
                     hashes.append(int(mix(grams + np.uint64(len(grams))).sum(dtype=np.uint64).view(np.int64)) if len(grams) else None)
-                    prefixes.append(grams[: prefix_size(len(grams), percent)].tobytes() if len(grams) else None)
+                    prefixes.append(leading(grams) if len(grams) else None)
                     signs.append(signature(grams))
             signs = np.array(signs, np.int64).reshape(-1, SIGNATURE)
             yield pa.RecordBatch.from_arrays(
@@ -113,8 +128,8 @@ def sketch(docs: DataFrame, key: str, text: str, percent: int, words: int) -> Da
     return materialize(rows.mapInArrow(run, "key long, n long, hash long, prefix binary, " + ", ".join(f"{s} long" for s in SIGNS)))
 
 
-def shared_prefixes(sketches: DataFrame, chunk: int = 1 << 21) -> DataFrame:
-    """(gram, hash) of all prefix hashes that two or more classes have."""
+def shared_prefixes(sketches: DataFrame, percent: int, wide: bool = False, chunk: int = 1 << 21) -> DataFrame:
+    """(gram, hash) of all prefix hashes (wide: of all that the sketch holds) that two or more classes have."""
     parts = int(sketches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,8 +159,8 @@ def shared_prefixes(sketches: DataFrame, chunk: int = 1 << 21) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.bool_()), *(pa.array(c, pa.binary()) for c in cols[2:])], names=["part", "sure", "grams", "owners", "many"])
 
         for batch in batches:
-            for p, h in zip(batch.column("prefix").to_pylist(), batch.column("hash").to_pylist(), strict=True):
-                grams.append(np.frombuffer(p, np.uint64))
+            for p, h, n in zip(batch.column("prefix").to_pylist(), batch.column("hash").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                grams.append(np.frombuffer(p, np.uint64)[: None if wide else prefix_size(n, percent)])
                 owners.append(np.full(len(grams[-1]), h, np.int64))
                 held += len(grams[-1])
                 if held >= chunk:
@@ -175,7 +190,7 @@ def shared_prefixes(sketches: DataFrame, chunk: int = 1 << 21) -> DataFrame:
             keep[1:] &= (g[1:] != g[:-1]) | (o[1:] != o[:-1]) | m[:-1]
             yield out(g[keep], o[keep])
 
-    rows = sketches.filter("n > 0").select("prefix", "hash").mapInArrow(send, "part int, sure boolean, grams binary, owners binary, many binary")
+    rows = sketches.filter("n > 0").select("prefix", "hash", "n").mapInArrow(send, "part int, sure boolean, grams binary, owners binary, many binary")
     return rows.repartitionById(parts, "part").mapInArrow(match, "gram long, hash long")
 
 
@@ -222,9 +237,14 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: in
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """key, n_shingles and component_id of every row."""
     sketches = sketch(docs, key, text, percent, words)
+    # any order of hashes gives the same links; with frequent ones last, a common line makes no large tile
+    often = shared_prefixes(sketches, percent, wide=True).groupBy("gram").agg(F.count("*").alias("c")).filter(F.col("c") >= FREQUENT)
+    often = often.orderBy(F.desc("c"), "gram").limit(MOST_FREQUENT).select("gram").toPandas()["gram"].to_numpy(np.int64)
+    if len(often):
+        sketches = sketch(docs, key, text, percent, words, np.sort(often.view(np.uint64)))
     # a set's hash goes with its size: both have to be equal for two texts to be one class
     classes = materialize(sketches.filter("n > 0 AND key IS NOT NULL").groupBy("hash", "n").agg(F.min("key").alias("id"), *[F.first(s).alias(s) for s in SIGNS]))
-    tiles = materialize(shared_prefixes(sketches).join(classes.select("hash", "id", "n"), "hash").select("gram", "id", F.col("n").cast("int").alias("n")))
+    tiles = materialize(shared_prefixes(sketches, percent).join(classes.select("hash", "id", "n"), "hash").select("gram", "id", F.col("n").cast("int").alias("n")))
     banded = tiles.withColumn("band", band(F.col("n"), percent))
 
     leads = banded.groupBy("gram", "band").agg(F.min(F.struct("n", "id")).alias("y"), F.count("*").alias("c")).filter("c > 1").select("gram", "band", "y")
@@ -243,7 +263,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     rule = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.comp") != F.col("y.comp"))
     rule &= ((F.col("x.comp") == F.col("x.main")) | (F.col("x.id") < F.col("y.id"))) & sized(F.col("x.n"), F.col("y.n"), percent)
     # such a pair meets in every tile that holds both, so the count is of all prefix hashes that they share
-    rest = named.alias("x").join(near, rule).groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).agg(F.count("*").alias("c"))
+    rest = named.alias("x").join(near, rule).groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+    rest = rest.agg(F.count("*").alias("c"), F.max(F.greatest("x.n", "y.n")).alias("most"), F.max(F.col("x.n") + F.col("y.n")).alias("sum"))
     rest = materialize(bounded(rest, classes, percent))
     links = first
     if not rest.isEmpty():
