@@ -142,13 +142,13 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
         parts.append(narrow.mapInArrow(run, f"key {kind}, {FIELDS}{also}"))
     out = parts[0]
     if len(parts) > 1:
-        # several passes are merged by key, which has to be unique then
+        # several passes are merged by key, which has to be unique then; ranges of different passes may overlap
         for p in parts[1:]:
             out = out.unionByName(p)
         out = out.groupBy("key").agg(
             F.first("n_words").alias("n_words"),
-            F.sort_array(F.flatten(F.collect_list("hit_ranges"))).alias("hit_ranges"),
-            F.sort_array(F.flatten(F.collect_list("hit_spans"))).alias("hit_spans"),
+            F.sort_array(F.array_distinct(F.flatten(F.collect_list("hit_ranges")))).alias("hit_ranges"),
+            F.sort_array(F.array_distinct(F.flatten(F.collect_list("hit_spans")))).alias("hit_spans"),
             F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         )
     # ranges of several passes may overlap: hit words are counted up to the furthest end so far

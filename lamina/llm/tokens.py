@@ -187,7 +187,7 @@ def decode_blocks(states: np.ndarray, lengths: np.ndarray, words: np.ndarray, st
 def encode_frame(keys: np.ndarray, known: np.ndarray, counts: np.ndarray, ids: np.ndarray, before: int, table: Table) -> bytes:
     sizes = [BLOCK] * (len(ids) // BLOCK) + [len(ids) % BLOCK] * bool(len(ids) % BLOCK)
     states, lengths, words, full = [], [], [], len(ids) // BLOCK
-    for part in (ids[: full * BLOCK].reshape(full, -1, LANES), ids[full * BLOCK :]):
+    for part in (ids[: full * BLOCK].reshape(full, BLOCK // LANES, LANES), ids[full * BLOCK :]):
         if not part.size:
             continue
         if part.ndim == 1:  # the last block is filled up with its first id
