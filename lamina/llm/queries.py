@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, langid, mixing, ngram_join, quality, suffix_dedup, tokens, toxicity, warc
+from lamina.llm import decontaminate, langid, mixing, ngram_join, quality, suffix_dedup, tokens, toxicity, urlfilter, warc
 from lamina.llm.shared import remainder, table
 
 #: A public vocabulary; its path is a parameter of the operator.
@@ -31,6 +31,13 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched", urlfilter.fetched(F.col("page_id")))
+    out = urlfilter.judge(captures, urlfilter.stated_entries(pages))
+    return out.select("page_id", F.col("fetched").cast("string").alias("fetched_on"), *urlfilter.RESULTS)
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = langid.identify(docs, docs.filter(remainder(F.col("doc_id"), 3) != 1))
@@ -64,8 +71,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_decontaminate, op3_ngram_join, op5_langid, op6_toxicity, op7_tokens, op8_warc, op9_mixing, op10_quality)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_decontaminate, op3_ngram_join, op4_url_filters, op5_langid, op6_toxicity, op7_tokens, op8_warc, op9_mixing, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": decontaminate.oracle_sql(), "op3_ngram_join": ngram_join.oracle_sql(), "op8_warc": warc.oracle_sql(), "op10_quality": quality.oracle_sql()}
+    return {"op2_decontaminate": decontaminate.oracle_sql(), "op3_ngram_join": ngram_join.oracle_sql(), "op4_url_filters": urlfilter.oracle_sql(), "op8_warc": warc.oracle_sql(), "op10_quality": quality.oracle_sql()}

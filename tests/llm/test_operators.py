@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, graph, langid, mixing, ngram_join, quality, suffix_dedup, tokens, toxicity, warc
+from lamina.llm import decontaminate, graph, langid, mixing, ngram_join, quality, suffix_dedup, tokens, toxicity, urlfilter, warc
 from lamina.llm.queries import TOKENIZER
 
 A = "the quick brown fox jumps over the lazy dog while seven wizards quietly brew a potion of odd herbs and old stones"
@@ -202,3 +202,34 @@ def test_quality(docs, empty):
         assert got[i].base_failed == failed and not (failed and got[i].kept)
         assert got[i].source == [None, "a", "b", "c"][i % 4]
     assert quality.score_quality(empty).count() == 0
+
+
+LISTED = [
+    ("l1", "block", "bad.org", "2024-01-05", True), ("l1", "block", "bad.org", "2024-01-05", True), ("l1", "block", "bad.org", "2024-01-20", False),
+    ("l1", "block", "Bad.org.", "2024-03-01", True), ("l2", "block", "x.bad.org", "2024-01-10", True), ("l3", "allow", "x.bad.org/ok/", "2024-01-01", True),
+    ("l2", "block", "same.net", "2024-01-01", True), ("l2", "block", "same.net", "2024-01-01", False), ("l2", "block", None, "2024-01-01", True),
+    ("l2", "block", "never.net", None, True), ("l2", "block", "0.0.1", "2023-01-01", True), ("l4", "allow", "bad.org", "2024-03-02", True),
+]
+CAPTURED = ["http://bad.org", "https://u:p@X.bad.org:8/ok//page?q#f", "http://x.bad.org/okay", "http://notbad.org/", "http://same.net/", "http://10.0.0.1/", None, "bad.org", "", "http://x.bad.org./" + "a/" * 5000]
+
+
+@pytest.mark.parametrize(("limit", "hot"), [(urlfilter.BROADCAST_BYTES, 10**6), (0, 10**6), (0, 3)])
+def test_url_filters(spark, limit, hot):
+    entries = spark.createDataFrame(LISTED, "list string, verdict string, pattern string, at string, listed boolean")
+    days = ["2024-01-04", "2024-01-05", "2024-01-15", "2024-01-20", "2024-03-01", "2024-03-03", None]
+    rows = [(i, u, d, "clash", "clash") for i, (u, d) in enumerate(itertools.product(CAPTURED, days))]
+    captures = spark.createDataFrame([*rows, rows[2]], "id long, url string, fetched string, host string, key string").repartition(3)
+    got = urlfilter.judge(captures, entries, broadcast_bytes=limit, hot=hot).collect()
+    assert len(got) == len(rows) + 1 and len([r for r in got if r.id == 2]) == 2
+    plain = [("l1", "block", "bad.org", "2024-01-05", "2024-01-20"), ("l1", "block", "bad.org", "2024-03-01", "9"), ("l2", "block", "x.bad.org", "2024-01-10", "9"),
+             ("l3", "allow", "x.bad.org/ok", "2024-01-01", "9"), ("l4", "allow", "bad.org", "2024-03-02", "9")]
+    hosts = ["bad.org", "x.bad.org", "x.bad.org", "notbad.org", "same.net", "10.0.0.1", None, None, None, "x.bad.org"]
+    for r in got:
+        host, ok = hosts[CAPTURED.index(r.url)], r.url == CAPTURED[1]
+        hits = [e for e in plain if host and r.fetched and e[3] <= r.fetched < e[4] and (("." + host).endswith("." + e[2]) or (ok and "/" in e[2]))]
+        top = max(hits, key=lambda e: ("/" in e[2], len(e[2]), e[1] == "allow"), default=(None, None, None))
+        want = (host, len(hits), ",".join(sorted({e[0] for e in hits})), top[2], top[0], top[1] == "block")
+        assert (r.host, r.n_active, r.lists, r.rule, r.rule_list, r.blocked) == want, r
+        assert r.key == "clash"
+    assert urlfilter.judge(captures.limit(0), entries).count() == 0
+    assert {r.n_active for r in urlfilter.judge(captures, entries.limit(0)).collect()} == {0}
