@@ -143,18 +143,17 @@ def fetched(page: Column) -> Column:
 def stated_entries(pages: DataFrame) -> DataFrame:
     """The dated entries of the query: as many patterns as the pages have hosts, domains and sections."""
     host, path = host_of(F.col("url")), segments(F.regexp_extract("url", PATH, 1))
+    entry = lambda name, verdict, pattern: F.struct(F.lit(name).alias("list"), F.lit(verdict).alias("verdict"), pattern.alias("pattern"))
     names = F.array(
-        F.struct(F.lit("hosts").alias("list"), F.lit("block").alias("verdict"), host.alias("pattern")),
-        F.struct(F.lit("domains"), F.lit("block"), F.regexp_extract(host, r"([^.]+\.[^.]+\.[^.]+)$", 1)),
-        F.struct(F.lit("sections"), F.lit("allow"), F.when(F.size(path) > 0, F.concat(host, F.lit("/"), path[0]))),
+        entry("hosts", "block", host),
+        entry("domains", "block", F.regexp_extract(host, r"([^.]+\.[^.]+\.[^.]+)$", 1)),
+        entry("sections", "allow", F.when(F.size(path) > 0, F.concat(host, F.lit("/"), path[0]))),
     )
     names = pages.select(F.explode(names).alias("e")).select("e.*").filter("pattern <> ''").distinct()
     v, start = _digit("pattern", 1), _digit("pattern", 3)
     stop = start + _digit("pattern", 5) + 1
-    rows = F.filter(
-        F.array(F.struct(start.alias("day"), F.lit(True).alias("listed"), F.lit(128).alias("of")), F.struct(stop, F.lit(False), F.lit(64)), F.struct(stop + 30, F.lit(True), F.lit(24))),
-        lambda e: v < e["of"],
-    )
+    change = lambda day, listed, of: F.struct(day.alias("day"), F.lit(listed).alias("listed"), F.lit(of).alias("of"))
+    rows = F.filter(F.array(change(start, True, 128), change(stop, False, 64), change(stop + 30, True, 24)), lambda e: v < e["of"])
     rows = names.select("list", "verdict", "pattern", F.explode(rows).alias("e"))
     return rows.select("list", "verdict", "pattern", F.date_add(F.lit("2024-01-01").cast("date"), F.col("e.day")).alias("at"), "e.listed")
 
@@ -162,7 +161,7 @@ def stated_entries(pages: DataFrame) -> DataFrame:
 def oracle_sql() -> str:
     hexed = lambda k: f"('0x' || substr(md5(pattern), {k}, 2))::INT"
     return rf"""WITH p AS (SELECT page_id, (page_id % 365)::INT AS day, nullif(regexp_replace(lower(regexp_extract(url, '{HOST}', 1)), '\.$', ''), '') AS host,
-      list_filter(string_split(regexp_extract(url, '{PATH}', 1), '/'), x -> x <> '') AS path FROM pages),
+      list_filter(string_split(regexp_extract(url, '{PATH}', 1), '/'), lambda x: x <> '') AS path FROM pages),
     names AS (SELECT DISTINCT * FROM (SELECT 'hosts' AS list, 'block' AS verdict, host AS pattern FROM p
       UNION ALL SELECT 'domains', 'block', regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) FROM p
       UNION ALL SELECT 'sections', 'allow', host || '/' || path[1] FROM p WHERE len(path) > 0) WHERE pattern <> ''),
