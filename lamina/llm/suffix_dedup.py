@@ -36,6 +36,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -309,7 +310,7 @@ def compare(joined: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
         return text[np.arange(int(size.sum())) + np.repeat(start - into, size)], into
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spread = held.value
+        spread, pack = held.value, zstandard.ZstdCompressor(level=3)
         sure: list[tuple] = []
         asked: list[tuple] = []
 
@@ -345,7 +346,8 @@ def compare(joined: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
             for p in np.flatnonzero(np.diff(cut)):
                 o = order[cut[p] : cut[p + 1]]
                 body, _ = pieces(text, into[o], count[o] + LENGTH - 1)
-                rows.append((int(p), False, key[o].tobytes(), trigger[o].tobytes(), inside[o].astype(np.int64).tobytes(), count[o].astype(np.uint8).tobytes(), body.tobytes()))
+                columns = (key[o], trigger[o], inside[o].astype(np.int64), count[o].astype(np.uint8), body)
+                rows.append((int(p), False, *(pack.compress(c.tobytes()) for c in columns)))
             if rows:
                 yield batch_of(rows)
 
@@ -390,14 +392,16 @@ def compare(joined: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
                 return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], names=["part", "keys", "a", "b", "more"])
 
         got: list[tuple] = []
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for r in batch.to_pylist():
-                key, start = np.frombuffer(r["keys"], np.int64), np.frombuffer(r["starts"], np.int64)
                 if r["sure"]:
-                    if (b := out(key, start, np.frombuffer(r["counts"], np.int64))) is not None:
+                    if (b := out(*(np.frombuffer(r[c], np.int64) for c in ("keys", "starts", "counts")))) is not None:
                         yield b
                 else:
-                    got.append((key, np.frombuffer(r["triggers"], np.uint64), start, np.frombuffer(r["counts"], np.uint8).astype(np.int64), np.frombuffer(r["text"], np.uint8)))
+                    columns = (("keys", np.int64), ("triggers", np.uint64), ("starts", np.int64), ("counts", np.uint8), ("text", np.uint8))
+                    key, trigger, start, count, text = (np.frombuffer(unpack.decompress(r[c]), t) for c, t in columns)
+                    got.append((key, trigger, start, count.astype(np.int64), text))
         if not got:
             return
         key, trigger, start, count, text = (np.concatenate(c) for c in zip(*got, strict=True))
