@@ -42,6 +42,8 @@ from lamina.llm.shared import blocks, lower_ascii, materialize, mix, prefix_hash
 WORDS, PERCENT = 4, 85
 #: Classes that share a prefix hash from which it counts as frequent; most of those; how far beyond prefixes they are looked for.
 FREQUENT, MOST_FREQUENT, WIDE = 200, 100_000, 2
+#: Members of one band outside a tile's largest component from which it counts as large, and members of a cell of such a tile.
+LARGE, CELL = 256, 2048
 #: 64-bit words of a signature.
 SIGNATURE = 8
 #: Bits of the filter that keeps texts which nothing asks for out of a shuffle; when it is full, all texts pass.
@@ -234,6 +236,49 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: in
     return both.select("a", "b", "x", "y").mapInArrow(intersect, "a long, b long")
 
 
+def meet_in_cells(named: DataFrame, classes: DataFrame, percent: int, large_cell: int) -> DataFrame:
+    """Pairs (a, b) of members of different components in one tile whose sizes and signatures leave a link possible.
+
+    A tile's members are dealt to cells of about `large_cell`, and each pair of
+    cells in the same or in neighbouring bands is a row, dealt by its first cell,
+    so that no task holds a whole tile.
+    """
+    cells = named.join(classes.select("id", *SIGNS), "id").withColumn("parts", F.ceil(F.col("members") / large_cell).cast("int"))
+    cells = cells.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).groupBy("gram", "band", "part")
+    members = F.collect_list(F.struct("id", "n", "comp", *SIGNS)).alias("cell")  # about large_cell of them
+    cells = materialize(cells.agg(F.first("parts").alias("parts"), F.min("comp").alias("low"), F.max("comp").alias("high"), members))
+    same = F.expr("transform(sequence(0, part), p -> struct(band AS band, p AS part))")
+    lower = F.expr("transform(sequence(0, parts - 1), p -> struct(band - 1 AS band, p AS part))")
+    y = cells.select("gram", "low", "high", "cell", F.explode(F.concat(same, lower)).alias("at")).alias("y")
+    rule = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.band") == F.col("y.at.band")) & (F.col("x.part") == F.col("y.at.part"))
+    rule &= (F.least("x.low", "y.low") != F.greatest("x.high", "y.high"))  # else all members are one component
+
+    def fields(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+        flat = column.flatten()
+        at = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))])
+        number = lambda name: flat.field(name).to_numpy(zero_copy_only=False)
+        return at, [number(c).astype(np.int64) for c in ("id", "n", "comp")], np.stack([number(s) for s in SIGNS]).view(np.uint64)  # bits of negative numbers would be those of their absolute value
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (xat, xs, xsign), (yat, ys, ysign) = fields(batch.column("x")), fields(batch.column("y"))
+            for k in range(len(batch)):
+                yid, yn, ycomp = (v[yat[k] : yat[k + 1]] for v in ys)
+                for i in range(xat[k], xat[k + 1], 256):
+                    cut = slice(i, min(i + 256, xat[k + 1]))
+                    xid, xn, xcomp = (v[cut, None] for v in xs)
+                    apart = np.zeros((len(xid), len(yid)), np.int64)
+                    for s in range(SIGNATURE):
+                        apart += np.bitwise_count(xsign[s, cut, None] ^ ysign[None, s, yat[k] : yat[k + 1]])
+                    total = xn + yn
+                    fits = (xcomp != ycomp) & (100 * np.minimum(xn, yn) >= percent * np.maximum(xn, yn))
+                    r, c = np.nonzero(fits & ((100 + percent) * (total - apart) >= 2 * percent * total))
+                    a, b = xid[r, 0], yid[c]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return cells.alias("x").join(y, rule).select(F.col("x.cell").alias("x"), F.col("y.cell").alias("y")).mapInArrow(run, "a long, b long").distinct()
+
+
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """key, n_shingles and component_id of every row."""
     sketches = sketch(docs, key, text, percent, words)
@@ -257,15 +302,19 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     # tiles that hold more than one component: the members outside the largest meet all others
     named = banded.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
     by_comp = materialize(named.groupBy("gram", "comp").agg(F.count("*").alias("c")))
-    largest = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count("*").alias("k")).filter("k > 1").select("gram", "main")
+    largest = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("members"), (F.sum("c") - F.max("c")).alias("others"), F.count("*").alias("k"))
+    largest = largest.filter("k > 1").select("gram", "main", "members", "others")
     named = materialize(named.join(largest, "gram"))
-    near = named.filter("comp <> main").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).alias("y")
+    crowd = named.filter((F.col("others") >= LARGE) & (F.col("comp") != F.col("main"))).groupBy("gram", "band").agg(F.count("*").alias("c"))
+    crowd = materialize(crowd.filter(F.col("c") >= LARGE).select("gram").distinct())
+    few, many = named.join(crowd, "gram", "left_anti"), named.join(crowd, "gram", "left_semi")
+    near = few.filter("comp <> main").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).alias("y")
     rule = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.comp") != F.col("y.comp"))
     rule &= ((F.col("x.comp") == F.col("x.main")) | (F.col("x.id") < F.col("y.id"))) & sized(F.col("x.n"), F.col("y.n"), percent)
-    # such a pair meets in every tile that holds both, so the count is of all prefix hashes that they share
-    rest = named.alias("x").join(near, rule).groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+    # a pair meets in every tile that holds both: the count is of all prefix hashes that they share, or they meet in cells too
+    rest = few.alias("x").join(near, rule).groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
     rest = rest.agg(F.count("*").alias("c"), F.max(F.greatest("x.n", "y.n")).alias("most"), F.max(F.col("x.n") + F.col("y.n")).alias("sum"))
-    rest = materialize(bounded(rest, classes, percent))
+    rest = materialize(bounded(rest, classes, percent).union(meet_in_cells(many, classes, percent, CELL)).distinct())
     links = first
     if not rest.isEmpty():
         links = first.union(verified(rest, docs, key, text, percent, words))

@@ -74,22 +74,46 @@ def test_decontaminate(spark, docs, empty, block):
     assert [raw[s.start : s.end] for s in got[3].hit_spans] == [A.encode()]
 
 
-def test_ngram_join(docs, empty):
+def groups(texts):
+    """Set size and component of each text."""
+
     def grams(t):
         w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
         return {tuple(w[i : i + 4]) for i in range(max(1, len(w) - 3))} if w else set()
 
-    sets = [grams(t) for t in TEXTS]
+    sets = [grams(t) for t in texts]
     comp = list(range(len(sets)))
     for i, j in itertools.combinations(range(len(sets)), 2):
         if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
             a, b = sorted((comp[i], comp[j]))
             comp = [a if c == b else c for c in comp]
+    return {i: (len(s), comp[i]) for i, s in enumerate(sets)}
+
+
+def test_ngram_join(docs, empty):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(docs).collect()}
-    assert got == {i: (len(s), comp[i]) for i, s in enumerate(sets)}
+    assert got == groups(TEXTS)
     assert ngram_join.join(empty).count() == 0
 
 
+@pytest.mark.parametrize(("large", "cell"), [(2, 3), (2, 1000), (1000, 1)])
+def test_ngram_join_of_near_copies(spark, monkeypatch, large, cell):
+    """Copies of one text with words changed: some are linked, most are just not."""
+    monkeypatch.setattr(ngram_join, "LARGE", large)
+    monkeypatch.setattr(ngram_join, "CELL", cell)
+    rng = np.random.default_rng(7)
+    texts = []
+    for k in range(60):
+        words = [f"w{i}" for i in range(120 + k % 9)]
+        for at in rng.choice(120, rng.integers(0, 9), replace=False):
+            words[at] = f"x{k}y{at}"
+        texts.append(" ".join(words))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(rows).collect()}
+    want = groups(texts)
+    assert got == want and len({c for _, c in want.values()}) > 5
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95)], "a long, b long")
     got = {r.node: r.component for r in graph.components(links).collect() if r.node != r.component}
