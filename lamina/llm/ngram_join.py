@@ -236,12 +236,25 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: in
     return both.select("a", "b", "x", "y").mapInArrow(intersect, "a long, b long")
 
 
-def meet_in_cells(named: DataFrame, classes: DataFrame, percent: int, large_cell: int) -> DataFrame:
+def deal(banded: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of tiles that hold more than one component, with the largest as main: of tiles that are not crowded, and of those that are."""
+    named = banded.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    by_comp = materialize(named.groupBy("gram", "comp").agg(F.count("*").alias("c")))
+    largest = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("members"), (F.sum("c") - F.max("c")).alias("others"), F.count("*").alias("k"))
+    largest = largest.filter("k > 1").select("gram", "main", "members", "others")
+    named = materialize(named.join(largest, "gram"))
+    crowd = named.filter((F.col("others") >= LARGE) & (F.col("comp") != F.col("main"))).groupBy("gram", "band").agg(F.count("*").alias("c"))
+    crowd = materialize(crowd.filter(F.col("c") >= LARGE).select("gram").distinct())
+    return named.join(crowd, "gram", "left_anti"), named.join(crowd, "gram", "left_semi")
+
+
+def meet_in_cells(named: DataFrame, classes: DataFrame, percent: int, large_cell: int, hubs: bool = False) -> DataFrame:
     """Pairs (a, b) of members of different components in one tile whose sizes and signatures leave a link possible.
 
     A tile's members are dealt to cells of about `large_cell`, and each pair of
     cells in the same or in neighbouring bands is a row, dealt by its first cell,
-    so that no task holds a whole tile.
+    so that no task holds a whole tile. With hubs, each member gives one pair for
+    two cells, with the member that the most of its cell may be linked to.
     """
     cells = named.join(classes.select("id", *SIGNS), "id").withColumn("parts", F.ceil(F.col("members") / large_cell).cast("int"))
     cells = cells.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).groupBy("gram", "band", "part")
@@ -263,18 +276,24 @@ def meet_in_cells(named: DataFrame, classes: DataFrame, percent: int, large_cell
         for batch in batches:
             (xat, xs, xsign), (yat, ys, ysign) = fields(batch.column("x")), fields(batch.column("y"))
             for k in range(len(batch)):
-                yid, yn, ycomp = (v[yat[k] : yat[k + 1]] for v in ys)
-                for i in range(xat[k], xat[k + 1], 256):
-                    cut = slice(i, min(i + 256, xat[k + 1]))
-                    xid, xn, xcomp = (v[cut, None] for v in xs)
-                    apart = np.zeros((len(xid), len(yid)), np.int64)
+                (xid, xn, xcomp), (yid, yn, ycomp) = ([v[at[k] : at[k + 1]] for v in vs] for at, vs in ((xat, xs), (yat, ys)))
+                fits = np.empty((len(xid), len(yid)), bool)
+                for i in range(0, len(xid), 256):
+                    cut = slice(i, i + 256)
+                    apart = np.zeros((len(xid[cut]), len(yid)), np.int64)
                     for s in range(SIGNATURE):
-                        apart += np.bitwise_count(xsign[s, cut, None] ^ ysign[None, s, yat[k] : yat[k + 1]])
-                    total = xn + yn
-                    fits = (xcomp != ycomp) & (100 * np.minimum(xn, yn) >= percent * np.maximum(xn, yn))
-                    r, c = np.nonzero(fits & ((100 + percent) * (total - apart) >= 2 * percent * total))
-                    a, b = xid[r, 0], yid[c]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                        apart += np.bitwise_count(xsign[s, xat[k] : xat[k + 1]][cut, None] ^ ysign[None, s, yat[k] : yat[k + 1]])
+                    n = xn[cut, None]
+                    fits[cut] = (xcomp[cut, None] != ycomp) & (100 * np.minimum(n, yn) >= percent * np.maximum(n, yn))
+                    fits[cut] &= (100 + percent) * (n + yn - apart) >= 2 * percent * (n + yn)
+                if hubs:
+                    x, y = np.flatnonzero(fits.any(axis=1)), np.flatnonzero(fits.any(axis=0))
+                    to_y, to_x = (fits[x] * fits.sum(axis=0, dtype=np.int32)).argmax(axis=1), (fits[:, y] * fits.sum(axis=1, dtype=np.int32)[:, None]).argmax(axis=0)
+                    r, c = np.concatenate([x, to_x]), np.concatenate([to_y, y])
+                else:
+                    r, c = np.nonzero(fits)
+                a, b = xid[r], yid[c]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     return cells.alias("x").join(y, rule).select(F.col("x.cell").alias("x"), F.col("y.cell").alias("y")).mapInArrow(run, "a long, b long").distinct()
 
@@ -299,15 +318,11 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     first = materialize(verified(materialize(bounded(met, classes, percent, 4)), docs, key, text, percent, words))
     known = materialize(components(first))
 
-    # tiles that hold more than one component: the members outside the largest meet all others
-    named = banded.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-    by_comp = materialize(named.groupBy("gram", "comp").agg(F.count("*").alias("c")))
-    largest = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("members"), (F.sum("c") - F.max("c")).alias("others"), F.count("*").alias("k"))
-    largest = largest.filter("k > 1").select("gram", "main", "members", "others")
-    named = materialize(named.join(largest, "gram"))
-    crowd = named.filter((F.col("others") >= LARGE) & (F.col("comp") != F.col("main"))).groupBy("gram", "band").agg(F.count("*").alias("c"))
-    crowd = materialize(crowd.filter(F.col("c") >= LARGE).select("gram").distinct())
-    few, many = named.join(crowd, "gram", "left_anti"), named.join(crowd, "gram", "left_semi")
+    few, many = deal(banded, known)
+    if not many.isEmpty():  # what hubs contract need not meet pair by pair
+        first = materialize(first.union(verified(materialize(meet_in_cells(many, classes, percent, CELL, hubs=True)), docs, key, text, percent, words)))
+        known = materialize(components(first))
+        few, many = deal(banded, known)
     near = few.filter("comp <> main").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).alias("y")
     rule = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.comp") != F.col("y.comp"))
     rule &= ((F.col("x.comp") == F.col("x.main")) | (F.col("x.id") < F.col("y.id"))) & sized(F.col("x.n"), F.col("y.n"), percent)
