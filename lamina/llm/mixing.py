@@ -7,8 +7,10 @@ depends on patterns and sources only. Within a pattern, whole uses go to every
 document and the rest to documents in the order of a seeded hash.
 
 The order is never sorted whole: counts by the leading bits of the hash are
-refined where the quota ends until at most `leaf` documents are left, which the
-driver fits greedily. So any pattern may hold most of the corpus.
+refined where the words left end until at most `leaf` documents are left, which the
+driver fits one by one; then it goes on behind them with what still fits. So any
+pattern may hold most of the corpus, and of a pattern's quota fewer words stay open
+than its smallest document has that is left out.
 
 Defined results: a null text has size 0; a null source is a source of its own
 and comes last; documents with equal key and text are taken or left together at
@@ -101,72 +103,82 @@ def min_cost_flow(capacity: dict, members: dict, quota: dict, uses: int = MOST)
             room[e ^ 1] += push
 
 
-def _end(sized: DataFrame, quota: dict[str, int], leaf: int) -> tuple[dict[str, int], dict[str, list]]:
-    """Per pattern: the hash below which all documents fit in the quota, and further (hash, key) that fit.
+def _end(sized: DataFrame, quota: dict[str, int], leaf: int) -> tuple[dict[str, list], dict[str, list]]:
+    """Per pattern: (first hash, last hash, most) where every document of at most that size is taken, and further (hash, size) that are.
 
-    Each round counts documents by one more digit of their hash, only where the
-    quota still ends: 2**DIGIT rows for each pattern at most come to the driver.
+    Documents are taken in the order of their hash if they fit in the words left, as
+    if each was tried. A round counts those that may fit by one more digit of their
+    hash: 2**DIGIT rows for each pattern at most come to the driver. Digits that fit
+    are taken whole; the first other one is refined until `leaf` documents are left,
+    which the driver tries. What is then left goes on behind them.
     """
     spark = sized.sparkSession
-    state = {p: (0, 63, q) for p, q in quota.items() if q > 0}  # prefix, bits below it, words left
-    bound, chosen, first = {p: 0 for p in quota}, {p: [] for p in quota}, True
-    counts = {r["pattern"]: r["n"] for r in sized.groupBy("pattern").agg(F.count("*").alias("n")).collect()} if state else {}
-    leaves = {}
+    spans, chosen, rest = ({p: [] for p in quota} for _ in range(3))
+    over = dict(quota)
+    state = {p: (0, 0, 63, q) for p, q in quota.items() if q > 0}  # first hash, prefix, bits below it, words left
+    if not state:
+        return spans, chosen
+    groups = materialize(sized.filter("size > 0").groupBy("pattern", "hash", "size").agg(F.sum("size").alias("total")))
+
+    def near(states: dict[str, tuple]) -> DataFrame:
+        at = spark.createDataFrame([(p, *s) for p, s in states.items()], "pattern string, start long, prefix long, bits int, left long")
+        return groups.join(F.broadcast(at), "pattern").filter(F.expr("size <= left AND hash >= start AND shiftright(hash, bits) = prefix"))
+
+    def behind(p: str, prefix: int, bits: int, left: int) -> None:
+        over[p] = left
+        if left and (start := (prefix + 1) << bits) < 1 << 63:
+            state[p] = (start, 0, 63, left)
+
     while state:
-        for p in [p for p, (_, bits, _) in state.items() if counts[p] <= leaf or bits < DIGIT]:
-            leaves[p] = state.pop(p)
-        if not state:
-            break
-        at = spark.createDataFrame([(p, prefix, bits) for p, (prefix, bits, _) in state.items()], "pattern string, prefix long, bits int")
-        digits = (
-            sized.join(F.broadcast(at), "pattern")
-            .filter(F.expr("shiftright(hash, bits) = prefix"))
-            .groupBy("pattern", F.expr(f"shiftright(hash, bits - {DIGIT}) - shiftleft(prefix, {DIGIT})").alias("digit"))
-            .agg(F.sum("size").alias("size"), F.count("*").alias("n"))
+        digits = near(state).groupBy("pattern", F.expr(f"shiftright(hash, bits - {DIGIT}) - shiftleft(prefix, {DIGIT})").alias("digit")).agg(
+            F.sum("total").alias("size"), F.count_if(F.expr("total <= left")).alias("n")
         )
-        rows: dict[str, list] = {}
+        rows: dict[str, list] = {p: [] for p in state}
         for r in digits.collect():
-            rows.setdefault(r["pattern"], []).append((r["digit"], r["size"], r["n"]))
+            rows[r["pattern"]].append((r["digit"], r["size"], r["n"]))
+        leaves = {}
         for p, found in rows.items():
-            prefix, bits, left = state[p]
+            start, prefix, bits, left = at = state.pop(p)
+            if 0 < sum(n for *_, n in found) <= leaf:
+                leaves[p] = at
+                continue
+            most, run, low = left, False, bits - DIGIT
             for digit, size, n in sorted(found):
-                if size > left:
-                    state[p] = ((prefix << DIGIT) + digit, bits - DIGIT, left)
-                    counts[p] = n
+                inner = (prefix << DIGIT) + digit
+                if size <= left:
+                    first = spans[p].pop()[0] if run else max(start, inner << low)
+                    spans[p].append((first, ((inner + 1) << low) - 1, most))
+                    run, left = True, left - size
+                elif n:
+                    (leaves if n <= leaf or low < DIGIT else state)[p] = (start, inner, low, left)
                     break
-                left -= size
+                else:  # nothing in it fits
+                    run = False
             else:
-                bound[p] = (prefix + 1) << bits
-                del state[p]
-    if leaves:
-        at = spark.createDataFrame([(p, prefix, bits) for p, (prefix, bits, _) in leaves.items()], "pattern string, prefix long, bits int")
-        near = sized.join(F.broadcast(at), "pattern").filter(F.expr("shiftright(hash, bits) = prefix"))
-        rows = {}
-        for r in near.groupBy("pattern", "hash", "key", "size").agg(F.count("*").alias("n")).collect():
-            rows.setdefault(r["pattern"], []).append((r["hash"], r["key"], r["size"], r["n"]))
-        for p, (prefix, bits, left) in leaves.items():
-            bound[p] = prefix << bits
-            chosen[p] = _fit(sorted(rows.get(p, []), key=lambda x: (x[0], str(x[1]), x[2])), left)
-    return bound, chosen
-
-
-def _fit(rows: list[tuple], left: int) -> list[tuple]:
-    """Takes rows in their order while they fit, then once exchanges a taken one for another that fits better."""
-    took, rest = [], []
-    for r in rows:
-        n = r[2] * r[3]
-        (took if n <= left else rest).append(r)
-        left -= n if n <= left else 0
-    rest.sort(key=lambda r: r[2] * r[3])
-    lengths, best = [r[2] * r[3] for r in rest], (0, None, None)
+                behind(p, prefix, bits, left)
+        if leaves:
+            tried: dict[str, list] = {p: [] for p in leaves}
+            for r in near(leaves).filter("total <= left").select("pattern", "hash", "size", "total").collect():
+                tried[r["pattern"]].append((r["hash"], r["size"], r["total"]))
+            for p, (_, prefix, bits, left) in leaves.items():
+                for r in sorted(tried[p]):
+                    (chosen if r[2] <= left else rest)[p].append(r)
+                    left -= r[2] if r[2] <= left else 0
+                behind(p, prefix, bits, left)
+    return spans, {p: _exchange(chosen[p], rest[p], over[p]) for p in quota}
+
+
+def _exchange(took: list[tuple], rest: list[tuple], left: int) -> list[tuple]:
+    """Once exchanges one that was taken for another that was tried and fits better."""
+    rest = sorted(rest, key=lambda r: r[2])
+    lengths, best = [r[2] for r in rest], (0, None, None)
     for r in took:
-        n = r[2] * r[3]
-        k = bisect_right(lengths, n + left) - 1
-        if k >= 0 and lengths[k] - n > best[0]:
-            best = (lengths[k] - n, r, rest[k])
+        k = bisect_right(lengths, r[2] + left) - 1
+        if k >= 0 and lengths[k] - r[2] > best[0]:
+            best = (lengths[k] - r[2], r, rest[k])
     if best[1]:
         took = [r for r in took if r is not best[1]] + [best[2]]
-    return [r[:3] for r in took]
+    return [r[:2] for r in took]
 
 
 def mix(docs: DataFrame, sources: Column, key: str = "doc_id", text: str = "text", keep: list[str] | None = None, seed: int = 17, leaf: int = LEAF) -> DataFrame:
@@ -195,11 +207,12 @@ def mix(docs: DataFrame, sources: Column, key: str = "doc_id", text: str = "text
     for (p, _), n in flow.items():
         words[p] += n
     whole = {p: words[p] // capacity[p] if capacity[p] else 0 for p in capacity}
-    bound, chosen = _end(sized.select("key", "size", "pattern", "hash"), {p: words[p] - whole[p] * capacity[p] for p in capacity}, leaf)
-    rows = [(p, whole[p], bound[p], sizes[members[p][0]] if members[p] else None, goal[members[p][0]] if members[p] else None) for p in sorted(capacity)]
-    plan = docs.sparkSession.createDataFrame(rows, "pattern string, whole long, bound long, source_size long, target double")
-    ends = docs.sparkSession.createDataFrame([(p, h, n) for p, c in chosen.items() for h, _, n in c], "pattern string, hash long, size long").distinct().withColumn("end", F.lit(1))
-    # plan: one row for each pattern; ends: `leaf` rows for each pattern at most
+    spans, chosen = _end(sized.select("size", "pattern", "hash"), {p: words[p] - whole[p] * capacity[p] for p in capacity}, leaf)
+    rows = [(p, whole[p], spans[p], sizes[members[p][0]] if members[p] else None, goal[members[p][0]] if members[p] else None) for p in sorted(capacity)]
+    plan = docs.sparkSession.createDataFrame(rows, "pattern string, whole long, spans array<struct<first:long,last:long,most:long>>, source_size long, target double")
+    ends = docs.sparkSession.createDataFrame([(p, h, n) for p, c in chosen.items() for h, n in c], "pattern string, hash long, size long").distinct().withColumn("end", F.lit(1))
+    # plan: one row for each pattern; ends: `leaf` rows for each pattern and end of a span at most
     out = sized.join(F.broadcast(plan), "pattern").join(F.broadcast(ends) if len(rows) <= 100 else ends, ["pattern", "hash", "size"], "left")
-    taken = F.col("size") * (F.col("whole") + F.when(F.col("hash") < F.col("bound"), 1).otherwise(F.coalesce("end", F.lit(0))))
+    inside = F.exists("spans", lambda s: F.col("hash").between(s["first"], s["last"]) & (F.col("size") <= s["most"]))
+    taken = F.col("size") * (F.col("whole") + F.when(inside, 1).otherwise(F.coalesce("end", F.lit(0))))
     return out.select(F.col("key").alias(key), *[F.col(f"_{c}").alias(c) for c in keep], "size", "source_size", "target", taken.alias("taken"))

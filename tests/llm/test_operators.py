@@ -213,6 +213,21 @@ def test_mixing(docs, empty, spark):
     assert mixing.mix(empty, F.array("source")).count() == 0
 
 
+@pytest.mark.parametrize("leaf", [mixing.LEAF, 8])
+def test_mixing_goes_on_behind_documents_that_do_not_fit(spark, leaf):
+    rows = [(k, f"s{s}", "w " * (600 if k % 100 == 7 else 2 + k % 13)) for s in range(12) for k in range(s * 1000, s * 1000 + 300)]
+    rows += [(5000 + k // 30, "s5", "w " * 9) for k in range(300)]  # equal ones are taken or left together
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), F.array("source"), keep=["source"], leaf=leaf).collect()
+    for source in {s for _, s, _ in rows}:
+        mine = [r for r in got if r.source == source]
+        least, left_out = min(r.taken // r["size"] for r in mine), {}
+        for r in mine:
+            if r.taken == least * r["size"]:
+                left_out[r.doc_id, r["size"]] = left_out.get((r.doc_id, r["size"]), 0) + r["size"]
+        short = mine[0].target - sum(r.taken for r in mine)
+        assert -1 <= short < min(left_out.values()) + 1, source
+
+
 def test_quality(docs, empty):
     got = {r.doc_id: r for r in quality.score_quality(docs).collect()}
     for i, t in enumerate(TEXTS):
