@@ -5,7 +5,8 @@ words, or a whole shorter item. The windows of all items make one automaton,
 which scans each text once; matches are mapped back to words and to byte offsets
 of the original text. Items beyond `block_bytes` of windows make further
 automata, each in its own pass over the texts, so that no broadcast exceeds that
-size whatever the benchmark.
+size whatever the benchmark. For several passes rows are numbered in a written
+table, and the passes are merged by that number.
 
 Defined results: a null or empty text has no words, no hits and is clean; an item
 without words has no windows; items with equal windows are all reported; an empty
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.shared import string_bytes
+from lamina.llm.shared import materialize, string_bytes
 
 #: Fixed by the contract: words of an item in a window, and the share of hit words (1/20) that contaminates.
 WINDOW, SHARE = 13, 20
@@ -97,7 +98,7 @@ FIELDS = "n_words long, hit_ranges array<struct<first:long,last:long>>, hit_span
 
 
 def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES, keep: str | None = None) -> DataFrame:
-    """Per document: key, n_words, hit_ranges (words), hit_spans (bytes of the text), items; with one automaton also the column `keep`."""
+    """Per document: key, n_words, hit_ranges (words), hit_spans (bytes of the text), items; also the column `keep`."""
     spark = docs.sparkSession
     sized = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text"))
     blocks: list[list] = [[]]
@@ -110,13 +111,14 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
             filled = 0
         blocks[-1].append((row["item"], row["text"]))
         filled += cost
-    narrow = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    if len(blocks) > 1:
-        keep = None
-    if keep:
-        narrow = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.col(f"`{keep}`").alias("row"))
+    several = len(blocks) > 1
+    narrow = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), *([F.col(f"`{keep}`").alias("row")] if keep else []))
+    if several:
+        whole = materialize(narrow.withColumn("number", F.monotonically_increasing_id()))
+        narrow = whole.select(F.col("number").alias("key"), "text")
+    with_row = bool(keep) and not several
     kind = narrow.schema["key"].dataType.simpleString()
-    also = f", row {narrow.schema['row'].dataType.simpleString()}" if keep else ""
+    also = f", row {narrow.schema['row'].dataType.simpleString()}" if with_row else ""
     parts = []
     for block in blocks:
         held = spark.sparkContext.broadcast(block)
@@ -135,22 +137,23 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
                 word = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
                 byte = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("key"), pa.array(cols[0], pa.int64()), pa.array(cols[1], word), pa.array(cols[2], byte), pa.array(cols[3], pa.list_(pa.string())), *([batch.column("row")] if keep else [])],
-                    names=["key", "n_words", "hit_ranges", "hit_spans", "items", *(["row"] if keep else [])],
+                    [batch.column("key"), pa.array(cols[0], pa.int64()), pa.array(cols[1], word), pa.array(cols[2], byte), pa.array(cols[3], pa.list_(pa.string())), *([batch.column("row")] if with_row else [])],
+                    names=["key", "n_words", "hit_ranges", "hit_spans", "items", *(["row"] if with_row else [])],
                 )
 
         parts.append(narrow.mapInArrow(run, f"key {kind}, {FIELDS}{also}"))
     out = parts[0]
-    if len(parts) > 1:
-        # several passes are merged by key, which has to be unique then; ranges of different passes may overlap
+    if several:
+        # passes are merged by the number of the row; the first has all rows. Ranges of different passes may overlap
         for p in parts[1:]:
-            out = out.unionByName(p)
+            out = out.unionByName(p.filter("size(items) > 0"))
         out = out.groupBy("key").agg(
             F.first("n_words").alias("n_words"),
             F.sort_array(F.array_distinct(F.flatten(F.collect_list("hit_ranges")))).alias("hit_ranges"),
             F.sort_array(F.array_distinct(F.flatten(F.collect_list("hit_spans")))).alias("hit_spans"),
             F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         )
+        out = whole.drop("text").join(out.withColumnRenamed("key", "number"), "number")
     # ranges of several passes may overlap: hit words are counted up to the furthest end so far
     hit = F.aggregate(
         "hit_ranges",

@@ -4,6 +4,7 @@ import io
 import itertools
 import re
 import zlib
+from functools import partial
 from hashlib import sha256
 
 import numpy as np
@@ -74,6 +75,24 @@ def test_decontaminate(spark, docs, empty, block):
     assert [raw[s.start : s.end] for s in got[3].hit_spans] == [A.encode()]
 
 
+@pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 1])
+def test_decontaminate_reports_repeated_and_null_keys(spark, tmp_path, monkeypatch, block):
+    rows = [(1, A, "en", "a"), (1, "clean words", "de", "b"), (1, "clean words", "de", "b"), (None, B, None, "a"), (None, "", "en", None), (None, None, "en", None), (2, A + " " + B, "en", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    bench = spark.createDataFrame([(1, A), (2, B), (3, "stones")], "item_id long, text string")
+    got = decontaminate.find(docs.select("*", F.struct("*").alias("_row")), bench, block_bytes=block, keep="_row").collect()
+    found = lambda t: [i for i, w in (("1", A), ("2", B), ("3", "stones")) if w in (t or "")]
+    order = lambda x: sorted(x, key=str)
+    assert order((r.doc_id, tuple(r._row), r.n_words, r["items"], r.contaminated) for r in got) == order((r[0], r, len((r[1] or "").split()), found(r[1]), bool(found(r[1]))) for r in rows)
+    import corpus_pipeline
+
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    monkeypatch.setattr(decontaminate, "find", partial(decontaminate.find, block_bytes=block))
+    kept = corpus_pipeline.benchmark_passages(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert order(map(tuple, kept.collect())) == order(r for r in rows if not found(r[1]))
+
+
 def groups(texts):
     """Set size and component of each text."""
 
