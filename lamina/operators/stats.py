@@ -29,6 +29,21 @@ def top_links(df: DataFrame, parent: str, child: str, k: int) -> DataFrame:
     return df.join(F.broadcast(top), child, "left_semi").groupBy(parent, child).agg(F.count("*").alias("n"))
 
 
+def flow_links(df: DataFrame, top: str, middle: str, low: str, k: int) -> DataFrame:
+    """(level, parent, child, n): all links from top to middle, and those from middle to the k most frequent low ones, ties by name.
+
+    Empty labels of the two lower levels are unknown within their parent, so they make no common node.
+    """
+    label = lambda c: F.coalesce(clean(F.col(c).cast("string")), F.lit("Unknown"))
+    within = lambda c, p: F.when(F.col(c) == "Unknown", F.concat(F.lit("Unknown ("), F.col(p), F.lit(")"))).otherwise(F.col(c))
+    rows = df.select(label(top).alias("a"), label(middle).alias("b"), label(low).alias("c"))
+    rows = rows.withColumn("b", within("b", "a")).withColumn("c", within("c", "b"))
+    level = lambda i, links: links.select(F.lit(i).alias("level"), *links.columns)
+    first = rows.groupBy(F.col("a").alias("parent"), F.col("b").alias("child")).agg(F.count("*").alias("n"))
+    second = top_links(rows.select(F.col("b").alias("parent"), F.col("c").alias("child")), "parent", "child", k)
+    return level(1, first).unionByName(level(2, second))
+
+
 def pivot_counts(df: DataFrame, row: str, column: str, values: list) -> DataFrame:
     """A count for each value of `column`, 0 where there is none; values are given, so no pass looks for them."""
     return df.groupBy(row).agg(*[F.count_if(F.col(column) == v).alias(f"c{v}") for v in values])

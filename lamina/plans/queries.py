@@ -289,6 +289,19 @@ def taxonomy_flow(region, nation, customer):
     return stats.top_links(_geo(region, nation, customer), "r_name", "n_name", 10)
 
 
+@query(
+    """WITH g AS (SELECT r_name AS a, n_name AS b, CASE WHEN o_orderkey % 50 <> 0 THEN c_name ELSE 'Unknown (' || n_name || ')' END AS c FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey),
+    t AS (SELECT c FROM g GROUP BY 1 ORDER BY count(*) DESC, c LIMIT 25)
+    SELECT 1 AS level, a AS parent, b AS child, count(*) AS n FROM g GROUP BY ALL UNION ALL SELECT 2, b, c, count(*) FROM g SEMI JOIN t USING (c) GROUP BY ALL"""
+)
+def taxonomy_links(region, nation, customer, orders):
+    """Both levels of links; taxonomy_flow has the second only, to 10 children."""
+    dims = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    people = customer.join(dims, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = orders.join(people, F.col("o_custkey") == F.col("c_custkey")).withColumn("c", F.expr("CASE WHEN o_orderkey % 50 <> 0 THEN c_name END"))
+    return stats.flow_links(rows, "r_name", "n_name", "c", 25)
+
+
 @query("SELECT count(quality) AS with_id, count(*) - count(quality) AS without_id, round(100.0 * count(quality) / count(*), 4)::DOUBLE AS percent FROM documents LEFT JOIN labels USING (doc_id)")
 def id_presence(documents, labels):
     return stats.presence(documents.join(labels, "doc_id", "left"), F.col("quality").cast("string"))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamina.functions import scalar as S
-from lamina.operators import dedup, enrich, fingerprint, match, resolve
+from lamina.operators import dedup, enrich, fingerprint, match, resolve, stats
 from lamina.plans import queries as q
 from lamina.sources import files
 from lamina.streaming import incremental
@@ -96,6 +96,17 @@ def test_incremental_batch(spark):
     assert [tuple(r) for r in incremental.dedup_batch(batch, known, "d", "k").select("k", "d").collect()] == [(1, "a")]
 
 
+def test_flow_has_all_first_links_and_the_top_of_the_second(spark):
+    rows = [("M", f"c{i % 12}", f"g{i:02d}") for i in range(30) for _ in range(31 - i)] + [("M", None, None), ("N", " ", "g00"), (None, "c1", None)]
+    got = [tuple(r) for r in stats.flow_links(spark.createDataFrame(rows, "m string, c string, g string"), "m", "c", "g", 25).collect()]
+    assert len(got) == len(set(got))
+    assert {r[1:3] for r in got if r[0] == 1} == {("M", f"c{i}") for i in range(12)} | {("M", "Unknown (M)"), ("N", "Unknown (N)"), ("Unknown", "c1")}
+    assert {r[2] for r in got if r[0] == 2} == {f"g{i:02d}" for i in range(25)}
+    assert sum(r[3] for r in got if r[0] == 1) == len(rows) and (2, "c0", "g00", 31) in got and (2, "Unknown (N)", "g00", 1) in got
+    links = q.QUERIES["taxonomy_links"](spark, SF).collect()
+    assert len({r.child for r in links if r.level == 1}) == 25 and len({r.child for r in links if r.level == 2}) == 25
+
+
 @pytest.mark.parametrize("name", sorted(q.SQL))
 def test_query_equals_sql(spark, name):
     c = duckdb.connect()
