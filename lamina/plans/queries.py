@@ -136,6 +136,20 @@ def registry_merge(documents):
     return match.merge_registries(e, s, "doc_id", {"source": False, "lang": False, "note": True})
 
 
+@query(
+    """WITH e AS (SELECT doc_id, source, CASE WHEN doc_id % 5 <> 0 THEN lang END AS lang, text AS note FROM documents WHERE doc_id % 3 <> 0),
+    s AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'other' ELSE source END AS source, lang, CASE doc_id % 4 WHEN 0 THEN text || ' with an addition' WHEN 1 THEN substr(text, 20) WHEN 2 THEN text END AS note FROM documents WHERE doc_id % 3 <> 1),
+    b AS (SELECT coalesce(e.doc_id, s.doc_id) AS doc_id, CASE WHEN s.doc_id IS NULL THEN 'existing' WHEN e.doc_id IS NULL THEN 'new' ELSE 'both' END AS origin, trim(e.source) AS es, trim(s.source) AS ss, e.lang AS el, s.lang AS sl, nullif(trim(e.note), '') AS en, nullif(trim(s.note), '') AS sn FROM e FULL JOIN s ON e.doc_id = s.doc_id)
+    SELECT doc_id, origin, coalesce(es, ss) AS source, coalesce(el, sl) AS lang, CASE WHEN en <> sn AND length(sn) > length(en) THEN sn ELSE coalesce(en, sn) END AS note, (CASE WHEN es <> ss THEN 1 ELSE 0 END + CASE WHEN el <> sl THEN 1 ELSE 0 END)::INT AS n_conflicts FROM b"""
+)
+def registry_merge_texts(documents):
+    """registry_merge over whole texts; on the staged side a part is added or removed."""
+    e = documents.filter("doc_id % 3 <> 0").select("doc_id", "source", F.expr("CASE WHEN doc_id % 5 <> 0 THEN lang END AS lang"), F.col("text").alias("note"))
+    note = F.expr("CASE doc_id % 4 WHEN 0 THEN text || ' with an addition' WHEN 1 THEN substr(text, 20) WHEN 2 THEN text END AS note")
+    s = documents.filter("doc_id % 3 <> 1").select("doc_id", F.expr("CASE WHEN doc_id % 7 = 0 THEN 'other' ELSE source END AS source"), "lang", note)
+    return match.merge_registries(e, s, "doc_id", {"source": False, "lang": False, "note": True})
+
+
 @query(
     """WITH a AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN year(o_orderdate)::VARCHAR END AS path_year, CASE WHEN o_custkey % 3 = 0 THEN (1990 + o_custkey % 9)::VARCHAR END AS model_year FROM orders),
     l AS (SELECT l_orderkey, year(min(l_shipdate))::VARCHAR AS photo_year FROM lineitem GROUP BY 1)
@@ -213,6 +227,12 @@ def sanitize_names(documents):
     return documents.select("doc_id", name.alias("safe_name"), full.alias("new_name"))
 
 
+@query(r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '[^\p{L}\p{N}_\-]+', '_', 'g'), '^_+|_+$', '', 'g'), '_+', '_', 'g') AS safe_name FROM documents")
+def sanitize_texts(documents):
+    """sanitize_names over whole texts."""
+    return documents.select("doc_id", S.sanitize(F.col("text")).alias("safe_name"))
+
+
 @query("SELECT c_custkey AS k, 'CUSTOMER-' || regexp_extract(c_name, '([0-9]+)$', 1) AS normal FROM customer UNION ALL SELECT s_suppkey, 'SUPPLIER-' || regexp_extract(s_name, '([0-9]+)$', 1) FROM supplier UNION ALL SELECT p_partkey, 'BRAND-' || regexp_extract(p_brand, '([0-9]+)$', 1) FROM part")
 def normalize_ids(customer, supplier, part):
     parts = [(customer, "c_custkey", "c_name"), (supplier, "s_suppkey", "s_name"), (part, "p_partkey", "p_brand")]

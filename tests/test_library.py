@@ -107,6 +107,16 @@ def test_flow_has_all_first_links_and_the_top_of_the_second(spark):
     assert len({r.child for r in links if r.level == 1}) == 25 and len({r.child for r in links if r.level == 2}) == 25
 
 
+def test_whole_texts_reach_the_operators(spark, tmp_path):
+    texts = {i: f"{'word, ' * 40}{i} tail (end)" for i in range(12)}
+    spark.createDataFrame([(i, "s", "en", t) for i, t in texts.items()], "doc_id long, source string, lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.safe_name for r in q.QUERIES["sanitize_texts"](spark, str(tmp_path)).collect()}
+    assert got == {i: f"{'word_' * 40}{i}_tail_end" for i in texts}
+    notes = {r.doc_id: r.note for r in q.QUERIES["registry_merge_texts"](spark, str(tmp_path)).collect()}
+    # 2, 5, 8 and 11 are on both sides: equal, shortened, lengthened, and empty on the staged side; 0, 3, 6 and 9 are staged only
+    assert notes == {i: t + " with an addition" if i in (0, 8) else t[19:].strip() if i == 9 else None if i == 3 else t for i, t in texts.items()}
+
+
 @pytest.mark.parametrize("name", sorted(q.SQL))
 def test_query_equals_sql(spark, name):
     c = duckdb.connect()
