@@ -93,6 +93,28 @@ def test_decontaminate_reports_repeated_and_null_keys(spark, tmp_path, monkeypat
     assert order(map(tuple, kept.collect())) == order(r for r in rows if not found(r[1]))
 
 
+def test_pipeline_keeps_whole_rows(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    long = [f"The {a} house and the {b} garden of that town were built with care, and they have been loved by all since then." for a, b in itertools.product(("old", "new"), ("red", "big"))]
+    texts = [(1, A), (2, A), (3, B), (3, B), (None, A), (None, A), (None, None), (4, ""), (5, long[0] * 3), (6, " ".join(long)), (None, "one")]
+    rows = [(i, t, "en", [None, "a", "b"][k % 3], "clash", "clash", "clash", "clash") for k, (i, t) in enumerate(texts)]
+    rows[3] = rows[2]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, kept string, size string, taken string, contaminated string")
+    table.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    docs, given = spark.read.parquet(str(tmp_path / "documents.parquet")), sorted(rows, key=str)
+    got = {}
+    for stage in (pipeline.quality_rules, pipeline.near_duplicates, pipeline.mixture):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        got[stage.__name__] = sorted(map(tuple, out.collect()), key=str)
+    verdict = {r.text: r.kept for r in quality.score_quality(docs.select("text"), keep=["text"]).collect()}
+    assert got["quality_rules"] == [r for r in given if verdict[r[1]]]
+    once = [r for k, r in enumerate(given) if r[0] is None or r not in given[:k]]
+    assert got["near_duplicates"] == [r for r in once if r[0] != 2]
+    assert got["mixture"] and all(r in given for r in got["mixture"])
+
+
 def groups(texts):
     """Set size and component of each text."""
 
