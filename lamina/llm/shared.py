@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import posixpath
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -33,21 +37,94 @@ def shared_dir(spark: SparkSession) -> str:
     """A new folder under spark.checkpoint.dir; only where that is unset (tests), under a local one."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: executors need a folder that all of them see")
         top = "file://" + tempfile.mkdtemp(prefix="lamina-")
         spark.conf.set("spark.checkpoint.dir", top)
     return posixpath.join(top, uuid.uuid4().hex)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs started inside send at most so many rows at once to Python workers: whole texts are large, and JVM and worker both hold a batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task that gives freed memory back when it ends: its worker lives on, idle, beside those of later stages."""
+
+    def all_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # only the GNU C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return all_of
+
+
+_scope: ContextVar[Tables | None] = ContextVar("tables", default=None)
+
+
+class Tables:
+    """The working tables of an operator: those that its result does not read go when it ends."""
+
+    def __init__(self) -> None:
+        self.made: dict[str, SparkSession] = {}
+        self.kept: dict[str, SparkSession] = {}
+
+    def __enter__(self) -> Tables:
+        self.outer = _scope.set(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        _scope.reset(self.outer)
+        outer = _scope.get()
+        for path, spark in self.made.items():
+            discard(spark, path)
+        if outer is not None:  # what the result of a part reads is a working table of the whole
+            outer.made |= self.kept
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """A table that the result reads."""
+        self.kept[df.working_path] = self.made.pop(df.working_path)
+        return df
+
+    def drop(self, df: DataFrame) -> None:
+        """A table that is no longer needed."""
+        if (path := df.__dict__.get("working_path")) in self.made:
+            discard(self.made.pop(path), path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cuts lineage with a Parquet table in the shared folder, so a lost executor costs a re-read only."""
-    path = shared_dir(df.sparkSession)
+    spark, path = df.sparkSession, shared_dir(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["working_path"] = path
+    if (scope := _scope.get()) is not None:
+        scope.made[path] = spark
+    return out
 
 
 def store(path: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a URI or plain path, and the path in it."""
-    return (pafs.LocalFileSystem(), path) if path.startswith("/") else pafs.FileSystem.from_uri(path)
+    if path.startswith("/"):
+        return pafs.LocalFileSystem(), path
+    scheme, mark, rest = path.partition("://")
+    return pafs.FileSystem.from_uri(("s3" if scheme in ("s3a", "s3n") else scheme) + mark + rest)
 
 
 def put(path: str, parts: Iterator[bytes]) -> int:
@@ -60,7 +137,12 @@ def put(path: str, parts: Iterator[bytes]) -> int:
         for part in parts:
             out.write(part)
             n += len(part)
-    fs.move(own, at)
+    try:
+        fs.move(own, at)
+    except OSError:  # a store that does not replace files: an earlier run of this task has left the same one
+        if fs.get_file_info(at).type != pafs.FileType.File:
+            raise
+        fs.delete_file(own)
     return n
 
 
@@ -131,6 +213,31 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * powers(INVERSE, len(prefix))[start] + (end - start).astype(np.uint64))
 
 
+#: The lowest 0 … 8 bytes of a number.
+_low = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Bytes of a word that are hashed by vectors; what is longer goes through blake2b.
+SHORT = 64
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words start…end by their bytes: eight are mixed in at a time, so no pattern of bytes cancels out as in a polynomial."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    wide = np.ndarray(len(data) + 1, "<u8", padded.data, strides=(1,))
+    size = end - start
+    out = mix(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    live, k = np.arange(len(size)), 0
+    while len(live) and k < SHORT:
+        part = wide[start[live] + k] & _low[np.minimum(size[live] - k, 8)]
+        out[live] = mix((out[live] ^ part) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k))
+        k += 8
+        live = live[size[live] > k]
+    for i in live.tolist():
+        rest = np.frombuffer(blake2b(data[start[i] + k : end[i]].tobytes(), digest_size=8).digest(), np.uint64)
+        out[i : i + 1] = mix((out[i : i + 1] ^ rest) * np.uint64(0x9E3779B97F4A7C15))
+    return out
+
+
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
 

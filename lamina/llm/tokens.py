@@ -1,7 +1,7 @@
 """Token ids in binary files, coded by a static range asymmetric numeral system (rANS).
 
-Files hold frames; a frame holds whole documents in order and is coded in
-independent blocks. A block interleaves LANES coder states; all blocks share one
+Files hold frames, a file those of one shard that one task codes; a frame holds
+whole documents in order and is coded in independent blocks. A block interleaves LANES coder states; all blocks share one
 frequency table, which is counted over the whole corpus and written beside the
 files. The directory of a frame has for each block its number of ids and words
 and a crc32 of its ids, so that any block can be decoded alone, and blocks are
@@ -19,19 +19,22 @@ empty table gives no files and an empty result; other columns are left out.
 from __future__ import annotations
 
 import functools
+import itertools
+import json
 import os
-import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm.shared import materialize, put, shared_dir, store
+from lamina.llm.shared import Tables, arrow_rows, blocks, frugal, materialize, put, shared_dir, store, string_bytes
 
 #: Fixed by the contract: the id that ends a document.
 END = 0
@@ -40,65 +43,148 @@ FRAME, BLOCK, LANES, BITS = 1 << 20, 1 << 16, 64, 20
 LOW = 1 << 31  # states stay in LOW … 2**63, and move 32 bits at a time
 HEAD = struct.Struct("<4sHHIIIQQI")  # magic, version, lanes, block, crc of the table, documents, ids, ids before, blocks
 MAGIC, VERSION = b"RNSF", 1
-#: Word pieces that a worker remembers.
-REMEMBER = 1 << 20
+#: Stretches that a worker remembers (as many again while it renews them), and their longest; bytes of text that it looks at together.
+#: Workers live on after a task, so what they remember stays small, and only what occurs twice in a block is worth it.
+REMEMBER, LONGEST, TEXT_BLOCK = 1 << 17, 64, 8 << 20
+#: Texts that are sent to a Python worker at once.
+TEXTS = 4000
 
 
 # --- tokenising
 
+#: Classes of bytes: letter, digit, other sign, apostrophe, space, other white space, and bytes of which it takes more to tell.
+LETTER, DIGIT, SIGN, QUOTE, SPACE, BREAK, OPEN = range(7)
+_class = np.full(256, OPEN, np.uint8)
+for _c in range(0x21, 0x7F):
+    _class[_c] = LETTER if chr(_c).isalpha() else DIGIT if chr(_c).isdigit() else SIGN
+_class[0x27], _class[0x20], _class[0x09:0x0E] = QUOTE, SPACE, BREAK
+#: Whether a piece ends between two classes, whatever stands around them. An apostrophe can begin a contraction.
+_ends = np.zeros((7, 7), bool)
+_ends[:4, :6] = _ends[BREAK, :6] = True
+np.fill_diagonal(_ends, False)
+for _pair in ((SIGN, QUOTE), (QUOTE, SIGN), (QUOTE, LETTER), (QUOTE, DIGIT), (BREAK, SPACE)):
+    _ends[_pair] = False
+_ends = _ends.reshape(-1)
+#: Bytes that begin a character which is surely no white space.
+_solid = _class <= QUOTE
+_solid[0xC3:0xE1] = _solid[0xE4:0xF5] = True
+
+
+def stretches(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Offsets at which a piece of the byte-level pattern surely ends: all of `at`, and what single bytes and their neighbours tell.
+
+    Runs of letters, digits and signs are pieces of their own, with a space that
+    stands before them; the last of several spaces before another character stands
+    alone, or goes with it.
+    """
+    kind = _class[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)  # U+00C0 to U+00FF: letters but for two signs
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    kind[lead] = kind[lead + 1] = LETTER
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = _ends[kind[:-1] * np.uint8(7) + kind[1:]]
+    spaced = ((kind[:-1] == SPACE) | (kind[:-1] == BREAK)) & _solid[data[1:]]
+    last = at[1:] - 1
+    spaced[last[(last >= 0) & (last < len(spaced))]] = False  # what follows is another text
+    cut[: max(0, len(data) - 1)] |= spaced
+    cut[at] = True
+    return np.flatnonzero(cut)
+
 
 class Pieces:
-    """Encodes texts with the tokenizers library, calling it once for each distinct stretch between single spaces.
+    """Encodes texts with the tokenizers library, calling it once for each distinct stretch (see `stretches`).
 
-    The byte-level pattern never joins characters before a single space with
-    those after it, so the ids of such stretches, each with its leading space,
-    are those of the text. Texts with other uses of a space, or with something
-    that looks like a special token, are encoded whole.
+    The pattern splits a text before anything is merged, so the ids of stretches
+    that end where pieces end are those of the text. Texts with something that the
+    library treats as a special token are encoded whole, and so are all texts
+    where the tokenizer is not of this kind.
     """
 
-    _odd = re.compile(r" \s|\s |^ |\s$| $")
-
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-        self.splits = '"use_regex":true' in self.library.to_str().replace(" ", "") and '"add_prefix_space":false' in self.library.to_str().replace(" ", "")
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        cut: dict[int, list[str]] = {}
-        for i, t in enumerate(texts):
-            if self.splits and t and "<|" not in t and not self._odd.search(t):
-                cut[i] = t.replace(" ", "\0 ").split("\0") if "\0" not in t else [t]
-        rest = [i for i in range(len(texts)) if i not in cut]
-        for i, ids in zip(rest, self.whole([texts[i] for i in rest]), strict=True):
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        parts = json.loads(self.library.to_str())
+        before, model = parts["pre_tokenizer"] or {}, parts["model"]
+        self.splits = parts["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+        self.splits = self.splits and model.get("type") == "BPE" and not model.get("dropout")
+        self.special = [t["content"] for t in parts["added_tokens"]]
+        vocabulary = self.library.get_vocab()
+        self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)  # each character of a byte-level token is one byte
+        self.bytes_of[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def ask(self, stretches: list[bytes], together: bool = False) -> list[bytes]:
+        """Ids of each stretch; together: those before which a piece ends in any case are encoded as one text, and told apart by the bytes of their ids."""
+        out: list[bytes | None] = [None] * len(stretches)
+        if together:
+            solid = _solid.tolist()
+            at = [i for i, s in enumerate(stretches) if 1 < len(s) <= LONGEST and s[0] == 0x20 and solid[s[1]]]
+            groups = [at[k : k + 1000] for k in range(0, len(at), 1000)]
+            texts = [b"".join([stretches[i] for i in g]).decode(errors="replace") for g in groups]
+            for group, e in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False) if texts else [], strict=True):
+                ids = np.array(e.ids, self.kind)
+                ends, reached = np.cumsum([len(stretches[i]) for i in group]), np.cumsum(self.bytes_of[ids])
+                last = np.searchsorted(reached, ends)
+                if last[-1] == len(ids) - 1 and (reached[last] == ends).all():
+                    raw, edge = ids.tobytes(), [0, *((last + 1) * self.kind.itemsize).tolist()]
+                    for i, a, b in zip(group, edge[:-1], edge[1:], strict=True):
+                        out[i] = raw[a:b]
+        alone = [i for i, ids in enumerate(out) if ids is None]
+        got = self.library.encode_batch_fast([stretches[i].decode(errors="replace") for i in alone], add_special_tokens=False) if alone else []
+        for i, e in zip(alone, got, strict=True):
+            out[i] = array(self.code, e.ids).tobytes()
+        return out
+
+    def look(self, stretches: list[bytes], often: list[bool], together: bool) -> list[bytes]:
+        """Ids of distinct stretches; those that are frequent are remembered while they are used."""
+        if len(self.known) > REMEMBER:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        out = [known.get(s) for s in stretches]
+        new = []
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            ids = older.get(stretches[i])
+            if ids is None:
+                new.append(i)
+            else:
+                out[i] = known[stretches[i]] = ids
+        for i, ids in zip(new, self.ask([stretches[i] for i in new], together), strict=True):
             out[i] = ids
-        known, new = self.known, set()
-        for parts in cut.values():
-            new.update(parts)
-        new -= known.keys()
-        # a letter and then one of these always end a piece of the pattern
-        ends = {p: p[:-1] for p in new if len(p) > 2 and p[-1] in ".,;:!?" and p[-2].isalpha()}
-        ask = {ends.get(p, p) for p in new} | {p[-1] for p in ends}
-        ask = list(ask - known.keys())
-        fresh = dict(zip(ask, self.whole(ask), strict=True))
-        get = lambda p: fresh.get(p) if p in fresh else known[p]
-        fresh |= {p: get(core) + get(p[-1]) for p, core in ends.items()}
-        if len(known) + len(fresh) <= REMEMBER:
-            known.update(fresh)
-            look = known
-        else:
-            look = {**{p: known[p] for parts in cut.values() for p in parts if p in known}, **fresh}
-        for i, parts in cut.items():
-            out[i] = b"".join(map(look.__getitem__, parts))
+            if often[i] and len(stretches[i]) <= LONGEST:
+                known[stretches[i]] = ids
         return out
 
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and where each text's begin (as offsets)."""
+        data, at = string_bytes(texts)
+        together = True
+        if self.splits and len(data):
+            edge = stretches(data, at)
+            for token in self.special:
+                whole = np.flatnonzero(pc.match_substring(pc.fill_null(texts, ""), token).to_numpy(zero_copy_only=False))
+                together &= not len(whole)
+                for i in whole.tolist():
+                    edge = np.concatenate([edge[: np.searchsorted(edge, at[i], "right")], edge[np.searchsorted(edge, at[i + 1]) :]])
+        else:
+            edge = np.unique(at)
+        cut = pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, pa.py_buffer(edge.astype(np.int32)), pa.py_buffer(data)]).dictionary_encode()
+        distinct = cut.dictionary.to_pylist()
+        if self.splits:
+            often = np.bincount(cut.indices.to_numpy(), minlength=len(distinct)) > 1
+            got = self.look(distinct, often.tolist(), together)
+        else:
+            got = self.ask(distinct)
+        ids = pa.array(got, pa.binary()).take(cut.indices)
+        begins = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]
+        raw = ids.buffers()[2]
+        flat = np.frombuffer(raw, self.kind, int(begins[-1]) // self.kind.itemsize) if raw is not None and len(edge) > 1 else np.zeros(0, self.kind)
+        return flat, begins[np.searchsorted(edge, at)].astype(np.int64) // self.kind.itemsize
+
 
 @functools.lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
@@ -257,74 +343,89 @@ def pack(docs: DataFrame, tokenizer: str, key: str, text: str, frame: int = FRAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, shard = pieces(tokenizer), TaskContext.get().partitionId()
-        end = np.array([END], tool.kind).tobytes()
-        held: list[tuple] = []
+        held: list[tuple[np.ndarray, ...]] = []
         before = size = number = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal held, before, size, number
-            keys = np.array([0 if k is None else k for k, _ in held], "<i8")
-            known = np.array([k is not None for k, _ in held], "u1")
-            counts = np.array([len(i) // tool.kind.itemsize for _, i in held], "<u4")
-            row = [shard, number, before, size, keys.tobytes(), known.tobytes(), counts.tobytes(), b"".join(i for _, i in held)]
+            keys, known, counts, ids = (np.concatenate(c) for c in zip(*held, strict=True))
+            row = [shard, number, before, size, keys.astype("<i8").tobytes(), known.astype("u1").tobytes(), counts.astype("<u4").tobytes(), ids.tobytes()]
             before, number, size, held = before + size, number + 1, 0, []
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names=names)
 
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            keys = batch.column("key").to_pylist()
-            for i in range(0, len(texts), 256):
-                for k, ids in zip(keys[i : i + 256], tool.encode([t or "" for t in texts[i : i + 256]]), strict=True):
-                    held.append((k, (ids or b"") + end))
-                    size += len(held[-1][1]) // tool.kind.itemsize
+            _, at = string_bytes(batch.column("text"))
+            known = batch.column("key").is_valid().to_numpy(zero_copy_only=False)
+            keys = batch.column("key").fill_null(0).to_numpy()
+            for i, j in blocks(at, TEXT_BLOCK):
+                ids, begins = tool.encode(batch.column("text").slice(i, j - i))
+                counts = np.diff(begins) + 1
+                edge = np.concatenate([[0], np.cumsum(counts)])
+                full, own = np.full(edge[-1], END, tool.kind), np.ones(edge[-1], bool)
+                own[edge[1:] - 1] = False
+                full[own] = ids
+                a = 0
+                while a < j - i:  # a frame ends with the document that fills it
+                    b = min(j - i, int(np.searchsorted(edge, edge[a] + frame - size)))
+                    held.append((keys[i + a : i + b], known[i + a : i + b], counts[a:b], full[edge[a] : edge[b]]))
+                    size += int(edge[b] - edge[a])
+                    a = b
                     if size >= frame:
                         yield flush()
         if held:
             yield flush()
+        tool.older.clear()
 
-    return rows.mapInArrow(run, "shard int, frame int, before long, n long, keys binary, known binary, counts binary, ids binary")
+    return rows.mapInArrow(frugal(run), "shard int, frame int, before long, n long, keys binary, known binary, counts binary, ids binary")
 
 
-def write(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", folder: str | None = None) -> tuple[list[str], str]:
+def write(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", folder: str | None = None, frame: int = FRAME) -> tuple[list[str], str]:
     """Writes coded files and the frequency table; returns their paths."""
     from tokenizers import Tokenizer
 
     folder = folder or shared_dir(docs.sparkSession)
     n_ids = max(Tokenizer.from_file(tokenizer).get_vocab_size(), END + 1)
     kind = np.dtype("<u2" if n_ids <= 1 << 16 else "<u4")
-    frames = materialize(pack(docs, tokenizer, key, text))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n_ids, np.int64)
-        for batch in batches:
-            for raw in batch.column("ids"):
-                total += np.bincount(np.frombuffer(raw.as_buffer(), kind), minlength=n_ids)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"id": pa.array(at, pa.int64()), "n": pa.array(total[at], pa.int64())})
-
-    got = frames.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # one row for each id
-    counts = np.zeros(n_ids, np.int64)
-    counts[got["id"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
-    table = Table(quantise(counts))
-    put(f"{folder}/table.freq", iter([table.raw]))
-    base, total = {}, 0
-    for r in frames.groupBy("shard").agg(F.sum("n").alias("n")).orderBy("shard").collect():  # one row for each shard
-        base[r["shard"]], total = total, total + r["n"]
-    held = docs.sparkSession.sparkContext.broadcast((table.raw, base))
-
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, base = held.value
-        table = Table(np.frombuffer(raw, "<u4"))
-        for batch in batches:
-            for r in batch.to_pylist():
-                ids = np.frombuffer(r["ids"], kind).astype(np.int64)
-                parts = np.frombuffer(r["keys"], "<i8"), np.frombuffer(r["known"], "u1"), np.frombuffer(r["counts"], "<u4")
-                path = f"{folder}/{r['shard']:06d}-{r['frame']:06d}.rans"
-                size = put(path, iter([encode_frame(*parts, ids, base[r["shard"]] + r["before"], table)]))
+    with Tables(), arrow_rows(docs.sparkSession, TEXTS):
+        frames = materialize(pack(docs, tokenizer, key, text, frame))
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(n_ids, np.int64)
+            for batch in batches:
+                for raw in batch.column("ids"):
+                    total += np.bincount(np.frombuffer(raw.as_buffer(), kind), minlength=n_ids)
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_pydict({"id": pa.array(at, pa.int64()), "n": pa.array(total[at], pa.int64())})
+
+        got = frames.select("ids").mapInArrow(frugal(count), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # one row for each id
+        counts = np.zeros(n_ids, np.int64)
+        counts[got["id"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
+        table = Table(quantise(counts))
+        put(f"{folder}/table.freq", iter([table.raw]))
+        base, total = {}, 0
+        for r in frames.groupBy("shard").agg(F.sum("n").alias("n")).orderBy("shard").collect():  # one row for each shard
+            base[r["shard"]], total = total, total + r["n"]
+        held = docs.sparkSession.sparkContext.broadcast((table.raw, base))
+
+        def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            raw, base = held.value
+            table = Table(np.frombuffer(raw, "<u4"))
+
+            def coded(rows: Iterator[dict]) -> Iterator[bytes]:
+                for r in rows:
+                    ids = np.frombuffer(r["ids"], kind).astype(np.int64)
+                    parts = np.frombuffer(r["keys"], "<i8"), np.frombuffer(r["known"], "u1"), np.frombuffer(r["counts"], "<u4")
+                    yield encode_frame(*parts, ids, base[r["shard"]] + r["before"], table)
+
+            rows = (batch.slice(i, 1).to_pylist()[0] for batch in batches for i in range(batch.num_rows))
+            for shard, run in itertools.groupby(rows, lambda r: r["shard"]):  # the frames of a shard that this task reads, in order
+                first = next(run)
+                path = f"{folder}/{shard:06d}-{first['frame']:06d}.rans"
+                size = put(path, coded(itertools.chain([first], run)))
                 yield pa.RecordBatch.from_pydict({"path": [path], "bytes": [size]})
 
-    made = frames.mapInArrow(code, "path string, bytes long").collect()  # one short row for each file
-    return sorted(r["path"] for r in made), f"{folder}/table.freq"
+        made = frames.mapInArrow(frugal(code), "path string, bytes long").collect()  # one short row for each file
+        return sorted(r["path"] for r in made), f"{folder}/table.freq"
 
 
 def read(spark: SparkSession, paths: list[str], table_path: str, with_ids: bool = True) -> DataFrame:
@@ -354,8 +455,8 @@ def read(spark: SparkSession, paths: list[str], table_path: str, with_ids: bool
     kind = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
     if not paths:
         return spark.createDataFrame([], kind)
-    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 4096))
-    return files.mapInArrow(run, kind)
+    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(len(paths))
+    return files.mapInArrow(frugal(run), kind)
 
 
 def round_trip(docs: DataFrame, tokenizer: str, with_ids: bool = True, **options) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import partial
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,6 +156,21 @@ def test_ngram_join_of_near_copies(spark, monkeypatch, large, cell):
     assert got == want and len({c for _, c in want.values()}) > 5
 
 
+def test_ngram_join_tells_long_patterned_words_apart(spark):
+    """Thue-Morse words and their complements have equal polynomials modulo 2**64, whatever the base."""
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = [word, word.translate(str.maketrans("ab", "ba")), word[:1024], word[1024:], "x" * 64, "x" * 65, "x" * 66, "y" * 3_000_000, "y" * 3_000_001, word, "z " * 5, None]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, word), (None, "null key"), (None, word)]
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(got) == len(rows)
+    want = groups(texts)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == want
+    assert want[9] == (1, 0) and len({c for _, c in want.values()}) == len(texts) - 1
+    assert all(r.component_id in (None, 0) for r in got if r.doc_id is None)
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95)], "a long, b long")
     got = {r.node: r.component for r in graph.components(links).collect() if r.node != r.component}
@@ -170,6 +186,42 @@ def test_langid(docs, empty):
     assert langid.identify(empty, docs).count() == 0
 
 
+def test_langid_equals_plain_bundling(spark, monkeypatch):
+    """Prototypes and scores against a plain computation, and languages of one script told apart."""
+    monkeypatch.setattr(langid, "BLOCK", 64)
+    monkeypatch.setattr(langid, "HELD", 50)
+    texts = [
+        (1, "the cat sat on the mat and the hat", "en"), (2, "der hund und die katze", "de"), (3, "The dog, the fox! 7 of them", "en"), (4, "это просто текст о том и этом", "ru"),
+        (5, "це просто їжа і її ґанок та під'їзд", "uk"), (6, "один день и ещё один день", "ru"), (7, "ще її діти їдять", "uk"), (8, "語学 を 学ぶ", "ja"), (9, "123 -- 456", "none"),
+    ]
+    learn = spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(3)
+    letters = [np.roll(np.random.default_rng(5).integers(0, 2, (langid.SYMBOLS, langid.SIZE), dtype=np.int8) * 2 - 1, k, axis=1) for k in range(3)]
+
+    def profile(text):
+        code = [int(langid.symbols()[ord(c)]) for c in text + " "]
+        code = [c for k, c in enumerate(code) if c or (k and code[k - 1])]
+        return sum((letters[2][a] * letters[1][b] * letters[0][c] for a, b, c in zip(code, code[1:], code[2:])), np.zeros(langid.SIZE))
+
+    total = {}
+    for _, t, lang in texts:
+        total[lang] = total.get(lang, 0) + profile(t)
+    names, proto = langid.prototypes(langid.language_counts(learn, "text", "lang"))
+    assert names == sorted(n for n in total if np.any(total[n]))
+    unit = lambda v: v / max(np.linalg.norm(v), 1e-12)
+    assert np.allclose(proto, [unit(total[n]) for n in names], atol=1e-6)
+    new = [(10, "the end of the cat"), (10, "the end of the cat"), (11, "и это день"), (12, "її їжа"), (13, "学語"), (14, "9 9"), (15, "x " * 200_000), (16, None)]
+    got = langid.predict(spark.createDataFrame(new, "doc_id long, text string").repartition(2), names, proto).collect()
+    assert len(got) == len(new)
+    for r in got:
+        text = dict(new)[r.doc_id]
+        if not text or not any(c.isalpha() for c in text):
+            assert (r.lang_pred, r.score) == ("und", 0)
+        else:
+            cos = [float(unit(profile(text)) @ unit(total[n])) for n in names]
+            assert r.lang_pred == names[int(np.argmax(cos))] and abs(r.score - max(0, max(cos))) < 1e-4
+    assert {r.doc_id: r.lang_pred for r in got}[11] == "ru" and {r.doc_id: r.lang_pred for r in got}[12] == "uk"
+
+
 def test_toxicity(spark, docs, empty):
     train = spark.createDataFrame([(i, f"plain words number {i} " + ("vile scum" if i % 2 else "kind friend"), i % 2) for i in range(60)], "doc_id long, text string, toxic int")
     model = toxicity.learn(train, train.select("doc_id", "toxic"))
@@ -192,10 +244,35 @@ def test_tokens_round_trip(docs, empty):
     assert tokens.round_trip(empty, TOKENIZER).count() == 0
 
 
-@pytest.mark.parametrize("text", ["a  b", " a", "a ", "a\n b", "a \nb", "a\n\n b \n c", "don't stop, I'll go!", "x  y", "1,2 3.4", "é, ü. ß!", "a\0 b", "<|endoftext|> z", "tab\t x"])
-def test_pieces_equal_the_library(text):
+ODD = [
+    "a  b", " a", "a ", "a\n b", "a \nb", "a\n\n b \n c", "don't stop, I'll go! '1 ''s --'s 'tis l'été", "x  y", "1,2 3.4", "é, ü. ß! ×÷ a×b ª º", "a\0 b", "<|endoftext|> z", "tab\t x", "", None,
+    "x\u00a0 y \u2003z \u3000 w\u1680 \u0085 q", "漢字 かな, 12½ x²", "end  ", "  start", "\x1c \x1d a\x7fb", "a" * 300 + " 5" * 300, "🙂 🙂🙂 a🙂b", "e\u0301 a\u0308, o", " \t \r\n  v\v\f", "|| ## ** a_b-c (d) [e]",
+]
+
+
+def test_pieces_equal_the_library(monkeypatch):
+    rng = np.random.default_rng(3)
+    made = ["".join(rng.choice(list("aB1,' \n\té×\u00a0漢\u2003.-"), rng.integers(1, 60))) for _ in range(3000)]
+    for remember in (tokens.REMEMBER, 5):
+        monkeypatch.setattr(tokens, "REMEMBER", remember)
+        p = tokens.Pieces(TOKENIZER)
+        assert p.splits
+        for texts in (ODD, made[:1500], made[1500:], ODD, [], [None, ""]):
+            ids, at = p.encode(pa.array(texts, pa.string()))
+            want = [p.library.encode(t or "", add_special_tokens=False).ids for t in texts]
+            assert [ids[a:b].tolist() for a, b in itertools.pairwise(at)] == want
+
+
+@pytest.mark.parametrize("frame", [tokens.FRAME, 7, 1])
+def test_tokens_of_repeated_and_null_keys_in_several_frames(spark, frame):
+    rows = [(1, "one two three"), (1, None), (1, "one two three"), (None, "null key"), (None, ""), (2, "x " * 500), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     p = tokens.Pieces(TOKENIZER)
-    assert np.frombuffer(p.encode([text])[0], p.kind).tolist() == p.library.encode(text, add_special_tokens=False).ids
+    got = sorted(tokens.round_trip(docs, TOKENIZER, frame=frame).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None, None, 1, 1, 1, 2, 3]
+    assert [r.start for r in got] == np.cumsum([0] + [r.n_tokens for r in got[:-1]]).tolist()
+    ids = lambda t: [*p.library.encode(t or "", add_special_tokens=False).ids, 0]
+    assert sorted(((r.doc_id or 0, r.ids) for r in got)) == sorted(((k or 0, ids(t)) for k, t in rows))
 
 
 def test_coding_of_long_and_damaged_frames():
@@ -224,11 +301,16 @@ def test_coding_of_long_and_damaged_frames():
 
 def test_warc(spark):
     body = "<p>" + "x" * 200
-    rows = [(3, "http://a/", body), (1, None, body), (2, "http://b/\r\nX: y", body), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (7, "u", "é" * 99)]
+    rows = [(3, "http://a/", body), (1, None, body), (2, "http://b/\r\nX: y", body), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (7, "u", "é" * 99), (None, "v", body), (None, "w x", None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    pages = pages.select("*", F.lit("clash").alias("digest"), F.lit("clash").alias("first"))
     got = {r.page_id: r for r in warc.round_trip(pages).collect()}
+    none = [r for r in warc.round_trip(pages).collect() if r.page_id is None]
+    assert sorted((r.url, r.record_type, r.refers_to, r.payload_bytes) for r in none) == [("v", "response", None, 203), ("w%20x", "response", None, 0)]
+    del got[None]
+    assert got[1].url == "urn:page:1" and got[2].url == "http://b/%0D%0AX:%20y"
     assert {i: (r.record_type, r.refers_to) for i, r in got.items()} == {i: ("revisit", 1) if i in (2, 3) else ("response", None) for i in range(1, 8)}
-    for i, _, html in rows:
+    for i, _, html in rows[:-2]:
         raw = (html or "").encode()
         assert (got[i].payload_bytes, got[i].payload_digest) == (len(raw), sha256(raw).hexdigest())
     assert warc.round_trip(pages.limit(0)).count() == 0
@@ -254,6 +336,29 @@ def test_mixing(docs, empty, spark):
     assert mixing.mix(empty, F.array("source")).count() == 0
 
 
+def test_mixing_of_marks_ties_and_overlapping_sources(spark):
+    """Sources that hold the marks of patterns, repeated rows, and documents in several sources, against the definition of targets."""
+    odd = ["\x01", "a\x01b", "\x02", "\x02-", "~", "s", "", None, "a", "b"]
+    rows = [(k, odd[k % len(odd)], "w " * (1 + k % 7), "clash") for k in range(400)] + [(399, odd[9], "w " * 5, "clash")] * 2
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string, taken string"), F.array("source"), keep=["source", "taken"]).collect()
+    assert len(got) == len(rows)
+    sizes: dict = {}
+    for _, s, t, _ in rows:
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+    goal = mixing.targets(sizes, sum(sizes.values()))
+    for s in odd:
+        mine = [r for r in got if r.source == s]
+        assert {(r.source_size, r.target) for r in mine} == {(sizes[s], goal[s])}
+        assert abs(sum(r.taken for r in mine) - goal[s]) <= 8, s
+    both = spark.createDataFrame([(k, ["x"] if k % 3 == 0 else ["x", "y"] if k % 3 == 1 else ["z"], "w " * 3) for k in range(300)], "doc_id long, sources array<string>, text string")
+    got = mixing.mix(both, F.col("sources"), keep=["sources"]).collect()
+    # x holds 600 words, y and z 300 each: 150 % of the 900 there are, by 3, 1, 2; x can take 600 of its own and 2 x 300 that it shares with y
+    goal = mixing.targets({"x": 600, "y": 300, "z": 300}, 900)
+    assert abs(sum(r.taken for r in got if "z" in r.sources) - goal["z"]) <= 6
+    assert abs(sum(r.taken for r in got if "z" not in r.sources) - goal["x"] - goal["y"]) <= 6
+    assert all(r.taken <= 2 * r["size"] for r in got)
+
+
 @pytest.mark.parametrize("leaf", [mixing.LEAF, 8])
 def test_mixing_goes_on_behind_documents_that_do_not_fit(spark, leaf):
     rows = [(k, f"s{s}", "w " * (600 if k % 100 == 7 else 2 + k % 13)) for s in range(12) for k in range(s * 1000, s * 1000 + 300)]
