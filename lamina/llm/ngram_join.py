@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.graph import components
-from lamina.llm.shared import blocks, lower_ascii, materialize, mix, prefix_hash, shingle_hashes, span_hash, string_bytes, word_bounds
+from lamina.llm.shared import Tables, arrow_rows, blocks, frugal, lower_ascii, materialize, mix, shingle_hashes, string_bytes, word_bounds, word_hashes
 
 #: Fixed by the contract: words of a shingle, and the similarity in percent.
 WORDS, PERCENT = 4, 85
@@ -44,6 +44,12 @@ WORDS, PERCENT = 4, 85
 FREQUENT, MOST_FREQUENT, WIDE = 200, 100_000, 2
 #: Members of one band outside a tile's largest component from which it counts as large, and members of a cell of such a tile.
 LARGE, CELL = 256, 2048
+#: Hashes that a task gathers before it sends them, and compares at a time.
+CHUNK = 1 << 19
+#: Hashes of a partition at most, on average; a session's shuffle partitions are raised to this.
+PARTITION = 1 << 23
+#: Texts that are sent to a Python worker at once.
+TEXTS = 1000
 #: 64-bit words of a signature.
 SIGNATURE = 8
 #: Bits of the filter that keeps texts which nothing asks for out of a shuffle; when it is full, all texts pass.
@@ -55,7 +61,7 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, words: int = WORDS) -> list[n
     """Sorted distinct shingle hashes of each row."""
     data = lower_ascii(data)
     start, end, per = word_bounds(data, at)
-    h, row = shingle_hashes(span_hash(prefix_hash(data), start, end), per, words)
+    h, row = shingle_hashes(word_hashes(data, start, end), per, words)
     if len(row) and (np.diff(row) < 0).any():
         order = np.argsort(row, kind="stable")
         h, row = h[order], row[order]
@@ -113,26 +119,28 @@ def sketch(docs: DataFrame, key: str, text: str, percent: int, words: int, last:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = string_bytes(batch.column("text"))
-            sizes, hashes, prefixes, signs = [], [], [], []
             for i, j in blocks(at):
+                sizes, hashes, prefixes, signs = [], [], [], []
                 for grams in shingle_sets(data[at[i] : at[j]], at[i : j + 1] - at[i], words):
                     sizes.append(len(grams))
                     hashes.append(int(mix(grams + np.uint64(len(grams))).sum(dtype=np.uint64).view(np.int64)) if len(grams) else None)
                     prefixes.append(leading(grams) if len(grams) else None)
                     signs.append(signature(grams))
-            signs = np.array(signs, np.int64).reshape(-1, SIGNATURE)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(sizes, pa.int64()), pa.array(hashes, pa.int64()), pa.array(prefixes, pa.binary()), *(pa.array(signs[:, k]) for k in range(SIGNATURE))],
-                names=["key", "n", "hash", "prefix", *SIGNS],
-            )
+                signs = np.array(signs, np.int64).reshape(-1, SIGNATURE)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key").slice(i, j - i), pa.array(sizes, pa.int64()), pa.array(hashes, pa.int64()), pa.array(prefixes, pa.binary()), *(pa.array(signs[:, k]) for k in range(SIGNATURE))],
+                    names=["key", "n", "hash", "prefix", *SIGNS],
+                )
 
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
-    return materialize(rows.mapInArrow(run, "key long, n long, hash long, prefix binary, " + ", ".join(f"{s} long" for s in SIGNS)))
+    return materialize(rows.mapInArrow(frugal(run), "key long, n long, hash long, prefix binary, " + ", ".join(f"{s} long" for s in SIGNS)))
 
 
-def shared_prefixes(sketches: DataFrame, percent: int, wide: bool = False, chunk: int = 1 << 21) -> DataFrame:
+def shared_prefixes(sketches: DataFrame, percent: int, wide: bool = False, chunk: int = CHUNK) -> DataFrame:
     """(gram, hash) of all prefix hashes (wide: of all that the sketch holds) that two or more classes have."""
     parts = int(sketches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = sketches.agg(F.sum(F.octet_length("prefix") / 8 / (1 if wide else WIDE))).first()[0] or 0
+    parts = max(parts, int(total // PARTITION))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, owners, held, turn = [], [], 0, 0
@@ -140,6 +148,7 @@ def shared_prefixes(sketches: DataFrame, percent: int, wide: bool = False, chunk
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal turn
             g, o = np.concatenate(grams), np.concatenate(owners)
+            grams.clear(), owners.clear()
             order = np.lexsort((o, g))
             g, o = g[order], o[order]
             new = np.ones(len(g), bool)
@@ -167,7 +176,7 @@ def shared_prefixes(sketches: DataFrame, percent: int, wide: bool = False, chunk
                 held += len(grams[-1])
                 if held >= chunk:
                     yield from flush()
-                    grams, owners, held = [], [], 0
+                    held = 0
         if held:
             yield from flush()
 
@@ -181,19 +190,29 @@ def shared_prefixes(sketches: DataFrame, percent: int, wide: bool = False, chunk
                     yield out(g, o)
                 else:
                     grams.append(g), owners.append(o), many.append(np.frombuffer(r["many"], bool))
-        if grams:
-            g, o, m = np.concatenate(grams), np.concatenate(owners), np.concatenate(many)
-            order = np.lexsort((o, g))
-            g, o, m = g[order], o[order], m[order]
-            head = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-            count = np.diff(np.append(head, len(g)))
-            shared = np.logical_or.reduceat(m, head) | (np.minimum.reduceat(o, head) != np.maximum.reduceat(o, head))
-            keep = np.repeat(shared, count) & ~m
-            keep[1:] &= (g[1:] != g[:-1]) | (o[1:] != o[:-1]) | m[:-1]
-            yield out(g[keep], o[keep])
-
-    rows = sketches.filter("n > 0").select("prefix", "hash", "n").mapInArrow(send, "part int, sure boolean, grams binary, owners binary, many binary")
-    return rows.repartitionById(parts, "part").mapInArrow(match, "gram long, hash long")
+        if not grams:
+            return
+        g, o, m = np.concatenate(grams), np.concatenate(owners), np.concatenate(many)
+        grams.clear(), owners.clear(), many.clear()
+        # equal hashes share their low bits, so the partition is compared in ranges of those
+        slices = 1 << max(0, (len(g) // CHUNK).bit_length())
+        home = (mix(g) & np.uint64(slices - 1)).astype(np.uint16 if slices <= 1 << 16 else np.uint32)
+        for k in range(slices):
+            at = np.flatnonzero(home == k) if slices > 1 else slice(None)
+            x, y, z = g[at], o[at], m[at]
+            if not len(x):
+                continue
+            order = np.lexsort((y, x))
+            x, y, z = x[order], y[order], z[order]
+            head = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+            count = np.diff(np.append(head, len(x)))
+            shared = np.logical_or.reduceat(z, head) | (np.minimum.reduceat(y, head) != np.maximum.reduceat(y, head))
+            keep = np.repeat(shared, count) & ~z
+            keep[1:] &= (x[1:] != x[:-1]) | (y[1:] != y[:-1]) | z[:-1]
+            yield out(x[keep], y[keep])
+
+    rows = sketches.filter("n > 0").select("prefix", "hash", "n").mapInArrow(frugal(send), "part int, sure boolean, grams binary, owners binary, many binary")
+    return rows.repartitionById(parts, "part").mapInArrow(frugal(match), "gram long, hash long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: int, words: int) -> DataFrame:
@@ -211,14 +230,14 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: in
         for batch in batches:
             batch = batch.filter(pa.array(held.value[batch.column("at").to_numpy()]))
             data, at = string_bytes(batch.column("text"))
-            out = []
             for i, j in blocks(at):
-                out += [g.tobytes() for g in shingle_sets(data[at[i] : at[j]], at[i : j + 1] - at[i], words)]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.binary())], names=["key", "grams"])
+                out = [g.tobytes() for g in shingle_sets(data[at[i] : at[j]], at[i : j + 1] - at[i], words)]
+                yield pa.RecordBatch.from_arrays([batch.column("key").slice(i, j - i), pa.array(out, pa.binary())], names=["key", "grams"])
 
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text")).filter("key IS NOT NULL")
-    rows = rows.withColumn("at", spot(F.col("key"))).mapInArrow(sets, "key long, grams binary")
-    found = materialize(rows.join(asked, "key", "left_semi"))
+    rows = rows.withColumn("at", spot(F.col("key"))).mapInArrow(frugal(sets), "key long, grams binary")
+    # of the texts that the filter lets through few are not asked for, unless it is well filled: else a join would shuffle all sets
+    found = materialize(rows if int(np.bitwise_count(field).sum()) <= FILTER_BITS // 8 else rows.join(asked, "key", "left_semi"))
 
     def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,7 +252,7 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: in
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(found.select(F.col("key").alias("a"), F.col("grams").alias("x")), "a").join(found.select(F.col("key").alias("b"), F.col("grams").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(intersect, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(frugal(intersect), "a long, b long")
 
 
 def deal(banded: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -295,16 +314,26 @@ def meet_in_cells(named: DataFrame, classes: DataFrame, percent: int, large_cell
                 a, b = xid[r], yid[c]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    return cells.alias("x").join(y, rule).select(F.col("x.cell").alias("x"), F.col("y.cell").alias("y")).mapInArrow(run, "a long, b long").distinct()
+    return cells.alias("x").join(y, rule).select(F.col("x.cell").alias("x"), F.col("y.cell").alias("y")).mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """key, n_shingles and component_id of every row."""
+    with Tables() as tables, arrow_rows(docs.sparkSession, TEXTS):
+        sketches, ids = classes_of(docs, key, text, percent, words, tables)
+        tables.keep(sketches), tables.keep(ids)
+    out = sketches.select("key", "n", "hash").join(ids, ["hash", "n"], "left")
+    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
+
+
+def classes_of(docs: DataFrame, key: str, text: str, percent: int, words: int, tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """The sketches, and (hash, n, component_id) of every class of equal sets."""
     sketches = sketch(docs, key, text, percent, words)
     # any order of hashes gives the same links; with frequent ones last, a common line makes no large tile
     often = shared_prefixes(sketches, percent, wide=True).groupBy("gram").agg(F.count("*").alias("c")).filter(F.col("c") >= FREQUENT)
     often = often.orderBy(F.desc("c"), "gram").limit(MOST_FREQUENT).select("gram").toPandas()["gram"].to_numpy(np.int64)
     if len(often):
+        tables.drop(sketches)
         sketches = sketch(docs, key, text, percent, words, np.sort(often.view(np.uint64)))
     # a set's hash goes with its size: both have to be equal for two texts to be one class
     classes = materialize(sketches.filter("n > 0 AND key IS NOT NULL").groupBy("hash", "n").agg(F.min("key").alias("id"), *[F.first(s).alias(s) for s in SIGNS]))
@@ -336,8 +365,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
         known = components(links)
 
     ids = classes.select("hash", "n", "id").join(known.select(F.col("node").alias("id"), "component"), "id", "left").select("hash", "n", F.coalesce("component", "id").alias("component_id"))
-    out = sketches.select("key", "n", "hash").join(materialize(ids), ["hash", "n"], "left")
-    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
+    return sketches, materialize(ids)
 
 
 def oracle_sql() -> str:
