@@ -21,13 +21,14 @@ with `keep` unless they clash with an output.
 from __future__ import annotations
 
 import heapq
+import re
 from bisect import bisect_right
 from itertools import cycle
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.shared import WORD, materialize
+from lamina.llm.shared import WORD, Tables, materialize
 
 #: Fixed by the contract.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
@@ -181,6 +182,11 @@ def _exchange(took: list[tuple], rest: list[tuple], left: int) -> list[tuple]:
     return [r[:2] for r in took]
 
 
+def source_of(mark: str) -> str | None:
+    """The source that a mark in a pattern stands for."""
+    return None if mark == "~" else re.sub("\x02(.)", lambda m: "\x01" if m[1] == "-" else "\x02", mark[1:])
+
+
 def mix(docs: DataFrame, sources: Column, key: str = "doc_id", text: str = "text", keep: list[str] | None = None, seed: int = 17, leaf: int = LEAF) -> DataFrame:
     """`key`, the columns `keep`, size, source_size, target (of the first source in its pattern) and taken.
 
@@ -188,31 +194,36 @@ def mix(docs: DataFrame, sources: Column, key: str = "doc_id", text: str = "text
     """
     keep = [c for c in (keep or []) if c != key and c not in OUTPUTS]
     size = F.regexp_count(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(WORD)).cast("long")
-    # all sources get an s in front; "~" stands for the null source and comes last
-    pattern = F.array_join(F.array_sort(F.array_distinct(F.transform(sources, lambda s: F.coalesce(F.concat(F.lit("s"), s), F.lit("~"))))), "\x01")
+    # all sources get an s in front, and marks of their own doubled; "~" stands for the null source and comes last
+    marked = lambda x: F.concat(F.lit("s"), F.replace(F.replace(x, F.lit("\x02"), F.lit("\x02\x02")), F.lit("\x01"), F.lit("\x02-")))
+    pattern = F.array_join(F.array_sort(F.array_distinct(F.transform(sources, lambda x: F.coalesce(marked(x), F.lit("~"))))), "\x01")
     hashed = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(f"`{key}`")), 1)
-    sized = materialize(docs.select(F.col(f"`{key}`").alias("key"), *[F.col(f"`{c}`").alias(f"_{c}") for c in keep], size.alias("size"), pattern.alias("pattern"), hashed.alias("hash")))
-    totals = sized.groupBy("pattern").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
-    if len(totals) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    capacity = {r["pattern"]: r["size"] for r in totals}
-    members = {p: [None if s == "~" else s[1:] for s in p.split("\x01")] if p else [] for p in capacity}
-    sizes: dict = {}
-    for p, n in capacity.items():
-        for s in members[p]:
-            sizes[s] = sizes.get(s, 0) + n
-    goal = targets(sizes, sum(capacity.values()))
-    flow = min_cost_flow(capacity, members, {s: round(t) for s, t in goal.items()})
-    words = {p: 0 for p in capacity}
-    for (p, _), n in flow.items():
-        words[p] += n
-    whole = {p: words[p] // capacity[p] if capacity[p] else 0 for p in capacity}
-    spans, chosen = _end(sized.select("size", "pattern", "hash"), {p: words[p] - whole[p] * capacity[p] for p in capacity}, leaf)
-    rows = [(p, whole[p], spans[p], sizes[members[p][0]] if members[p] else None, goal[members[p][0]] if members[p] else None) for p in sorted(capacity)]
-    plan = docs.sparkSession.createDataFrame(rows, "pattern string, whole long, spans array<struct<first:long,last:long,most:long>>, source_size long, target double")
+    rows = docs.select(F.col(f"`{key}`").alias("key"), *[F.col(f"`{c}`").alias(f"_{c}") for c in keep], size.alias("size"), pattern.alias("pattern"), hashed.alias("hash"))
+    with Tables() as tables:
+        sized = materialize(rows.select("key", "size", "pattern", "hash"))
+        if not keep:  # rows with other columns are read again: they may hold the whole texts
+            rows = tables.keep(sized)
+        totals = sized.groupBy("pattern").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
+        if len(totals) > MAX_PATTERNS:
+            raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+        capacity = {r["pattern"]: r["size"] for r in totals}
+        members = {p: [source_of(s) for s in p.split("\x01")] if p else [] for p in capacity}
+        sizes: dict = {}
+        for p, n in capacity.items():
+            for s in members[p]:
+                sizes[s] = sizes.get(s, 0) + n
+        goal = targets(sizes, sum(capacity.values()))
+        flow = min_cost_flow(capacity, members, {s: round(t) for s, t in goal.items()})
+        words = {p: 0 for p in capacity}
+        for (p, _), n in flow.items():
+            words[p] += n
+        whole = {p: words[p] // capacity[p] if capacity[p] else 0 for p in capacity}
+        spans, chosen = _end(sized.select("size", "pattern", "hash"), {p: words[p] - whole[p] * capacity[p] for p in capacity}, leaf)
+    planned = [(p, whole[p], spans[p], sizes[members[p][0]] if members[p] else None, goal[members[p][0]] if members[p] else None) for p in sorted(capacity)]
+    plan = docs.sparkSession.createDataFrame(planned, "pattern string, whole long, spans array<struct<first:long,last:long,most:long>>, source_size long, target double")
     ends = docs.sparkSession.createDataFrame([(p, h, n) for p, c in chosen.items() for h, n in c], "pattern string, hash long, size long").distinct().withColumn("end", F.lit(1))
     # plan: one row for each pattern; ends: `leaf` rows for each pattern and end of a span at most
-    out = sized.join(F.broadcast(plan), "pattern").join(F.broadcast(ends) if len(rows) <= 100 else ends, ["pattern", "hash", "size"], "left")
+    out = rows.join(F.broadcast(plan), "pattern").join(F.broadcast(ends) if len(planned) <= 100 else ends, ["pattern", "hash", "size"], "left")
     inside = F.exists("spans", lambda s: F.col("hash").between(s["first"], s["last"]) & (F.col("size") <= s["most"]))
     taken = F.col("size") * (F.col("whole") + F.when(inside, 1).otherwise(F.coalesce("end", F.lit(0))))
     return out.select(F.col("key").alias(key), *[F.col(f"_{c}").alias(c) for c in keep], "size", "source_size", "target", taken.alias("taken"))
