@@ -6,9 +6,9 @@ vector. Bundling (adding) the n-gram vectors of a text gives its profile, and
 bundling all texts of a language its prototype. A text gets the language whose
 prototype has the greatest cosine with its profile.
 
-Bundling is linear, so a language's prototype is made from its n-gram counts:
-at most 32**3 counts for each language leave an executor's partition, whatever
-the corpus. Prototypes and counts are bounded by the number of languages.
+Bundling is linear, so a language's prototype is made from its n-gram counts,
+which combine before the shuffle; executors bundle them, and SIZE numbers for each
+language come to the driver. Vectors of n-grams are bound when they are needed.
 
 Defined results: a null text, or one without a letter, is `und` with score 0; ties
 go to the language that sorts first; without training rows every text is `und`;
@@ -26,103 +26,132 @@ from pyspark.sql import functions as F
 
 from lamina.llm.shared import blocks, string_bytes
 
-#: Components of a vector; symbols (a power of two); letters in an n-gram; most languages.
-SIZE, SYMBOLS, N, MAX_LANGS = 1024, 32, 3, 1024
+#: Components of a vector; symbols (a power of two); letters in an n-gram; most languages, beyond which an error is raised.
+SIZE, SYMBOLS, N, MAX_LANGS = 1024, 4096, 3, 65_536
 UNKNOWN = "und"
-BLOCK = 1 << 18
+#: Bytes of text and n-grams looked at together; n-gram counts that a task holds before it sends them.
+BLOCK, BOUND, HELD = 1 << 18, 1 << 13, 1 << 20
 _symbols: np.ndarray | None = None
-_vectors: np.ndarray | None = None
+_vectors: list[np.ndarray] | None = None
 
 
 def symbols() -> np.ndarray:
-    """Symbol of each code point: 0 for all but letters, 1-26 for a-z in either case, 27-31 by hash for other letters."""
+    """Symbol of each code point: 0 for all but letters, 1-26 for a-z in either case, a hash beyond for other letters."""
     global _symbols
     if _symbols is None:
-        out = np.zeros(0x110000, np.uint8)
+        out = np.zeros(0x110000, np.uint16)
         for i in range(0x110000):
             c = chr(i)
             if c.isalpha():
                 low = c.lower()[0]
-                out[i] = ord(low) - 96 if "a" <= low <= "z" else 27 + (ord(low) * 2654435761 >> 7) % 5
+                out[i] = ord(low) - 96 if "a" <= low <= "z" else 27 + (ord(low) * 2654435761 >> 7) % (SYMBOLS - 27)
         _symbols = out
     return _symbols
 
 
-def vectors() -> np.ndarray:
-    """The bound vector of each n-gram: the product of its letters' vectors, each rotated by its place."""
+def vectors(ids: np.ndarray) -> np.ndarray:
+    """The bound vectors of n-grams: the product of their letters' vectors, each rotated by its place."""
     global _vectors
     if _vectors is None:
         letters = np.random.default_rng(5).integers(0, 2, (SYMBOLS, SIZE), dtype=np.int8) * 2 - 1
-        out = letters
-        for _ in range(N - 1):
-            out = (np.roll(out, 1, axis=1)[:, None, :] * letters[None, :, :]).reshape(-1, SIZE)
-        _vectors = out
-    return _vectors
+        _vectors = [np.roll(letters, k, axis=1) for k in range(N)]
+    out = _vectors[0][ids % SYMBOLS]
+    for k in range(1, N):
+        out *= _vectors[k][ids // SYMBOLS**k % SYMBOLS]
+    return out
 
 
 def ngrams(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """N-gram ids with their row, and the number of letters in each row; runs of other characters are one space."""
+    """N-gram ids with their row, and the number of letters in each row; runs of other characters are one space, which ends a text too but does not begin it."""
     text = data.tobytes()
-    chars = np.frombuffer("\n".join(text[a:b].decode() for a, b in zip(at[:-1], at[1:], strict=True)).encode("utf-32-le"), np.uint32)
+    chars = np.frombuffer("".join(text[a:b].decode() + "\n" for a, b in zip(at[:-1], at[1:], strict=True)).encode("utf-32-le"), np.uint32)
     code = symbols()[chars]
     # texts hold line feeds of their own, so row numbers come from character counts
     lengths = np.bincount(np.repeat(np.arange(len(at) - 1), np.diff(at))[(data & 0xC0) != 0x80], minlength=len(at) - 1) if len(data) else np.zeros(len(at) - 1, int)
     row = np.repeat(np.arange(len(at) - 1), lengths + 1)[: len(chars)]
     letters = np.bincount(row[code > 0], minlength=len(at) - 1)
     keep = np.ones(len(code), bool)
+    keep[:1] = code[:1] > 0
     keep[1:] = (code[1:] > 0) | (code[:-1] > 0)
-    code, row = code[keep].astype(np.int32), row[keep]
+    code, row = code[keep].astype(np.int64), row[keep]
     n = len(code) - N + 1
     if n <= 0:
-        return np.zeros(0, np.int32), np.zeros(0, np.int64), letters
-    ids = np.zeros(n, np.int32)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), letters
+    ids = np.zeros(n, np.int64)
     for k in range(N):
         ids = ids * SYMBOLS + code[k : k + n]
     same = row[:n] == row[N - 1 :]
     return ids[same], row[:n][same], letters
 
 
-def language_counts(docs: DataFrame, text: str, lang: str) -> dict[str, np.ndarray]:
-    """N-gram counts over all texts of each language."""
+def language_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    """(lang, id, n): n-gram counts over all texts of each language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # language, n-gram, count
+        known: dict[str, int] = {}
+
+        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            which, ids, n = (np.concatenate(c) for c in zip(*held, strict=True))
+            order = np.lexsort((ids, which))
+            which, ids, n = which[order], ids[order], n[order]
+            new = np.ones(len(ids), bool)
+            new[1:] = (ids[1:] != ids[:-1]) | (which[1:] != which[:-1])
+            head = np.flatnonzero(new)
+            return which[head], ids[head], np.add.reduceat(n, head)
+
+        def flush() -> pa.RecordBatch:
+            which, ids, n = merged()
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(known), pa.string()).take(pa.array(which)), pa.array(ids), pa.array(n)], names=["lang", "id", "n"])
+
         for batch in batches:
             data, at = string_bytes(batch.column("text"))
             langs = batch.column("lang").to_pylist()
             for i, j in blocks(at, BLOCK):
                 ids, row, _ = ngrams(data[at[i] : at[j]], at[i : j + 1] - at[i])
-                names, which = np.unique(np.array(langs[i:j]), return_inverse=True)
-                counts = np.bincount(which[row] * SYMBOLS**N + ids, minlength=len(names) * SYMBOLS**N).reshape(len(names), -1)
-                for name, c in zip(names.tolist(), counts, strict=True):
-                    total[name] = total.get(name, 0) + c
-        for name, c in total.items():
-            at = np.flatnonzero(c)
-            yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(at), pa.string()), "id": pa.array(at, pa.int32()), "n": pa.array(c[at], pa.int64())})
-
-    rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).mapInArrow(run, "lang string, id int, n long")
-    out: dict[str, np.ndarray] = {}
-    got = rows.groupBy("lang", "id").agg(F.sum("n").alias("n")).limit(MAX_LANGS * SYMBOLS**N).toPandas()
-    for name, part in got.groupby("lang"):
-        c = np.zeros(SYMBOLS**N)
-        c[part["id"].to_numpy()] = part["n"].to_numpy()
-        out[name] = c
-    return out
-
-
-def prototypes(counts: dict[str, np.ndarray]) -> tuple[list[str], np.ndarray]:
+                if not len(ids):
+                    for name in langs[i:j]:  # a language whose texts have no n-gram is one nevertheless
+                        known.setdefault(name, len(known))
+                    continue
+                which = np.array([known.setdefault(name, len(known)) for name in langs[i:j]])
+                held.append((which[row], ids, np.ones(len(ids), np.int64)))
+                if sum(len(h[1]) for h in held) > HELD:
+                    held[:] = [merged()]
+                    if len(held[0][1]) > HELD // 2:
+                        yield flush()
+        if held:
+            yield flush()
+
+    rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).mapInArrow(run, "lang string, id long, n long")
+    return rows.groupBy("lang", "id").agg(F.sum("n").alias("n"))
+
+
+def prototypes(counts: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages in order, and their unit vectors."""
-    names = sorted(counts)
-    if not names:
+
+    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str, np.ndarray] = {}
+        for batch in batches:
+            langs, ids, n = batch.column("lang").dictionary_encode(), batch.column("id").to_numpy(), batch.column("n").to_numpy()
+            which = langs.indices.to_numpy()
+            for k, name in enumerate(langs.dictionary.to_pylist()):
+                own = np.flatnonzero(which == k)
+                for a in range(0, len(own), BOUND):
+                    at = own[a : a + BOUND]
+                    total[name] = total.get(name, 0) + n[at].astype(np.float64) @ vectors(ids[at])
+        for name, v in total.items():
+            yield pa.RecordBatch.from_pydict({"lang": pa.array([name]), "v": pa.array([v.tolist()], pa.list_(pa.float64()))})
+
+    parts = counts.mapInArrow(bundle, "lang string, v array<double>").select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
+    each = parts.groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("v"))
+    got = sorted(each.limit(MAX_LANGS + 1).collect())  # SIZE numbers for each language
+    if len(got) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    if not got:
         return [], np.zeros((0, SIZE), np.float32)
-    v = vectors()
-    out = []
-    for name in names:
-        at = np.flatnonzero(counts[name])
-        share = counts[name][at] / max(1.0, counts[name].sum())
-        out.append(share.astype(np.float32) @ v[at].astype(np.float32))
-    got = np.stack(out)
-    return names, (got / np.maximum(np.linalg.norm(got, axis=1, keepdims=True), 1e-12)).astype(np.float32)
+    out = np.array([r["v"] for r in got])
+    return [r["lang"] for r in got], (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
 def profiles(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +160,7 @@ def profiles(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ids, row, letters = ngrams(data, at)
     seen, which = np.unique(ids, return_inverse=True)
     counts = np.bincount(row * len(seen) + which, minlength=n * len(seen)).reshape(n, len(seen)).astype(np.float32)
-    return counts @ vectors()[seen].astype(np.float32), letters
+    return counts @ vectors(seen).astype(np.float32), letters
 
 
 def predict(docs: DataFrame, names: list[str], proto: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
