@@ -2,22 +2,25 @@
 
 The writer deals rows to archives, one for each partition, in a folder that all
 executors share. An archive gets its final name only when it is complete, and a
-task that runs again writes the same bytes under the same name. The reader
+task that runs again leaves the same records under the same name. The reader
 decompresses incrementally: it holds one chunk of the file and one record,
 frames records by Content-Length, and checks block and payload digests.
 
 Of rows with equal payloads of at least `min_bytes`, the smallest id is the
 response and the others revisit it; equal ids with equal payloads are all
-responses. Defined results: a null payload is empty and a response; a null url
-is written as the record's own id; an empty table gives no archives and an empty
+responses. Defined results: a null payload is empty and a response; a row
+without id is a response, and its id is read back as null; a null url is written as
+the record's own id, and white space in a url is percent-encoded; an empty table gives no archives and an empty
 result; columns other than id, url and payload are left out.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from hashlib import sha256
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -36,21 +39,25 @@ CHUNK = 1 << 18
 SALTS = 16
 
 
-def record(page: int, url: str | None, payload: bytes, digest: str, first: int | None, date: str) -> bytes:
+def urn(page: int | None) -> str:
+    return f"urn:page:{'' if page is None else page}"
+
+
+def record(page: int | None, url: str | None, payload: bytes, digest: str, first: int | None, date: str) -> bytes:
     """One gzip member with a response record, or with a revisit record of `first`."""
     head = HTTP % len(payload)
     block = head + payload if first is None else head
     fields = [
         ("WARC-Type", "response" if first is None else "revisit"),
-        ("WARC-Record-ID", f"<urn:page:{page}>"),
+        ("WARC-Record-ID", f"<{urn(page)}>"),
         ("WARC-Date", date),
-        ("WARC-Target-URI", "".join((url or f"urn:page:{page}").split())),
+        ("WARC-Target-URI", re.sub(r"[\s\x00-\x20\x7f]", lambda m: quote(m[0]), url or urn(page))),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
         ("WARC-Block-Digest", f"sha256:{sha256(block).hexdigest()}"),
         ("Content-Type", "application/http; msgtype=response"),
     ]
     if first is not None:
-        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:page:{first}>")]
+        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<{urn(first)}>")]
     fields.append(("Content-Length", str(len(block))))
     text = VERSION + b"\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields).encode() + b"\r\n" + block + b"\r\n\r\n"
     z = zlib.compressobj(6, zlib.DEFLATED, 31)
@@ -90,11 +97,12 @@ def parse(member: bytes) -> tuple[dict[str, str], bytes]:
     return fields, block
 
 
-def page_of(urn: str) -> int:
-    return int(urn.strip("<>").rpartition(":")[2])
+def page_of(name: str) -> int | None:
+    number = name.strip("<>").rpartition(":")[2]
+    return int(number) if number else None
 
 
-def read_records(read) -> Iterator[tuple[int, str, int, str, str, int | None]]:
+def read_records(read) -> Iterator[tuple[int | None, str, int, str, str, int | None]]:
     """(id, url, payload bytes, payload digest, type, id that it refers to) of each record."""
     for member in members(read):
         fields, block = parse(member)
