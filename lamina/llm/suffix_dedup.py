@@ -46,7 +46,7 @@ from lamina.llm.shared import INVERSE, blocks, materialize, mix, powers, prefix_
 LENGTH = 50
 #: Bytes of a trigger; bytes of a trigger and of a phrase hash that are sent (44 million phrases a GB of text; 8 is the most).
 GRAM, TRIGGER_BYTES, PHRASE_BYTES = 16, 6, 5
-#: Phrases that a task gathers before it sends them; rows from which a trigger is spread; most such triggers.
+#: Phrases that a task gathers before it sends them; rows from which a trigger is spread; triggers that are spread, those with the most rows.
 CHUNK, HOT, MOST_HOT = 1 << 20, 1000, 1 << 20
 #: Phrases of one trigger that a task sends; of more it sends only that there are many.
 FEW = 8
@@ -250,7 +250,8 @@ def parse(rows: DataFrame, parts: int, hot_rows: int = HOT) -> DataFrame:
         order = np.lexsort((d, p, t))
         t, p, d, n = t[order], p[order], d[order], n[order]
         head = heads(t)
-        hot = t[head][np.add.reduceat(n.astype(np.int64), head) >= hot_rows]
+        rows_of = np.add.reduceat(n.astype(np.int64), head)
+        hot, weight = t[head][rows_of >= hot_rows], rows_of[rows_of >= hot_rows]
         count = np.diff(np.append(head, len(t)))
         several = np.repeat(p[head] != p[head + count - 1], count) & (p != 0)
         head = heads(t, p)
@@ -260,7 +261,7 @@ def parse(rows: DataFrame, parts: int, hot_rows: int = HOT) -> DataFrame:
         ask = several & first
         done = [*answers(d[later], settled(t[later], p[later]), False), *answers(d[ask], t[ask], True)]
         if len(hot):
-            done.append((None, b"", hot.tobytes(), b"", b""))
+            done.append((None, b"", hot.tobytes(), weight.tobytes(), b""))
         if done:
             yield batch_of(done, names, kinds)
 
@@ -432,11 +433,14 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text:
     parts = parts_of(docs)
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     found = materialize(parse(rows, parts, hot_rows))
-    hot = np.zeros(0, np.uint64)
-    for r in found.filter("part IS NULL").select("a").toLocalIterator():
-        hot = np.append(hot, np.frombuffer(r["a"], np.uint64))
-        if len(hot) > MOST_HOT:
-            raise ValueError(f"more than {MOST_HOT} triggers in {hot_rows} rows or more: raise hot_rows")
+    hot, weight = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for r in found.filter("part IS NULL").select("a", "b").toLocalIterator():
+        hot, weight = np.append(hot, np.frombuffer(r["a"], np.uint64)), np.append(weight, np.frombuffer(r["b"], np.int64))
+        if len(hot) > 2 * MOST_HOT:
+            top = np.argpartition(-weight, MOST_HOT)[:MOST_HOT]
+            hot, weight = hot[top], weight[top]
+    if len(hot) > MOST_HOT:  # the others are settled too, each in one task
+        hot = hot[np.argpartition(-weight, MOST_HOT)[:MOST_HOT]]
     per_text = gathered(found.filter("part IS NOT NULL"), parts)
     # both joins are outer ones over the same rows, so that one shuffle of the texts serves both
     marks = gathered(compare(rows.join(per_text, "key", "left"), hot, parts), parts)
