@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm import decontaminate, mixing, ngram_join, quality, tokens
 from lamina.llm.queries import TOKENIZER
-from lamina.llm.shared import materialize, table
+from lamina.llm.shared import Tables, discard, materialize, table
 
 
 def _whole(docs: DataFrame, *names: str) -> DataFrame:
@@ -26,7 +26,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group stays, once; documents without doc_id stay."""
-    found = materialize(ngram_join.join(docs))
+    with Tables() as tables:
+        found = tables.keep(materialize(ngram_join.join(docs)))
     out = docs.join(found.filter("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
     if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
         return out
@@ -66,7 +67,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = materialize(docs)
+            with Tables() as tables:  # what a stage has worked with goes once its result is written
+                kept = tables.keep(materialize(stage(spark, docs, sf_dir)))
+            if k:
+                discard(spark, docs.working_path)
+            docs = kept
+        else:
+            docs = stage(spark, docs, sf_dir)
     return docs
