@@ -7,14 +7,15 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: File suffixes by type, tested in this order.
+#: File suffixes by type, tested in this order; images with room for metadata.
+WITH_METADATA = ["jpg", "jpeg", "tiff", "tif", "cr2", "nef", "arw", "dng", "orf", "rw2", "raw"]
 SUFFIXES = {
-    "image": ["jpg", "jpeg", "png", "tif", "tiff", "bmp", "gif", "webp", "raw", "cr2", "nef", "arw", "dng"],
-    "text": ["txt", "doc", "docx", "pdf", "rtf", "odt", "md", "csv"],
-    "spreadsheet": ["xls", "xlsx", "ods"],
-    "database": ["db", "sqlite", "mdb", "accdb"],
-    "compressed": ["zip", "rar", "7z", "tar", "gz"],
-    "video": ["mp4", "avi", "mov", "mkv", "wmv"],
+    "image": [*WITH_METADATA, "png", "gif", "bmp", "svg", "ico", "webp", "psd", "ai", "eps"],
+    "text": ["txt", "pdf", "doc", "docx", "odt", "rtf", "md", "markdown", "tex", "csv", "html", "htm", "xml", "json", "yaml", "yml"],
+    "spreadsheet": ["xlsx", "xls", "ods", "csv"],
+    "database": ["accdb", "mdb", "sqlite", "db"],
+    "compressed": ["zip", "rar", "7z", "tar", "gz", "bz2", "xz", "tgz"],
+    "video": ["mp4", "avi", "mov", "wmv", "mkv", "flv", "webm", "m4v"],
 }
 
 
@@ -70,6 +71,10 @@ def file_type(name: Column) -> Column:
     return out.otherwise("other")
 
 
+def supports_metadata(name: Column) -> Column:
+    return F.lower(F.regexp_extract(name, r"\.([A-Za-z0-9]+)$", 1)).isin(WITH_METADATA)
+
+
 def years(c: Column) -> Column:
     """Runs of exactly four digits that are years from 1900 to 2029."""
     return F.filter(F.regexp_extract_all(c, F.lit(r"[0-9]+"), F.lit(0)), lambda x: x.rlike(r"^(19[0-9]{2}|20[0-2][0-9])$"))
@@ -82,7 +87,7 @@ def human_size(c: Column) -> Column:
 
 def merge_lists(*lists: Column) -> Column:
     """Order-preserving union of '; '-joined lists without blanks."""
-    parts = [F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), ";"), F.trim), lambda v: ~F.lower(v).isin("", "nan")) for x in lists]
+    parts = [F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), ";"), lambda v: F.trim(v)), lambda v: ~F.lower(v).isin("", "nan")) for x in lists]
     return F.array_join(F.array_distinct(F.concat(*parts)), "; ")
 
 
@@ -112,3 +117,12 @@ def first_priority(values: dict[str, Column], order: list[str]) -> Column:
 
 def conflicting(values: list[Column]) -> Column:
     return F.size(F.array_distinct(F.filter(F.array(*[clean(v) for v in values]), lambda x: x.isNotNull()))) > 1
+
+
+def compare_field(value: Column, others: Column) -> Column:
+    """A value against an array: none, empty, match, partial (one holds the other) or mismatch; by the first of the array that tells."""
+    v = F.lower(clean(value))
+    rest = F.filter(F.transform(others, lambda x: F.lower(clean(x))), lambda x: x.isNotNull())
+    verdict = F.transform(rest, lambda x: F.when(x == v, "match").when(x.contains(v) | v.contains(x), "partial"))
+    told = F.get(F.filter(verdict, lambda x: x.isNotNull()), F.lit(0))
+    return F.when(F.coalesce(F.size(rest), F.lit(0)) == 0, "none").when(v.isNull(), "empty").otherwise(F.coalesce(told, F.lit("mismatch")))

@@ -28,9 +28,12 @@ def perceptual_groups(files: DataFrame, phash: str, digest: str, key: str) -> Da
 
 
 def mark_duplicates(files: DataFrame, digest: str, phash: str, key: str) -> DataFrame:
-    """Each file with its duplicate_of (exact first, then perceptual among files not yet marked) and the root of that chain."""
-    exact = files.groupBy(digest).agg(F.min(key).alias("exact_of"))
-    one = files.join(exact, digest).withColumn("exact_of", F.when(F.col("exact_of") != F.col(key), F.col("exact_of")))
+    """Each file with its duplicate_of (exact first, then perceptual among files not yet marked) and the root of that chain.
+
+    Files without a digest or hash are no duplicates by it.
+    """
+    exact = files.groupBy(digest).agg(F.min(key).alias("exact_of"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    one = files.join(exact, digest, "left").withColumn("exact_of", F.when(F.col("exact_of") != F.col(key), F.col("exact_of")))
     near = one.filter("exact_of IS NULL").groupBy(phash).agg(F.min(key).alias("near_of"))
     out = one.join(near, phash, "left").withColumn("near_of", F.when(F.col("exact_of").isNull() & (F.col("near_of") != F.col(key)), F.col("near_of")))
     kind = F.when(F.col("exact_of").isNotNull(), "exact").when(F.col("near_of").isNotNull(), "perceptual")

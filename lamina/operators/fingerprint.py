@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions.scalar import bits_to_hex, hamming
@@ -11,15 +17,31 @@ from lamina.functions.scalar import bits_to_hex, hamming
 def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, simhash): bit i is set if more tokens have it in the first half of their md5 than have not.
 
-    Tokens are counted by sums that combine before the shuffle: one row of 64 sums for each text and task.
+    A text's tokens stay in its row, so nothing is shuffled: the JVM makes the
+    digests, and an Arrow pass adds up their bits. A text without tokens has no bit set.
     """
     tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), lambda t: t != "")
-    md5 = docs.select(key, F.explode(tokens).alias("t")).select(key, F.md5(F.col("t").cast("binary")).alias("h"))
-    half = lambda at: F.conv(F.substring("h", at, 8), 16, 10).cast("bigint")
-    md5 = md5.select(key, half(1).alias("hi"), half(9).alias("lo"))
-    sums = [F.sum(2 * F.shiftright(c, 31 - i).bitwiseAND(F.lit(1)) - 1).alias(f"b{j * 32 + i}") for j, c in enumerate(("hi", "lo")) for i in range(32)]
-    bits = [F.when(F.col(f"b{i}") > 0, 1).otherwise(0) for i in range(64)]
-    return md5.groupBy(key).agg(*sums).select(key, bits_to_hex(bits).alias("simhash"))
+    halves = F.transform(tokens, lambda t: F.unhex(F.substring(F.md5(t.cast("binary")), 1, 16)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("h")
+            at = np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            flat = column.flatten()
+            raw = np.frombuffer(flat.buffers()[2], np.uint8)[8 * flat.offset : 8 * (flat.offset + len(flat))].reshape(-1, 8) if len(flat) else np.zeros((0, 8), np.uint8)
+            sums = np.zeros((len(column), 64), np.int64)
+            i = 0
+            while i < len(column):  # about a million tokens at a time
+                j = max(i + 1, int(np.searchsorted(at, at[i] + (1 << 20), "right")) - 1)
+                bits = np.unpackbits(raw[at[i] : at[j]], axis=1)
+                total = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(bits, axis=0, dtype=np.int32)])
+                sums[i:j] = total[at[i + 1 : j + 1] - at[i]] - total[at[i:j] - at[i]]
+                i = j
+            out = np.packbits(2 * sums > np.diff(at)[:, None], axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([r.tobytes().hex() for r in out], pa.string())], names=["key", "simhash"])
+
+    rows = docs.select(F.col(key).alias("key"), halves.alias("h"))
+    return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, simhash string").withColumnRenamed("key", key)
 
 
 def median_bits(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -31,19 +53,41 @@ def median_bits(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddin
     return row.select(key, bits_to_hex([F.when(F.get("v", F.lit(i)) > F.col("m"), 1).otherwise(0) for i in range(64)]).alias("phash"))
 
 
-def near_pairs(left: DataFrame, right: DataFrame, most: int, key: str, phash: str, itself: bool = False) -> DataFrame:
-    """Pairs (a, b, dist) with 0 < dist <= most by pigeonhole: most + 1 bands, one of which has to be equal.
+def near_hashes(left: DataFrame, right: DataFrame, most: int, phash: str, itself: bool = False) -> DataFrame:
+    """Pairs (ha, hb, dist) of distinct hashes with 0 < dist <= most.
 
-    Hashes are made distinct first, so a hash that very many rows have is compared once.
+    Digits are cut into bands. Of most + k bands at least k are equal, so each
+    combination of k bands is a key of about 64 * k / (most + k) bits, which
+    few hashes share by chance.
     """
-    width = 16 // (most + 1) if most < 16 else 1
-    cuts = [(1 + i * width, width if i < most else 16 - i * width) for i in range(most + 1)]
+    k = 3 if most <= 4 else 2 if most <= 8 else 1
+    n = most + k
+    if n > 16:
+        raise ValueError("hashes of 16 digits have bands for a distance of 15 at most")
+    edge = [16 * i // n for i in range(n + 1)]
+    band = lambda c, i: F.substring(c, edge[i] + 1, edge[i + 1] - edge[i])
 
     def banded(df: DataFrame, as_: str) -> DataFrame:
-        h = df.select(F.col(phash).alias(as_)).distinct()
-        return h.select(as_, F.posexplode(F.array(*[F.substring(as_, at, n) for at, n in cuts])).alias("band", "part"))
+        h = df.select(F.col(phash).alias(as_)).filter(F.col(as_).isNotNull()).distinct()
+        return h.select(as_, F.posexplode(F.array(*[F.concat(*[band(F.col(as_), i) for i in c]) for c in combinations(range(n), k)])).alias("band", "part"))
 
     pairs = banded(left, "ha").join(banded(right, "hb"), ["band", "part"]).filter(F.col("ha") < F.col("hb") if itself else F.col("ha") != F.col("hb"))
-    pairs = pairs.withColumn("dist", hamming(F.col("ha"), F.col("hb"))).filter(F.col("dist").between(1, most)).select("ha", "hb", "dist").distinct()
+    return pairs.withColumn("dist", hamming(F.col("ha"), F.col("hb"))).filter(F.col("dist").between(1, most)).select("ha", "hb", "dist").distinct()
+
+
+def near_pairs(left: DataFrame, right: DataFrame, most: int, key: str, phash: str, itself: bool = False) -> DataFrame:
+    """Pairs (a, b, dist) of rows with 0 < dist <= most. Where many rows share a hash, `near_hashes` and its members say the same in fewer rows."""
     a, b = left.select(F.col(key).alias("a"), F.col(phash).alias("ha")), right.select(F.col(key).alias("b"), F.col(phash).alias("hb"))
-    return pairs.join(a, "ha").join(b, "hb").select("a", "b", "dist")
+    return near_hashes(left, right, most, phash, itself).join(a, "ha").join(b, "hb").select("a", "b", "dist")
+
+
+def neighbours(files: DataFrame, others: DataFrame, most: int, key: str, phash: str) -> DataFrame:
+    """(key, near, dist) in the order of distance, then of the key found."""
+    pairs = near_pairs(files, others, most, key, phash)
+    return pairs.select(F.col("a").alias(key), F.col("b").alias("near"), "dist").orderBy(key, "dist", "near")
+
+
+def pair_type(a_digest: Column, b_digest: Column, a_phash: Column, b_phash: Column, most: int) -> Column:
+    """Whether two files are duplicates of one kind, exact first."""
+    dist = hamming(a_phash, b_phash)
+    return F.when(a_digest == b_digest, "exact").when(dist.between(0, most), "perceptual").otherwise("none")

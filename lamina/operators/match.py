@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lamina.functions.scalar import clean
 
@@ -56,23 +57,58 @@ def preservation(sources: dict[str, DataFrame], merged: DataFrame, key: str) ->
     return out.withColumn("preserved", F.col("n_missing") == 0)
 
 
-def numbered(df: DataFrame, *order: Column | str) -> DataFrame:
-    """Row numbers (rn, from 1) in a total order without gathering the rows in one task.
+def numbered(df: DataFrame, *order: Column | str, start: int = 0) -> DataFrame:
+    """Row numbers (rn, from start + 1) in a total order, without gathering the rows in one task.
 
-    Rows are range-partitioned; one count for each partition goes to the driver and comes back as an offset.
+    Borders are taken once from a sample; rows are dealt to the ranges between
+    them by their order only, so a count and a numbering that run at different times agree.
+    Ranges have one task each; a tie never spans two. Rows that are equal in `order`
+    are told apart by all their other columns; wholly equal rows take neighbouring numbers.
     """
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    path = parts.withColumn("_i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    counts = sorted(path.groupBy("_p").agg(F.count("*").alias("n")).collect())
-    base, rows = 0, []
-    for p, n in counts:
-        rows.append((p, base))
-        base += n
-    offsets = df.sparkSession.createDataFrame(rows, "_p int, _base long")
-    return path.join(F.broadcast(offsets), "_p").withColumn("rn", F.col("_i") + F.col("_base") + 1).drop("_p", "_i", "_base")
-
-
-def unique_names(df: DataFrame, name: str, key: str) -> DataFrame:
-    """Names made unique by _1, _2 … in the order of the key."""
-    k = F.row_number().over(W.partitionBy(name).orderBy(key)) - 1
-    return df.select(key, F.when(k > 0, F.concat_ws("_", F.col(name), k.cast("string"))).otherwise(F.col(name)).alias("unique_name"))
+    spark = df.sparkSession
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    lead = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cols)])
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = df.withColumn("_k", lead)
+    spots = keyed.select("_k", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_h"))
+    # the rows with the least hashes are a sample of fixed size that every run draws alike
+    sample = spots.orderBy("_h").limit(64 * parts).select("_k").distinct()
+    ranks = sample.select("_k", F.row_number().over(W.orderBy("_k")).alias("_r"), F.count("*").over(W.partitionBy()).alias("_n"))  # 64 rows for each partition at most
+    step = F.greatest(F.lit(1), F.floor(F.col("_n") / parts))
+    borders = ranks.filter(F.col("_r") % step == 0).agg(F.sort_array(F.collect_list("_k")).alias("_b"))
+    # one row, beside each row of the table
+    dealt = keyed.withColumn("_one", F.lit(1)).join(F.broadcast(borders.withColumn("_one", F.lit(1))), "_one")
+    dealt = dealt.withColumn("_p", F.size(F.filter("_b", lambda x: x < F.col("_k")))).drop("_b", "_one")
+    sizes = dealt.groupBy("_p").agg(F.count("*").alias("_c"))
+    base = sizes.select("_p", (F.sum("_c").over(W.orderBy("_p")) - F.col("_c") + start).alias("_base"))  # one row for each range
+    rest = F.struct(*[F.col(f"`{c}`") for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)])
+    inner = F.row_number().over(W.partitionBy("_p").orderBy("_k", rest))
+    out = dealt.withColumn("_i", inner).join(F.broadcast(base), "_p")
+    return out.withColumn("rn", F.col("_i") + F.col("_base")).select(*df.columns, "rn")
+
+
+def unique_names(df: DataFrame, name: str, key: str, folder: str | None = None, taken: DataFrame | None = None) -> DataFrame:
+    """(key, unique_name): names made unique within `folder` by _1, _2 … before the suffix, in the order of the key.
+
+    taken: (folder and) names that are there already. A number is skipped where the
+    name with it is itself in use: by `taken`, or by a row of that very name.
+    """
+    at = [folder] if folder else []
+    marked = df.select(key, *at, name).withColumn("_k", F.row_number().over(W.partitionBy(*at, name).orderBy(key)))
+    kept = marked.filter("_k = 1").select(*at, name)
+    used = kept if taken is None else kept.unionByName(taken.select(*at, name))
+    if taken is not None:  # the first of a taken name needs a number too
+        there = taken.select(*at, name).distinct().withColumn("_taken", F.lit(True))
+        marked = marked.join(there, [*at, name], "left").withColumn("_n", F.col("_k") - F.when(F.col("_taken"), 0).otherwise(1)).drop("_taken")
+        used = used.distinct()
+    else:
+        marked = marked.withColumn("_n", F.col("_k") - 1)
+    # names in use that look like <stem>_<number><suffix> close that number for their stem
+    shape = r"^(.*)_([1-9][0-9]{0,8})(\.[^.]*)?$"
+    closed = used.filter(F.col(name).rlike(shape)).select(*at, F.concat(F.regexp_extract(name, shape, 1), F.regexp_extract(name, shape, 3)).alias(name), F.regexp_extract(name, shape, 2).cast("long").alias("no"))
+    closed = closed.groupBy(*at, name).agg(F.sort_array(F.collect_set("no")).alias("_closed"))
+    rows = marked.join(closed, [*at, name], "left")
+    # the n-th number that is open: each closed one that is not above moves it on by one
+    moved = F.aggregate(F.coalesce("_closed", F.array().cast("array<bigint>")), F.col("_n").cast("long"), lambda n, c: F.when(c <= n, n + 1).otherwise(n))
+    numbered_name = F.concat(F.regexp_extract(name, r"^(.+?)(\.[^.]*)?$", 1), F.lit("_"), moved.cast("string"), F.regexp_extract(name, r"^(.+?)(\.[^.]*)?$", 2))
+    return rows.select(key, *at, F.when(F.col("_n") > 0, numbered_name).otherwise(F.col(name)).alias("unique_name"))

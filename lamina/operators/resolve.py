@@ -8,6 +8,39 @@ from pyspark.sql import functions as F
 from lamina.functions.scalar import clean
 
 
+#: Folder of review for each kind of decision.
+REVIEW_FOLDERS = {
+    "numeric_id_ambiguity": "Ambiguous_IDs", "metadata_conflict": "Metadata_Conflicts", "source_discrepancy": "Source_Discrepancies", "camera_number_flag": "Camera_Number_Review",
+    "duplicate_detected": "Duplicates_Review", "duplicate_metadata_discrepancy": "Duplicate_Metadata_Review", "filename_collision": "Filename_Collisions", "unknown_collection": "Unknown_Collection",
+    "no_specimen_id": "No_Specimen_ID", "llm_regex_failed": "LLM_Review", "merge_file_collision": "Merge_File_Collisions", "merge_registry_conflict": "Merge_Registry_Conflicts",
+}
+
+
+def review_folder(kind: Column) -> Column:
+    out = F.coalesce(*[F.when(kind == k, f) for k, f in REVIEW_FOLDERS.items()])
+    return F.coalesce(out, F.lit("Other_Review"))
+
+
+def apply_token(token: Column, values: dict[str, Column], current: Column, custom: Column) -> Column:
+    """The value that a decision stands for: a source's, none, the reviewer's own, or the current one while it is deferred."""
+    out = F.when(token == "none", F.lit(None).cast("string")).when(token == "custom", custom)
+    for name, value in values.items():
+        out = out.when(token == name, value)
+    return out.otherwise(current)
+
+
+def camera_number(specimen: Column, numbers: Column, use: Column) -> Column:
+    """A camera's number becomes the specimen only if that is asked for and there is none."""
+    return F.coalesce(clean(specimen), F.when(F.coalesce(use, F.lit(False)), F.get(numbers, F.lit(0))))
+
+
+def merge_pair(a: Column, b: Column, choice: int | str = 0) -> Column:
+    """Two records' values: the one there is, else by choice the first (0), the second (1), none (2) or both for review ('d')."""
+    a, b = clean(a), clean(b)
+    differ = {0: a, 1: b, 2: F.lit(None).cast("string")}.get(choice, F.concat_ws(" || ", a, b))
+    return F.when(a.isNull() | b.isNull() | (a == b), F.coalesce(a, b)).otherwise(differ)
+
+
 def field_status(a: Column, b: Column) -> Column:
     a, b = clean(a), clean(b)
     return F.when(a.isNull() & b.isNull(), "both_empty").when(a.isNull() | b.isNull(), "one_empty").when(a == b, "same").otherwise("differ")

@@ -362,8 +362,8 @@ def discrepancy(documents, labels):
 
 @query("SELECT lang, source, count(*) AS n, (CASE WHEN lang IS NULL THEN 1 ELSE 0 END * 2 + CASE WHEN source IS NULL THEN 1 ELSE 0 END)::INT AS level FROM documents GROUP BY GROUPING SETS ((lang), (source), ())")
 def pipeline_summary(documents):
-    documents.createOrReplaceTempView("lamina_documents")
-    return documents.sparkSession.sql("SELECT lang, source, count(*) AS n, cast(grouping_id() AS int) AS level FROM lamina_documents GROUP BY GROUPING SETS ((lang), (source), ())")
+    sets = documents.groupingSets([["lang"], ["source"], []], "lang", "source")
+    return sets.agg(F.count("*").alias("n"), F.grouping_id().cast("int").alias("level"))
 
 
 # --- review, navigation, enrichment

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,17 +59,32 @@ def registry(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def save_registry(df: DataFrame, path: str, csv: bool = False) -> None:
-    (df.write.mode("overwrite").option("header", True).csv if csv else df.write.mode("overwrite").parquet)(path)
+    """Writes beside `path` and then takes its place, so a plan that reads `path` may be saved to it."""
+    spark, new = df.sparkSession, f"{path.rstrip('/')}.{uuid.uuid4().hex}.new"
+    (df.write.option("header", True).csv if csv else df.write.parquet)(new)
+    made, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, path))
+    fs = made.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    if not fs.rename(made, old):
+        raise OSError(f"{new} is complete but could not take the place of {path}")
 
 
 def split_registries(files: DataFrame) -> dict[str, DataFrame]:
     """Images, duplicates, texts and others of processed files."""
-    return {
-        "annotations": files.filter("type = 'image' AND NOT is_duplicate"),
-        "duplicates": files.filter("type = 'image' AND is_duplicate"),
-        "text_files": files.filter("type = 'text'"),
-        "other_files": files.filter("type NOT IN ('image', 'text')"),
-    }
+    image, copy = F.coalesce(F.col("type") == "image", F.lit(False)), F.coalesce(F.col("is_duplicate"), F.lit(False))
+    text = F.coalesce(F.col("type") == "text", F.lit(False))
+    return {"annotations": files.filter(image & ~copy), "duplicates": files.filter(image & copy), "text_files": files.filter(text), "other_files": files.filter(~image & ~text)}
+
+
+def count_files(spark: SparkSession, *folders: str) -> DataFrame:
+    """(type, n) of the files below the folders."""
+    return scan(spark, *folders).groupBy("type").agg(F.count("*").alias("n"))
+
+
+def top_folders(files: DataFrame, root: str) -> DataFrame:
+    """First folders below `root`, with their files."""
+    inner = F.regexp_extract("path", f"{root.rstrip('/')}/([^/]+)/", 1)
+    return files.filter(inner != "").groupBy(inner.alias("folder")).agg(F.count("*").alias("n"))
 
 
 def copy_plan(staged: DataFrame, kept: DataFrame, overwrite: bool = False) -> DataFrame:
@@ -76,4 +93,5 @@ def copy_plan(staged: DataFrame, kept: DataFrame, overwrite: bool = False) -> Da
     taken = kept.select("rel").distinct().withColumn("taken", F.lit(True))
     out = staged.join(same, "digest", "left").join(taken, "rel", "left")
     action = F.when(F.col("known"), "duplicate").when(F.col("taken"), "overwrite" if overwrite else "rename").otherwise("copy")
-    return out.select("rel", "digest", action.alias("action"))
+    merged = F.when(action == "rename", F.regexp_replace("rel", r"(\.[^./]*)?$", "_merged_1$1"))
+    return out.select("rel", "digest", action.alias("action"), merged.alias("new_rel"))

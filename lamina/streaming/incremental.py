@@ -8,9 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def dedup_batch(batch: DataFrame, registry: DataFrame, digest: str, key: str) -> DataFrame:
-    """Rows of a batch whose digest the registry has not and that come first in the batch."""
+    """Rows of a batch whose digest the registry has not and that come first in the batch; rows without a digest stay."""
     first = batch.groupBy(digest).agg(F.min(key).alias(key))
-    return batch.join(first, [digest, key], "left_semi").join(registry, digest, "left_anti")
+    known = batch.filter(F.col(digest).isNotNull()).join(first, [digest, key], "left_semi").join(registry.select(digest), digest, "left_anti")
+    return known.select(*batch.columns).unionByName(batch.filter(F.col(digest).isNull()))
 
 
 def start(stream: DataFrame, registry_path: str, checkpoint: str, digest: str, key: str) -> StreamingQuery:

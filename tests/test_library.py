@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lamina.functions import scalar as S
 from lamina.operators import dedup, enrich, fingerprint, match, resolve, stats
+from lamina.plans import curation  # noqa: F401
 from lamina.plans import queries as q
 from lamina.sources import files
 from lamina.streaming import incremental
