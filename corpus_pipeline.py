@@ -14,6 +14,10 @@ from lamina.llm.queries import TOKENIZER
 from lamina.llm.shared import Tables, discard, materialize, table
 
 
+#: Ids of near copies that are broadcast, at most (16 MB).
+MOST_SENT = 1 << 21
+
+
 def _whole(docs: DataFrame, *names: str) -> DataFrame:
     """Each row as one column, so that no name clashes with an operator's, and the columns it needs."""
     return docs.select(F.struct("*").alias("_row"), *names)
@@ -28,7 +32,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """The document with the smallest doc_id of each group stays, once; documents without doc_id stay."""
     with Tables() as tables:
         found = tables.keep(materialize(ngram_join.join(docs)))
-    out = docs.join(found.filter("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    # up to a counted number of ids they go to the texts; beyond it the join shuffles both
+    if gone.count() <= MOST_SENT:
+        gone = F.broadcast(gone)
+    out = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
         return out
     return out.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(out.filter("doc_id IS NULL"))
