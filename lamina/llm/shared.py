@@ -63,13 +63,18 @@ def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with suppress(OSError, AttributeError):  # only the GNU C library has it
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return all_of
 
 
+def give_back() -> None:
+    """Returns freed memory to the system."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only the GNU C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 _scope: ContextVar[Tables | None] = ContextVar("tables", default=None)
 
 

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm.shared import Tables, arrow_rows, blocks, frugal, materialize, put, shared_dir, store, string_bytes
+from lamina.llm.shared import Tables, arrow_rows, blocks, frugal, give_back, materialize, put, shared_dir, store, string_bytes
 
 #: Fixed by the contract: the id that ends a document.
 END = 0
@@ -45,9 +45,9 @@ HEAD = struct.Struct("<4sHHIIIQQI")  # magic, version, lanes, block, crc of the
 MAGIC, VERSION = b"RNSF", 1
 #: Stretches that a worker remembers (as many again while it renews them), and their longest; bytes of text that it looks at together.
 #: Workers live on after a task, so what they remember stays small, and only what occurs twice in a block is worth it.
-REMEMBER, LONGEST, TEXT_BLOCK = 1 << 17, 64, 8 << 20
+REMEMBER, LONGEST, TEXT_BLOCK = 1 << 17, 64, 4 << 20
 #: Texts that are sent to a Python worker at once.
-TEXTS = 4000
+TEXTS = 2000
 
 
 # --- tokenising
@@ -372,6 +372,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str, text: str, frame: int = FRAM
                     a = b
                     if size >= frame:
                         yield flush()
+            give_back()
         if held:
             yield flush()
         tool.older.clear()
