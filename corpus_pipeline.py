@@ -14,6 +14,8 @@ from lamina.llm.queries import TOKENIZER
 from lamina.llm.shared import Tables, discard, materialize, table
 
 
+#: Words of a shingle and similarity in percent from which documents are near copies here; op3's own are those of its contract.
+WORDS, PERCENT = 5, 80
 #: Ids of near copies that are broadcast, at most (16 MB).
 MOST_SENT = 1 << 21
 
@@ -31,7 +33,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group stays, once; documents without doc_id stay."""
     with Tables() as tables:
-        found = tables.keep(materialize(ngram_join.join(docs)))
+        found = tables.keep(materialize(ngram_join.join(docs, words=WORDS, percent=PERCENT)))
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
     # up to a counted number of ids they go to the texts; beyond it the join shuffles both
     if gone.count() <= MOST_SENT:

@@ -116,6 +116,19 @@ def test_pipeline_keeps_whole_rows(spark, tmp_path):
     assert got["mixture"] and all(r in given for r in got["mixture"])
 
 
+def test_pipeline_links_from_five_words_and_four_fifths(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    words = [f"w{k}" for k in range(404)]  # 400 shingles of five words
+    change = lambda k: " ".join(words[: len(words) - k] + [f"x{i}" for i in range(k)])  # noqa: E731  (400 - k) / (400 + k) alike
+    rows = [(1, change(0)), (2, change(44)), (3, "other " + change(0)[::-1]), (4, " ".join(f"y{k}" for k in range(404)))]
+    rows += [(5, " ".join([f"y{k}" for k in range(404 - 45)] + [f"z{k}" for k in range(45)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [r.doc_id for r in pipeline.near_duplicates(spark, docs, str(tmp_path)).orderBy("doc_id").collect()]
+    assert 100 * (400 - 44) >= 80 * (400 + 44) and 100 * (400 - 45) < 80 * (400 + 45)
+    assert kept == [1, 3, 4, 5]
+
+
 def groups(texts):
     """Set size and component of each text."""
 
