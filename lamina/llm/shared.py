@@ -44,16 +44,24 @@ def shared_dir(spark: SparkSession) -> str:
     return posixpath.join(top, uuid.uuid4().hex)
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Queries started inside run with this setting of the session."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """Jobs started inside send at most so many rows at once to Python workers: whole texts are large, and JVM and worker both hold a batch."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
-    try:
+    before = int(spark.conf.get(name))
+    with setting(spark, name, str(min(rows, before) if before > 0 else rows)):
         yield
-    finally:
-        spark.conf.set(name, before)
 
 
 def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -114,9 +122,13 @@ def discard(spark: SparkSession, path: str) -> None:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cuts lineage with a Parquet table in the shared folder, so a lost executor costs a re-read only."""
+    """Cuts lineage with a Parquet table in the shared folder, so a lost executor costs a re-read only.
+
+    What was shuffled for it goes once it is written, since nothing reads that again.
+    """
     spark, path = df.sparkSession, shared_dir(df.sparkSession)
-    df.write.parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.__dict__["working_path"] = path
     if (scope := _scope.get()) is not None:
