@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 
 from lamina.llm import decontaminate, mixing, ngram_join, quality, tokens
 from lamina.llm.queries import TOKENIZER
-from lamina.llm.shared import Tables, discard, materialize, table
+from lamina.llm.shared import Tables, arrow_rows, discard, materialize, table
 
 
 #: Words of a shingle and similarity in percent from which documents are near copies here; op3's own are those of its contract.
 WORDS, PERCENT = 5, 80
 #: Ids of near copies that are broadcast, at most (16 MB).
 MOST_SENT = 1 << 21
+#: Whole rows that are sent to a Python worker at once.
+TEXTS = 1000
 
 
 def _whole(docs: DataFrame, *names: str) -> DataFrame:
@@ -45,9 +47,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go."""
-    found = decontaminate.find(_whole(docs, "doc_id", "text"), table(spark, sf_dir, "benchmark"), keep="_row")
-    return found.filter("NOT contaminated").select("_row.*")
+    """Contaminated documents go.
+
+    Rows go through Python workers whole, so few at once; that holds for jobs started here only, hence the table.
+    """
+    with Tables() as tables, arrow_rows(spark, TEXTS):
+        found = decontaminate.find(_whole(docs, "doc_id", "text"), table(spark, sf_dir, "benchmark"), keep="_row")
+        return tables.keep(materialize(found.filter("NOT contaminated").select("_row.*")))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,7 +85,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         if k < len(STAGES) - 1:
             with Tables() as tables:  # what a stage has worked with goes once its result is written
-                kept = tables.keep(materialize(stage(spark, docs, sf_dir)))
+                kept = stage(spark, docs, sf_dir)
+                kept = tables.keep(kept if "working_path" in kept.__dict__ else materialize(kept))
             if k:
                 discard(spark, docs.working_path)
             docs = kept

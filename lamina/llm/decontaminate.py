@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.shared import materialize, string_bytes
+from lamina.llm.shared import frugal, materialize, string_bytes
 
 #: Fixed by the contract: words of an item in a window, and the share of hit words (1/20) that contaminates.
 WINDOW, SHARE = 13, 20
@@ -141,7 +141,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
                     names=["key", "n_words", "hit_ranges", "hit_spans", "items", *(["row"] if with_row else [])],
                 )
 
-        parts.append(narrow.mapInArrow(run, f"key {kind}, {FIELDS}{also}"))
+        parts.append(narrow.mapInArrow(frugal(run), f"key {kind}, {FIELDS}{also}"))
     out = parts[0]
     if several:
         # passes are merged by the number of the row; the first has all rows. Ranges of different passes may overlap
