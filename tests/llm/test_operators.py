@@ -3,7 +3,6 @@
 import io
 import itertools
 import re
-import time
 import zlib
 from functools import partial
 from hashlib import sha256
@@ -15,7 +14,6 @@ from pyspark.sql import functions as F
 
 from lamina.llm import decontaminate, graph, langid, mixing, ngram_join, quality, suffix_dedup, tokens, toxicity, urlfilter, warc
 from lamina.llm.queries import TOKENIZER
-from lamina.llm.shared import materialize
 
 A = "the quick brown fox jumps over the lazy dog while seven wizards quietly brew a potion of odd herbs and old stones"
 B = "pack my box with five dozen liquor jugs then sing a long song about rivers that never quite reach the distant sea"
@@ -186,20 +184,6 @@ def test_ngram_join_tells_long_patterned_words_apart(spark):
     assert all(r.component_id in (None, 0) for r in got if r.doc_id is None)
 
 
-def test_working_tables_leave_no_shuffle_files(spark):
-    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
-    files = lambda: {f for f in manager.getAllFiles().mkString("|").split("|") if "shuffle_" in f}
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before, setting = files(), spark.conf.get(name, None)
-    made = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
-    for _ in range(100):
-        if not files() - before:
-            break
-        time.sleep(0.1)
-    assert not files() - before and spark.conf.get(name, None) == setting
-    assert made.agg(F.sum("count")).first()[0] == 1000
-
-
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95)], "a long, b long")
     got = {r.node: r.component for r in graph.components(links).collect() if r.node != r.component}
