@@ -138,6 +138,8 @@ def sketch(docs: DataFrame, key: str, text: str, percent: int, words: int, last:
 
 def shared_prefixes(sketches: DataFrame, percent: int, wide: bool = False, chunk: int = CHUNK) -> DataFrame:
     """(gram, hash) of all prefix hashes (wide: of all that the sketch holds) that two or more classes have."""
+    # wide ones are only counted, to choose an order of hashes, and any order is exact: half of an owner's bits tell them apart
+    kind = np.dtype("<u4" if wide else "<i8")
     parts = int(sketches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = sketches.agg(F.sum(F.octet_length("prefix") / 8 / (1 if wide else WIDE))).first()[0] or 0
     parts = max(parts, int(total // PARTITION))
@@ -159,13 +161,13 @@ def shared_prefixes(sketches: DataFrame, percent: int, wide: bool = False, chunk
             many = np.repeat(count > 1, count)
             # hashes that are shared within this task are known to be; others have to be told only that
             turn += 1
-            rows = [(turn % parts, True, g[many].tobytes(), o[many].tobytes(), b"")]
+            rows = [(turn % parts, True, g[many].tobytes(), o[many].astype(kind).tobytes(), b"")]
             k, owner, flag = g[head], np.where(count > 1, 0, o[head]), count > 1
             part = (k % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             k, owner, flag = k[order], owner[order], flag[order]
             cut = np.searchsorted(part[order], np.arange(parts + 1))
-            rows += [(p, False, k[a:b].tobytes(), owner[a:b].tobytes(), flag[a:b].tobytes()) for p, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
+            rows += [(p, False, k[a:b].tobytes(), owner[a:b].astype(kind).tobytes(), flag[a:b].tobytes()) for p, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
             cols = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.bool_()), *(pa.array(c, pa.binary()) for c in cols[2:])], names=["part", "sure", "grams", "owners", "many"])
 
@@ -185,7 +187,7 @@ def shared_prefixes(sketches: DataFrame, percent: int, wide: bool = False, chunk
         grams, owners, many = [], [], []
         for batch in batches:
             for r in batch.to_pylist():
-                g, o = np.frombuffer(r["grams"], np.uint64), np.frombuffer(r["owners"], np.int64)
+                g, o = np.frombuffer(r["grams"], np.uint64), np.frombuffer(r["owners"], kind).astype(np.int64)
                 if r["sure"]:
                     yield out(g, o)
                 else:
