@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, langid, mixing, ngram_join, quality, suffix_dedup, tokens, toxicity, urlfilter, warc
+from lamina.llm import decontaminate, divergence, encoding, langid, mixing, multiset, ngram_join, quality, suffix_dedup, tokens, toxicity, urlfilter, warc
 from lamina.llm.shared import remainder, table
 
 #: A public vocabulary; its path is a parameter of the operator.
@@ -70,9 +70,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset.edited(table(spark, sf_dir, "documents"))
+
+
+def op13_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding.encode(*(table(spark, sf_dir, n) for n in ("sale_lines", "sales", "items", "vendors", "clients")))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_decontaminate, op3_ngram_join, op4_url_filters, op5_langid, op6_toxicity, op7_tokens, op8_warc, op9_mixing, op10_quality)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_decontaminate, op3_ngram_join, op4_url_filters, op5_langid, op6_toxicity, op7_tokens, op8_warc, op9_mixing, op10_quality, op11_divergence, op12_multiset, op13_encoding)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": decontaminate.oracle_sql(), "op3_ngram_join": ngram_join.oracle_sql(), "op4_url_filters": urlfilter.oracle_sql(), "op8_warc": warc.oracle_sql(), "op10_quality": quality.oracle_sql()}
+    return {"op2_decontaminate": decontaminate.oracle_sql(), "op3_ngram_join": ngram_join.oracle_sql(), "op4_url_filters": urlfilter.oracle_sql(), "op8_warc": warc.oracle_sql(), "op10_quality": quality.oracle_sql(), "op11_divergence": divergence.oracle_sql(), "op13_encoding": encoding.oracle_sql()}
