@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -87,14 +90,18 @@ def numbered(df: DataFrame, *order: Column | str, start: int = 0) -> DataFrame:
     return out.withColumn("rn", F.col("_i") + F.col("_base")).select(*df.columns, "rn")
 
 
-def unique_names(df: DataFrame, name: str, key: str, folder: str | None = None, taken: DataFrame | None = None) -> DataFrame:
-    """(key, unique_name): names made unique within `folder` by _1, _2 … before the suffix, in the order of the key.
+def unique_names(df: DataFrame, name: str, key: str, folder: str | None = None, taken: DataFrame | None = None, mark: str = "_") -> DataFrame:
+    """(key, unique_name): names made unique within `folder` by <mark>1, <mark>2 … before the suffix, in the order of the key.
 
     taken: (folder and) names that are there already. A number is skipped where the
-    name with it is itself in use: by `taken`, or by a row of that very name.
+    name with it is itself in use: by `taken`, or by a row of that very name. Rows are
+    numbered by ranges of their order, so a name that most rows have is dealt over many tasks.
     """
     at = [folder] if folder else []
-    marked = df.select(key, *at, name).withColumn("_k", F.row_number().over(W.partitionBy(*at, name).orderBy(key)))
+    order = numbered(df.select(key, *at, name), *at, name, key)
+    first = order.groupBy(*at, name).agg(F.min("rn").alias("_first"))
+    o, f = order.alias("o"), first.alias("f")
+    marked = o.join(f, reduce(lambda x, y: x & y, [F.col(f"o.{c}").eqNullSafe(F.col(f"f.{c}")) for c in [*at, name]])).select("o.*", (F.col("rn") - F.col("_first") + 1).alias("_k")).drop("rn")
     kept = marked.filter("_k = 1").select(*at, name)
     used = kept if taken is None else kept.unionByName(taken.select(*at, name))
     if taken is not None:  # the first of a taken name needs a number too
@@ -103,12 +110,12 @@ def unique_names(df: DataFrame, name: str, key: str, folder: str | None = None,
         used = used.distinct()
     else:
         marked = marked.withColumn("_n", F.col("_k") - 1)
-    # names in use that look like <stem>_<number><suffix> close that number for their stem
-    shape = r"^(.*)_([1-9][0-9]{0,8})(\.[^.]*)?$"
+    # names in use that look like <stem><mark><number><suffix> close that number for their stem
+    shape = rf"^(.*){re.escape(mark)}([1-9][0-9]{{0,8}})(\.[^.]*)?$"
     closed = used.filter(F.col(name).rlike(shape)).select(*at, F.concat(F.regexp_extract(name, shape, 1), F.regexp_extract(name, shape, 3)).alias(name), F.regexp_extract(name, shape, 2).cast("long").alias("no"))
     closed = closed.groupBy(*at, name).agg(F.sort_array(F.collect_set("no")).alias("_closed"))
     rows = marked.join(closed, [*at, name], "left")
     # the n-th number that is open: each closed one that is not above moves it on by one
     moved = F.aggregate(F.coalesce("_closed", F.array().cast("array<bigint>")), F.col("_n").cast("long"), lambda n, c: F.when(c <= n, n + 1).otherwise(n))
-    numbered_name = F.concat(F.regexp_extract(name, r"^(.+?)(\.[^.]*)?$", 1), F.lit("_"), moved.cast("string"), F.regexp_extract(name, r"^(.+?)(\.[^.]*)?$", 2))
+    numbered_name = F.concat(F.regexp_extract(name, r"^(.+?)(\.[^.]*)?$", 1), F.lit(mark), moved.cast("string"), F.regexp_extract(name, r"^(.+?)(\.[^.]*)?$", 2))
     return rows.select(key, *at, F.when(F.col("_n") > 0, numbered_name).otherwise(F.col(name)).alias("unique_name"))

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamina.functions.patterns import relative
 from lamina.functions.scalar import base_name, file_type, parent, segments
+from lamina.sources.snapshots import recover, swap
 
 _text = lambda *names: [T.StructField(n, T.StringType()) for n in names]
 #: Columns of the registries.
@@ -51,7 +51,8 @@ def images(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registry(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A registry table; an absent one is empty."""
+    """A registry table; an absent one is empty. A swap that a crash has cut short is ended first."""
+    recover(spark, path)
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException:
@@ -59,14 +60,8 @@ def registry(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def save_registry(df: DataFrame, path: str, csv: bool = False) -> None:
-    """Writes beside `path` and then takes its place, so a plan that reads `path` may be saved to it."""
-    spark, new = df.sparkSession, f"{path.rstrip('/')}.{uuid.uuid4().hex}.new"
-    (df.write.option("header", True).csv if csv else df.write.parquet)(new)
-    made, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, path))
-    fs = made.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(old, True)
-    if not fs.rename(made, old):
-        raise OSError(f"{new} is complete but could not take the place of {path}")
+    """Writes beside `path` and then takes its place, so a plan that reads `path` may be saved to it and a crash leaves the old or the new one."""
+    swap(df, path, lambda rows, to: rows.write.option("header", True).csv(to) if csv else rows.write.parquet(to))
 
 
 def split_registries(files: DataFrame) -> dict[str, DataFrame]:
@@ -76,15 +71,18 @@ def split_registries(files: DataFrame) -> dict[str, DataFrame]:
     return {"annotations": files.filter(image & ~copy), "duplicates": files.filter(image & copy), "text_files": files.filter(text), "other_files": files.filter(~image & ~text)}
 
 
-def count_files(spark: SparkSession, *folders: str) -> DataFrame:
-    """(type, n) of the files below the folders."""
-    return scan(spark, *folders).groupBy("type").agg(F.count("*").alias("n"))
+def count_files(spark: SparkSession, *folders: str, hidden: bool = True) -> DataFrame:
+    """(type, n) of the files below the folders, hidden ones included."""
+    return scan(spark, *folders, hidden=hidden).groupBy("type").agg(F.count("*").alias("n"))
 
 
-def top_folders(files: DataFrame, root: str) -> DataFrame:
-    """First folders below `root`, with their files."""
-    inner = F.regexp_extract("path", f"{root.rstrip('/')}/([^/]+)/", 1)
-    return files.filter(inner != "").groupBy(inner.alias("folder")).agg(F.count("*").alias("n"))
+def top_folders(files: DataFrame, root: str, kind: str | None = "image") -> DataFrame:
+    """First folders below `root`, with their files of that type (all: None)."""
+    rel = segments(relative(F.col("path"), root))
+    out = files.filter(F.col("path").startswith(root.rstrip("/") + "/") & (F.size(rel) > 1))
+    if kind is not None:
+        out = out.filter(F.col("type") == kind)
+    return out.groupBy(F.get(rel, F.lit(0)).alias("folder")).agg(F.count("*").alias("n"))
 
 
 def copy_plan(staged: DataFrame, kept: DataFrame, overwrite: bool = False) -> DataFrame:
