@@ -5,9 +5,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lamina.functions.scalar import clean, segments
+from lamina.sources.snapshots import written
 
 #: Folders that are no collection.
 SPECIAL = ["Duplicados", "registries", "logs", "Archivos_Texto", "Otros_Archivos", "Revision_Manual", "__pycache__"]
@@ -79,13 +81,18 @@ def taxonomy(columns: list[str], *registries: DataFrame) -> DataFrame:
 
 
 def integrity_report(main: DataFrame, hashes: DataFrame, duplicates: DataFrame, key: str, sample: int = 20) -> DataFrame:
-    """Counts of main rows without hash, hashes without main row and duplicates that have a hash; the first keys of each; whether all is well."""
+    """(problem, n, first, passed): main rows without hash, hashes without main row, duplicates that have a hash, and all; the first keys of each."""
     rows = {"missing_hash": main.join(hashes, key, "left_anti"), "missing_row": hashes.join(main, key, "left_anti"), "leaked_duplicate": duplicates.join(hashes, key, "left_semi")}
-    problems = reduce(DataFrame.unionByName, [df.select(F.lit(p).alias("problem"), F.col(key).cast("string").alias("key")) for p, df in rows.items()])
-    ranked = problems.groupBy("problem").agg(F.count("*").alias("n"))
+    problems = written(reduce(DataFrame.unionByName, [df.select(F.lit(p).alias("problem"), F.col(key).cast("string").alias("key")) for p, df in rows.items()]))
+    counted = problems.groupBy("problem").agg(F.count("*").alias("n"))
+    # a limit that the plan knows: no task sends more keys of a problem than are shown
+    first = problems.withColumn("r", F.row_number().over(W.partitionBy("problem").orderBy("key"))).filter(F.col("r") <= sample)
+    first = first.groupBy("problem").agg(F.sort_array(F.collect_list("key")).alias("first"))
     kinds = main.sparkSession.createDataFrame([(p,) for p in rows], "problem string")
-    out = kinds.join(ranked, "problem", "left").select("problem", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
-    return out.withColumn("passed", F.col("n") == 0)
+    out = kinds.join(counted, "problem", "left").join(first, "problem", "left")
+    out = out.select("problem", F.coalesce("n", F.lit(0).cast("long")).alias("n"), F.coalesce("first", F.array().cast("array<string>")).alias("first"))
+    every = out.agg(F.lit("all").alias("problem"), F.sum("n").alias("n"), F.array().cast("array<string>").alias("first"))
+    return out.unionByName(every).withColumn("passed", F.col("n") == 0)
 
 
 def preservation_report(sources: dict[str, DataFrame], merged: DataFrame, duplicates: DataFrame, key: str) -> DataFrame:

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 
 def exact_groups(files: DataFrame, digest: Column, key: str, size: str) -> DataFrame:
-    """Groups of equal content with more than one file; the largest file leads, the smallest key on ties."""
+    """Groups of equal content with more than one file; the largest file leads, the smallest key on ties. Keys are of any type that has an order."""
     g = files.select(digest.alias("digest"), F.col(key), F.col(size)).groupBy("digest")
-    g = g.agg(F.count("*").alias("n_files"), F.max_by(key, F.struct(F.col(size), -F.col(key))).alias("primary_id"), F.min(key).alias("first_id"), F.sum(size).alias("total_size"))
-    return g.filter("n_files > 1")
+    lead = F.min(F.struct(F.coalesce(-F.col(size), F.lit(1)).alias("s"), F.col(key).alias("k")))  # files of unknown size come last
+    g = g.agg(F.count("*").alias("n_files"), lead.alias("lead"), F.min(key).alias("first_id"), F.sum(size).alias("total_size"))
+    return g.filter("n_files > 1").select("digest", "n_files", F.col("lead.k").alias("primary_id"), "first_id", "total_size")
 
 
 def duplicate_counts(files: DataFrame, digest: Column) -> DataFrame:
@@ -21,10 +22,11 @@ def duplicate_counts(files: DataFrame, digest: Column) -> DataFrame:
 
 
 def perceptual_groups(files: DataFrame, phash: str, digest: str, key: str) -> DataFrame:
-    """Groups of equal perceptual hash, without those that are wholly inside one exact group."""
+    """Groups of equal perceptual hash, without those that are wholly inside one exact group. A file without a digest is in none."""
+    content = F.nullif(F.col(digest), F.lit(""))
     g = files.filter(F.col(phash).isNotNull()).groupBy(phash)
-    g = g.agg(F.count("*").alias("n_files"), F.count_distinct(digest).alias("n_contents"), F.min(key).alias("first_id"))
-    return g.filter("n_files > 1 AND n_contents > 1")
+    g = g.agg(F.count("*").alias("n_files"), F.count_distinct(content).alias("n_contents"), F.min(key).alias("first_id"), F.count_if(content.isNull()).alias("_bare"))
+    return g.filter("n_files > 1 AND (n_contents > 1 OR _bare > 0)").drop("_bare")
 
 
 def mark_duplicates(files: DataFrame, digest: str, phash: str, key: str) -> DataFrame:

@@ -3,45 +3,50 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import md5
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lamina.functions.scalar import bits_to_hex, hamming
 
 
-def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, simhash): bit i is set if more tokens have it in the first half of their md5 than have not.
+def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(key, simhash, columns to keep): bit i is set if more tokens have it in the first half of their md5 than have not.
 
-    A text's tokens stay in its row, so nothing is shuffled: the JVM makes the
-    digests, and an Arrow pass adds up their bits. A text without tokens has no bit set.
+    A text's tokens stay in its row, so nothing is shuffled. A batch's distinct tokens are hashed once; their bits are then
+    added up by position. A text without tokens has no bit set.
     """
+    keep = keep or []
     tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), lambda t: t != "")
-    halves = F.transform(tokens, lambda t: F.unhex(F.substring(F.md5(t.cast("binary")), 1, 16)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column("h")
+            column = batch.column("t")
             at = np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))]).astype(np.int64)
-            flat = column.flatten()
-            raw = np.frombuffer(flat.buffers()[2], np.uint8)[8 * flat.offset : 8 * (flat.offset + len(flat))].reshape(-1, 8) if len(flat) else np.zeros((0, 8), np.uint8)
+            coded = column.flatten().dictionary_encode()
+            raw = np.frombuffer(b"".join([md5(t).digest()[:8] for t in coded.dictionary.cast(pa.binary()).to_pylist()]), np.uint8).reshape(-1, 8)
+            word = coded.indices.to_numpy()
             sums = np.zeros((len(column), 64), np.int64)
             i = 0
-            while i < len(column):  # about a million tokens at a time
-                j = max(i + 1, int(np.searchsorted(at, at[i] + (1 << 20), "right")) - 1)
-                bits = np.unpackbits(raw[at[i] : at[j]], axis=1)
-                total = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(bits, axis=0, dtype=np.int32)])
-                sums[i:j] = total[at[i + 1 : j + 1] - at[i]] - total[at[i:j] - at[i]]
+            while i < len(column):  # about a quarter million tokens at a time
+                j = max(i + 1, int(np.searchsorted(at, at[i] + (1 << 18), "right")) - 1)
+                full = i + np.flatnonzero(np.diff(at[i : j + 1]))
+                if len(full):
+                    bits = np.unpackbits(raw[word[at[i] : at[j]]], axis=1)
+                    sums[full] = np.add.reduceat(bits, at[full] - at[i], axis=0, dtype=np.int32)
                 i = j
             out = np.packbits(2 * sums > np.diff(at)[:, None], axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([r.tobytes().hex() for r in out], pa.string())], names=["key", "simhash"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([r.tobytes().hex() for r in out], pa.string()), batch.column("k")], names=["key", "simhash", "k"])
 
-    rows = docs.select(F.col(key).alias("key"), halves.alias("h"))
-    return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, simhash string").withColumnRenamed("key", key)
+    rows = docs.select(F.col(key).alias("key"), tokens.alias("t"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("k"))
+    out = rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, simhash string, k {rows.schema['k'].dataType.simpleString()}")
+    return out.select(F.col("key").alias(key), "simhash", *[F.col(f"k.`{c}`").alias(c) for c in keep])
 
 
 def median_bits(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -82,12 +87,12 @@ def near_pairs(left: DataFrame, right: DataFrame, most: int, key: str, phash: st
 
 
 def neighbours(files: DataFrame, others: DataFrame, most: int, key: str, phash: str) -> DataFrame:
-    """(key, near, dist) in the order of distance, then of the key found."""
-    pairs = near_pairs(files, others, most, key, phash)
-    return pairs.select(F.col("a").alias(key), F.col("b").alias("near"), "dist").orderBy(key, "dist", "near")
+    """(key, near, dist, rank): what is near each file, by distance, then by the key found; rank counts from 1."""
+    pairs = near_pairs(files, others, most, key, phash).select(F.col("a").alias(key), F.col("b").alias("near"), "dist")
+    return pairs.withColumn("rank", F.row_number().over(W.partitionBy(key).orderBy("dist", "near")))
 
 
 def pair_type(a_digest: Column, b_digest: Column, a_phash: Column, b_phash: Column, most: int) -> Column:
-    """Whether two files are duplicates of one kind, exact first."""
+    """What two files are to each other: exact (equal digests, not empty ones), perceptual (equal hashes), near (at most `most` bits apart) or none."""
     dist = hamming(a_phash, b_phash)
-    return F.when(a_digest == b_digest, "exact").when(dist.between(0, most), "perceptual").otherwise("none")
+    return F.when((a_digest == b_digest) & (a_digest != ""), "exact").when(dist == 0, "perceptual").when(dist.between(1, most), "near").otherwise("none")

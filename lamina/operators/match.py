@@ -112,7 +112,7 @@ def unique_names(df: DataFrame, name: str, key: str, folder: str | None = None,
         marked = marked.withColumn("_n", F.col("_k") - 1)
     # names in use that look like <stem><mark><number><suffix> close that number for their stem
     shape = rf"^(.*){re.escape(mark)}([1-9][0-9]{{0,8}})(\.[^.]*)?$"
-    closed = used.filter(F.col(name).rlike(shape)).select(*at, F.concat(F.regexp_extract(name, shape, 1), F.regexp_extract(name, shape, 3)).alias(name), F.regexp_extract(name, shape, 2).cast("long").alias("no"))
+    closed = used.filter(F.col(name).rlike(shape)).select(*at, F.concat(F.regexp_extract(name, shape, 1), F.regexp_extract(name, shape, 3)).alias(name), F.regexp_extract(name, shape, 2).try_cast("long").alias("no"))
     closed = closed.groupBy(*at, name).agg(F.sort_array(F.collect_set("no")).alias("_closed"))
     rows = marked.join(closed, [*at, name], "left")
     # the n-th number that is open: each closed one that is not above moves it on by one

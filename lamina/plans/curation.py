@@ -302,9 +302,15 @@ def taxonomy_labels(documents):
     return audit.taxonomy(["lang", "source"], documents.filter("doc_id % 2 = 0"), documents.filter("doc_id % 2 = 1"))
 
 
-@query("SELECT problem, n, n = 0 AS passed FROM (SELECT 'missing_hash' AS problem, (SELECT count(*) FROM documents ANTI JOIN labels USING (doc_id)) AS n UNION ALL SELECT 'missing_row', (SELECT count(*) FROM labels ANTI JOIN documents USING (doc_id)) UNION ALL SELECT 'leaked_duplicate', (SELECT count(*) FROM (SELECT doc_id FROM documents WHERE lang = 'de') SEMI JOIN labels USING (doc_id)))")
+@query(
+    """WITH p AS (SELECT 'missing_hash' AS problem, doc_id::VARCHAR AS key FROM documents ANTI JOIN labels USING (doc_id) UNION ALL SELECT 'missing_row', doc_id::VARCHAR FROM labels ANTI JOIN documents USING (doc_id) UNION ALL SELECT 'leaked_duplicate', doc_id::VARCHAR FROM (SELECT doc_id FROM documents WHERE lang = 'de') SEMI JOIN labels USING (doc_id)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY problem ORDER BY key) AS r FROM p), k AS (SELECT unnest(['missing_hash', 'missing_row', 'leaked_duplicate']) AS problem),
+    o AS (SELECT problem, count(key) AS n, coalesce(string_agg(key, ',' ORDER BY key) FILTER (r <= 20), '') AS first FROM k LEFT JOIN r USING (problem) GROUP BY problem)
+    SELECT problem, n, first, n = 0 AS passed FROM o UNION ALL SELECT 'all', sum(n)::BIGINT, '', sum(n) = 0 FROM o"""
+)
 def integrity_report(documents, labels):
-    return audit.integrity_report(documents.select("doc_id"), labels.select("doc_id"), documents.filter("lang = 'de'").select("doc_id"), "doc_id")
+    out = audit.integrity_report(documents.select("doc_id"), labels.select("doc_id"), documents.filter("lang = 'de'").select("doc_id"), "doc_id")
+    return out.withColumn("first", F.array_join("first", ","))
 
 
 @query("WITH a AS (SELECT doc_id FROM documents WHERE doc_id % 3 <> 2), b AS (SELECT doc_id FROM documents WHERE doc_id % 2 = 0), s AS (SELECT doc_id FROM a UNION SELECT doc_id FROM b), m AS (SELECT DISTINCT doc_id FROM labels) SELECT 'source_a' AS part, (SELECT count(*) FROM a) AS n UNION ALL SELECT 'source_b', (SELECT count(*) FROM b) UNION ALL SELECT 'distinct', (SELECT count(*) FROM s) UNION ALL SELECT 'merged', (SELECT count(*) FROM m) UNION ALL SELECT 'missing', (SELECT count(*) FROM s ANTI JOIN m USING (doc_id)) UNION ALL SELECT 'new', (SELECT count(*) FROM m ANTI JOIN s USING (doc_id)) UNION ALL SELECT 'justified', (SELECT count(*) FROM (SELECT * FROM s ANTI JOIN m USING (doc_id)) SEMI JOIN (SELECT doc_id FROM documents WHERE lang = 'de') USING (doc_id))")
@@ -343,8 +349,8 @@ def decided_values(part):
     return part.select("p_partkey", resolve.review_folder(kind).alias("folder"), value.alias("value"))
 
 
-@query("WITH h AS (SELECT vec_id, substr(md5((vec_id % 40)::VARCHAR), 1, 15) || (vec_id % 4)::VARCHAR AS h FROM embeddings) SELECT a.vec_id, b.vec_id AS near, bit_count(xor(('0x' || a.h[16:16])::BIGINT, ('0x' || b.h[16:16])::BIGINT))::INT AS dist FROM h AS a JOIN h AS b ON a.h[1:15] = b.h[1:15] AND a.h <> b.h")
+@query("WITH h AS (SELECT vec_id, substr(md5((vec_id // 8)::VARCHAR), 1, 15) || (vec_id % 4)::VARCHAR AS h FROM embeddings), p AS (SELECT a.vec_id, b.vec_id AS near, bit_count(xor(('0x' || a.h[16:16])::BIGINT, ('0x' || b.h[16:16])::BIGINT))::INT AS dist FROM h AS a JOIN h AS b ON a.h[1:15] = b.h[1:15] AND a.h <> b.h) SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, near)::INT AS rank FROM p")
 def near_by_distance(embeddings):
-    """Neighbours of each hash, the nearest first; the order is not compared."""
-    rows = embeddings.select("vec_id", F.expr("substr(md5(CAST(vec_id % 40 AS STRING)), 1, 15) || CAST(vec_id % 4 AS STRING)").alias("h"))
+    """Eight neighbours in number share all digits of a hash but the last."""
+    rows = embeddings.select("vec_id", F.expr("substr(md5(CAST(vec_id div 8 AS STRING)), 1, 15) || CAST(vec_id % 4 AS STRING)").alias("h"))
     return fingerprint.neighbours(rows, rows, 3, "vec_id", "h")

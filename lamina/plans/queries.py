@@ -72,12 +72,34 @@ def embedding_fingerprint(embeddings):
 
 
 def _marked(documents):
-    return documents.select("doc_id", _md5().alias("digest")).join(fingerprint.simhash(documents), "doc_id")
+    return fingerprint.simhash(documents.withColumn("digest", _md5()), keep=["digest"])
 
 
-@query(f"WITH {SIMHASH} SELECT simhash, count(*) AS n_files, count(DISTINCT md5(text)) AS n_contents, min(doc_id) AS first_id FROM documents JOIN fp USING (doc_id) GROUP BY simhash HAVING count(*) > 1 AND count(DISTINCT md5(text)) > 1")
+@query(f"WITH {SIMHASH}, f AS (SELECT doc_id, simhash, CASE WHEN doc_id % 7 <> 0 THEN md5(text) END AS d FROM documents JOIN fp USING (doc_id)) SELECT simhash, count(*) AS n_files, count(DISTINCT d) AS n_contents, min(doc_id) AS first_id FROM f GROUP BY simhash HAVING count(*) > 1 AND (count(DISTINCT d) > 1 OR count(d) < count(*))")
 def perceptual_groups(documents):
-    return dedup.perceptual_groups(_marked(documents), "simhash", "digest", "doc_id")
+    """Every seventh document has no digest: its group is not known to be of one content."""
+    return dedup.perceptual_groups(_marked(documents).withColumn("digest", F.when(F.col("doc_id") % 7 != 0, F.col("digest"))), "simhash", "digest", "doc_id")
+
+
+@query("SELECT md5(coalesce(text, '')) AS digest, count(*) AS n_files, first(p ORDER BY n_chars DESC NULLS LAST, p) AS primary_id, min(p) AS first_id, sum(n_chars)::BIGINT AS total_size FROM (SELECT *, coalesce(source, 'none') || '/' || doc_id::VARCHAR AS p FROM documents) GROUP BY 1 HAVING count(*) > 1")
+def exact_path_groups(documents):
+    """Keys are paths here, ordered as texts."""
+    return dedup.exact_groups(documents.withColumn("p", F.expr("coalesce(source, 'none') || '/' || CAST(doc_id AS STRING)")), _md5(), "p", "n_chars")
+
+
+@query(
+    f"""WITH {SIMHASH}, f AS (SELECT doc_id, simhash, CASE WHEN doc_id % 7 <> 0 THEN md5(text) WHEN doc_id % 2 = 0 THEN '' END AS d FROM documents JOIN fp USING (doc_id)), g AS (SELECT simhash, min(doc_id) AS first FROM f GROUP BY simhash)
+    SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, CASE WHEN a.d = b.d AND a.d <> '' THEN 'exact' WHEN a.simhash = b.simhash THEN 'perceptual' WHEN {DIST} <= 3 THEN 'near' ELSE 'none' END AS kind FROM f AS a JOIN f AS b ON a.doc_id < b.doc_id AND (b.doc_id = a.doc_id + 1 OR {DIST} BETWEEN 1 AND 3 OR (a.simhash = b.simhash AND a.doc_id IN (SELECT first FROM g)))"""
+)
+def pair_kinds(documents):
+    """Each document with the next, with near ones, and with the first of its hash."""
+    f = _marked(documents).withColumn("digest", F.expr("CASE WHEN doc_id % 7 <> 0 THEN digest WHEN doc_id % 2 = 0 THEN '' END"))
+    near = fingerprint.near_pairs(f, f, 3, "doc_id", "simhash", itself=True).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    first = f.join(f.groupBy("simhash").agg(F.min("doc_id").alias("a")), "simhash").filter("a < doc_id").select("a", F.col("doc_id").alias("b"))
+    beside = f.select((F.col("doc_id") - 1).alias("a"), F.col("doc_id").alias("b")).join(f.select(F.col("doc_id").alias("a")), "a", "left_semi")
+    pairs = near.unionByName(first).unionByName(beside).distinct()
+    both = pairs.join(f.select(F.col("doc_id").alias("a"), F.col("digest").alias("da"), F.col("simhash").alias("ha")), "a").join(f.select(F.col("doc_id").alias("b"), F.col("digest").alias("db"), F.col("simhash").alias("hb")), "b")
+    return both.select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b"), fingerprint.pair_type(F.col("da"), F.col("db"), F.col("ha"), F.col("hb"), 3).alias("kind"))
 
 
 @query(
@@ -125,14 +147,14 @@ def group_autofill(documents, labels):
 
 
 @query(
-    """WITH e AS (SELECT doc_id, source, CASE WHEN doc_id % 5 <> 0 THEN lang END AS lang, substr(text, 1, 20) AS note FROM documents WHERE doc_id % 3 <> 0),
-    s AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'other' ELSE source END AS source, lang, substr(text, 1, (10 + doc_id % 20)::INT) AS note FROM documents WHERE doc_id % 3 <> 1),
+    """WITH e AS (SELECT doc_id, source, CASE WHEN doc_id % 5 <> 0 THEN lang END AS lang, text || repeat('.', (doc_id % 20)::INT) AS note FROM documents WHERE doc_id % 3 <> 0),
+    s AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'other' ELSE source END AS source, lang, text || repeat('!', 10) AS note FROM documents WHERE doc_id % 3 <> 1),
     b AS (SELECT coalesce(e.doc_id, s.doc_id) AS doc_id, CASE WHEN s.doc_id IS NULL THEN 'existing' WHEN e.doc_id IS NULL THEN 'new' ELSE 'both' END AS origin, trim(e.source) AS es, trim(s.source) AS ss, e.lang AS el, s.lang AS sl, nullif(trim(e.note), '') AS en, nullif(trim(s.note), '') AS sn FROM e FULL JOIN s ON e.doc_id = s.doc_id)
     SELECT doc_id, origin, coalesce(es, ss) AS source, coalesce(el, sl) AS lang, CASE WHEN en <> sn AND length(sn) > length(en) THEN sn ELSE coalesce(en, sn) END AS note, (CASE WHEN es <> ss THEN 1 ELSE 0 END + CASE WHEN el <> sl THEN 1 ELSE 0 END)::INT AS n_conflicts FROM b"""
 )
 def registry_merge(documents):
-    e = documents.filter("doc_id % 3 <> 0").select("doc_id", "source", F.expr("CASE WHEN doc_id % 5 <> 0 THEN lang END AS lang"), F.expr("substr(text, 1, 20) AS note"))
-    s = documents.filter("doc_id % 3 <> 1").select("doc_id", F.expr("CASE WHEN doc_id % 7 = 0 THEN 'other' ELSE source END AS source"), "lang", F.expr("substr(text, 1, cast(10 + doc_id % 20 AS int)) AS note"))
+    e = documents.filter("doc_id % 3 <> 0").select("doc_id", "source", F.expr("CASE WHEN doc_id % 5 <> 0 THEN lang END AS lang"), F.expr("text || repeat('.', CAST(doc_id % 20 AS INT)) AS note"))
+    s = documents.filter("doc_id % 3 <> 1").select("doc_id", F.expr("CASE WHEN doc_id % 7 = 0 THEN 'other' ELSE source END AS source"), "lang", F.expr("text || repeat('!', 10) AS note"))
     return match.merge_registries(e, s, "doc_id", {"source": False, "lang": False, "note": True})
 
 
@@ -220,16 +242,16 @@ def numeric_ids(pages):
     return pages.select("page_id", F.array_join(n, ",").alias("numbers"), S.digits(F.col("url")).alias("digits"))
 
 
-@query(r"SELECT doc_id, regexp_replace(regexp_replace(n, '^_+|_+$', '', 'g'), '_+', '_', 'g') AS safe_name, concat_ws('_', '0000', regexp_replace(regexp_replace(n, '^_+|_+$', '', 'g'), '_+', '_', 'g'), substr(md5(doc_id::VARCHAR), 1, 8)) || '.jpg' AS new_name FROM (SELECT doc_id, regexp_replace(substr(text, 1, 40), '[^\p{L}\p{N}_\-]+', '_', 'g') AS n FROM documents)")
-def sanitize_names(documents):
-    name = S.sanitize(F.expr("substr(text, 1, 40)"))
-    full = F.concat(F.concat_ws("_", F.lit("0000"), name, F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 8)), F.lit(".jpg"))
-    return documents.select("doc_id", name.alias("safe_name"), full.alias("new_name"))
+@query(r"SELECT p_partkey, regexp_replace(regexp_replace(n, '^_+|_+$', '', 'g'), '_+', '_', 'g') AS safe_name, concat_ws('_', '0000', regexp_replace(regexp_replace(n, '^_+|_+$', '', 'g'), '_+', '_', 'g'), substr(md5(p_partkey::VARCHAR), 1, 8)) || '.jpg' AS new_name FROM (SELECT p_partkey, regexp_replace('_' || p_name || ' (' || p_type || ')_', '[^\p{L}\p{N}_\-]+', '_', 'g') AS n FROM part)")
+def sanitize_names(part):
+    name = S.sanitize(F.expr("'_' || p_name || ' (' || p_type || ')_'"))
+    full = F.concat(F.concat_ws("_", F.lit("0000"), name, F.substring(F.md5(F.col("p_partkey").cast("string").cast("binary")), 1, 8)), F.lit(".jpg"))
+    return part.select("p_partkey", name.alias("safe_name"), full.alias("new_name"))
 
 
 @query(r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '[^\p{L}\p{N}_\-]+', '_', 'g'), '^_+|_+$', '', 'g'), '_+', '_', 'g') AS safe_name FROM documents")
 def sanitize_texts(documents):
-    """sanitize_names over whole texts."""
+    """The same for whole texts."""
     return documents.select("doc_id", S.sanitize(F.col("text")).alias("safe_name"))
 
 
@@ -304,9 +326,9 @@ def taxonomy_rollup(region, nation, customer):
     return stats.hierarchy(_geo(region, nation, customer), "r_name", "n_name", "c_mktsegment")
 
 
-@query(f"WITH g AS (SELECT r_name, n_name FROM {GEO}), t AS (SELECT n_name FROM g GROUP BY 1 ORDER BY count(*) DESC, n_name LIMIT 10) SELECT r_name, n_name, count(*) AS n FROM g SEMI JOIN t USING (n_name) GROUP BY ALL")
+@query(f"WITH g AS (SELECT r_name, n_name FROM {GEO}), t AS (SELECT n_name FROM g GROUP BY 1 ORDER BY count(*) DESC, n_name LIMIT 25) SELECT r_name, n_name, count(*) AS n FROM g SEMI JOIN t USING (n_name) GROUP BY ALL")
 def taxonomy_flow(region, nation, customer):
-    return stats.top_links(_geo(region, nation, customer), "r_name", "n_name", 10)
+    return stats.top_links(_geo(region, nation, customer), "r_name", "n_name", 25)
 
 
 @query(
@@ -315,7 +337,7 @@ def taxonomy_flow(region, nation, customer):
     SELECT 1 AS level, a AS parent, b AS child, count(*) AS n FROM g GROUP BY ALL UNION ALL SELECT 2, b, c, count(*) FROM g SEMI JOIN t USING (c) GROUP BY ALL"""
 )
 def taxonomy_links(region, nation, customer, orders):
-    """Both levels of links; taxonomy_flow has the second only, to 10 children."""
+    """Both levels of links, to the 25 commonest children; taxonomy_flow has one level."""
     dims = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     people = customer.join(dims, F.col("c_nationkey") == F.col("n_nationkey"))
     rows = orders.join(people, F.col("o_custkey") == F.col("c_custkey")).withColumn("c", F.expr("CASE WHEN o_orderkey % 50 <> 0 THEN c_name END"))

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from lamina.functions.patterns import relative
 from lamina.functions.scalar import base_name, file_type, parent, segments
-from lamina.sources.snapshots import recover, swap
+from lamina.operators.match import unique_names
+from lamina.sources.snapshots import recover, swap, written
 
 _text = lambda *names: [T.StructField(n, T.StringType()) for n in names]
 #: Columns of the registries.
@@ -86,10 +87,22 @@ def top_folders(files: DataFrame, root: str, kind: str | None = "image") -> Data
 
 
 def copy_plan(staged: DataFrame, kept: DataFrame, overwrite: bool = False) -> DataFrame:
-    """(rel, digest) of staged files with an action: skip equal content, resolve a taken name, else copy."""
-    same = kept.select("digest").distinct().withColumn("known", F.lit(True))
+    """(rel, digest, action, new_rel) of staged files (rel, digest): skip equal content, resolve a taken name, else copy.
+
+    A name is taken by a kept file or by a staged one of another content, the least digest having the first right; the others
+    become <stem>_merged_<k><suffix>, k being the first number whose name is free. Repeated rows count once; a null digest equals none.
+    """
+    rows = staged.select("rel", "digest").distinct()
+    same = kept.filter("digest IS NOT NULL").select("digest").distinct().withColumn("known", F.lit(True))
     taken = kept.select("rel").distinct().withColumn("taken", F.lit(True))
-    out = staged.join(same, "digest", "left").join(taken, "rel", "left")
-    action = F.when(F.col("known"), "duplicate").when(F.col("taken"), "overwrite" if overwrite else "rename").otherwise("copy")
-    merged = F.when(action == "rename", F.regexp_replace("rel", r"(\.[^./]*)?$", "_merged_1$1"))
-    return out.select("rel", "digest", action.alias("action"), merged.alias("new_rel"))
+    first = rows.join(same, "digest", "left_anti").groupBy("rel").agg(F.min(F.struct(F.col("digest").isNull().alias("n"), "digest")).alias("first"))
+    out = rows.join(same, "digest", "left").join(taken, "rel", "left").join(first, "rel", "left")
+    mine = F.struct(F.col("digest").isNull().alias("n"), "digest").eqNullSafe(F.col("first"))
+    action = F.when(F.col("known"), "duplicate").when(F.col("taken"), "overwrite" if overwrite else "rename").when(mine, "copy").otherwise("rename")
+    out = written(out.select("rel", "digest", action.alias("action")))
+    at = lambda df: df.select(F.when(F.col("rel").contains("/"), parent(F.col("rel"))).otherwise("").alias("folder"), base_name(F.col("rel")).alias("name"))
+    renamed = out.filter("action = 'rename'").select(F.struct("rel", "digest").alias("key"), "rel")
+    names = unique_names(renamed.select("key", F.when(F.col("rel").contains("/"), parent(F.col("rel"))).otherwise("").alias("folder"), base_name(F.col("rel")).alias("name")), "name", "key", "folder", at(kept.select("rel").unionByName(out.filter("action = 'copy'").select("rel"))), "_merged_")
+    named = names.select("key.rel", "key.digest", F.concat(F.when(F.col("folder") == "", "").otherwise(F.concat("folder", F.lit("/"))), F.col("unique_name")).alias("new_rel"))
+    o, n = out.alias("o"), named.alias("n")
+    return o.join(n, (F.col("o.rel") == F.col("n.rel")) & F.col("o.digest").eqNullSafe(F.col("n.digest")) & (F.col("o.action") == "rename"), "left").select("o.*", "n.new_rel")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lamina.__main__ import main
 from lamina.functions import patterns as P
-from lamina.operators import dedup, enrich, fingerprint, match, registry, resolve
+from lamina.operators import dedup, fingerprint, learned, match, registry, resolve
 from lamina.sources import files, images
 from lamina.streaming import incremental
 
@@ -172,8 +172,8 @@ def test_decisions_and_fields(spark):
     (diff,) = resolve.differences(old, new, "k", ["f", "g"]).collect()
     assert diff.field == "f" and len(diff.existing) == 120 and diff.staged == "b"
     names = spark.createDataFrame([("d", "LH 12.jpg"), ("e", "x")], "folder string, name string")
-    got = enrich.stored_patterns(names, spark.createDataFrame([("d", r"LH ([0-9]+)")], "folder string, pattern string"), "folder", "name").collect()
-    assert {r.name: r.found for r in got} == {"LH 12.jpg": "12", "x": None}
+    got = learned.stored(names, spark.createDataFrame([("d", r"LH ([0-9]+)")], "folder string, pattern string"), "folder", "name").collect()
+    assert {r.name: r.value for r in got} == {"LH 12.jpg": "12", "x": None}
 
 
 def test_stream_appends_each_digest_once(spark, tmp_path):

@@ -82,12 +82,12 @@ def test_scan_and_plan(spark, tmp_path):
     assert files.registry(spark, str(tmp_path / "none"), files.HASHES).count() == 0
     staged = spark.createDataFrame([("x", "1"), ("y", "2"), ("z", "3")], "rel string, digest string")
     kept = spark.createDataFrame([("y", "9"), ("k", "3")], "rel string, digest string")
-    assert {r.rel: r.action for r in files.copy_plan(staged, kept).collect()} == {"x": "copy", "y": "rename", "z": "duplicate"}
+    assert {r.rel: (r.action, r.new_rel) for r in files.copy_plan(staged, kept).collect()} == {"x": ("copy", None), "y": ("rename", "y_merged_1"), "z": ("duplicate", None)}
 
 
 def test_enrichment_uses_the_cache(spark):
     wanted, cache = spark.createDataFrame([("a",), ("b",)], "k string"), spark.createDataFrame([("a", "old")], "k string, v string")
-    got = enrich.with_cache(wanted, cache, "k", enrich.client(lambda k: {"v": f"new {k}"}, ["v"], "k")).collect()
+    got = enrich.with_cache(wanted, cache, "k", lambda keys: enrich.client(lambda k: {"v": f"new {k}"}, "v string", "k")(keys).select("k", "v")).collect()
     assert sorted(map(tuple, got)) == [("a", "old"), ("b", "new b")]
 
 
