@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lamina.operators import learned, provenance
+from lamina.operators import learned, provenance, review
 from lamina.plans.curation import PATH
 from lamina.plans.queries import query
 from lamina.sources import reports
@@ -106,3 +106,71 @@ def learned_folder_patterns(part):
 )
 def ragged_export(part, customer):
     return reports.side_by_side(brand=part.select("p_brand").distinct(), type=part.select("p_type").distinct(), segment=customer.select("c_mktsegment").distinct())
+
+
+# --- review
+
+_PLACE = "CASE p_partkey % 9 WHEN 0 THEN 'logs/' WHEN 1 THEN 'registries/' WHEN 2 THEN '' WHEN 3 THEN 'Duplicados/' WHEN 4 THEN 'a/logs/' WHEN 5 THEN '__pycache__/' ELSE 'in/b/' END || CASE p_partkey % 8 WHEN 0 THEN 'staging_info.json' WHEN 1 THEN 'pipeline_state.json' WHEN 2 THEN 'duplicados_registro.xlsx' WHEN 3 THEN 'llm_cache.json' ELSE 'f' || CAST(p_partkey AS STRING) || '.jpg' END"
+
+
+@query(f"WITH f AS (SELECT p_partkey, {_PLACE} AS rel FROM part) SELECT p_partkey, rel FROM f WHERE rel NOT IN ('staging_info.json', 'pipeline_state.json', 'llm_cache.json', 'Duplicados/duplicados_registro.xlsx') AND NOT regexp_matches(rel, '^(logs|__pycache__|registries)/')")
+def staged_files(part):
+    return part.select("p_partkey", F.expr(_PLACE).alias("rel")).filter(review.is_staged_file(F.col("rel")))
+
+
+_FLAGS = {"type": "CASE WHEN p_partkey % 3 = 0 THEN 'text' WHEN p_partkey % 11 <> 0 THEN 'image' END", "specimen": "CASE WHEN p_partkey % 4 = 0 THEN ' ' WHEN p_partkey % 4 = 1 THEN 'nan' WHEN p_partkey % 5 <> 0 THEN p_brand END", "collection": "CASE WHEN p_size % 2 = 0 THEN p_brand END", "is_duplicate": "CASE WHEN p_partkey % 6 <> 0 THEN p_partkey % 6 = 1 END"}
+
+
+@query(
+    f"""WITH f AS (SELECT p_partkey, {', '.join(f'{c} AS {n}' for n, c in _FLAGS.items())} FROM part), r AS (SELECT *, coalesce(type = 'image', false) AND (coalesce(lower(trim(specimen)), '') IN ('', 'nan') OR collection IS NULL) AS needs_review FROM f)
+    SELECT p_partkey, needs_review FROM r WHERE coalesce(is_duplicate, false) = false AND (type = 'text' OR (type = 'image' AND needs_review) OR collection = p_partkey::VARCHAR)"""
+)
+def review_flags(part):
+    """Unique texts, and unique images that need a review."""
+    files = part.select("p_partkey", *[F.expr(c).alias(n) for n, c in _FLAGS.items()])
+    files = files.withColumn("needs_review", review.needs_review(F.col("type"), F.col("specimen"), F.col("collection")))
+    parts = [review.select(files, kind="text", duplicate=False), review.select(files, kind="image", review=True, duplicate=False)]
+    return parts[0].unionByName(parts[1]).select("p_partkey", "needs_review")
+
+
+_ID = "substr(md5(CAST(doc_id AS STRING)), 1, 8)"
+_FILE = f"coalesce(source, 'none') || '/2020_' || CASE WHEN doc_id % 4 = 0 THEN {_ID} ELSE 'name' || CAST(doc_id AS STRING) END || '.txt'"
+_TOLD = f"doc_id % 8 = 0 AS by_id, doc_id % 4 = 1 AS by_rel, doc_id % 4 = 2 AS by_path, CASE WHEN doc_id % 8 = 0 THEN upper({_ID}) END AS uuid, CASE doc_id % 4 WHEN 1 THEN {_FILE} WHEN 2 THEN '/root dir/' || {_FILE} END AS file_path"
+
+
+@query(f"WITH f AS (SELECT doc_id, '/root dir/' || {_FILE} AS path, md5(coalesce(text, '')) AS d, {_TOLD} FROM documents) SELECT doc_id, path, CASE WHEN by_id OR by_rel OR by_path THEN d END AS md5_hash, CASE WHEN by_id THEN 1 WHEN by_rel THEN 2 WHEN by_path THEN 3 END AS step FROM f".replace("AS STRING", "AS VARCHAR"))
+def hash_lookup(documents):
+    """Every fourth document has its short id in its name; a hash row tells that id, a path below the root, a whole path, or is not there."""
+    files = documents.select("doc_id", F.expr(f"'/root dir/' || {_FILE}").alias("path"))
+    hashes = documents.filter("doc_id % 8 = 0 OR doc_id % 4 IN (1, 2)").selectExpr(*[c for c in (f"CASE WHEN doc_id % 8 = 0 THEN upper({_ID}) END AS uuid", f"CASE doc_id % 4 WHEN 1 THEN {_FILE} WHEN 2 THEN '/root dir/' || {_FILE} END AS file_path", "md5(coalesce(text, '')) AS md5_hash", "CAST(NULL AS STRING) AS phash")])
+    return review.hashes_of(files, hashes, "/root dir").select("doc_id", "path", "md5_hash", "step")
+
+
+@query(
+    """WITH f AS (SELECT doc_id, 'new/' || (doc_id % 50)::VARCHAR || '/n' || doc_id::VARCHAR AS path, md5(coalesce(text, '')) AS d, CASE WHEN doc_id % 6 = 5 THEN 'u' || doc_id::VARCHAR END AS id FROM documents),
+    r AS (SELECT 'u' || doc_id::VARCHAR AS uuid, CASE WHEN doc_id % 6 = 0 THEN path WHEN doc_id % 6 = 1 THEN 'old/n' || doc_id::VARCHAR ELSE 'gone/' || doc_id::VARCHAR || '.x' END AS at, d, doc_id % 6 = 2 AS told FROM f),
+    c AS (SELECT path, 1 AS step, uuid FROM f JOIN r ON r.at = f.path UNION ALL SELECT path, 2, uuid FROM f JOIN r ON regexp_extract(r.at, '[^/]*$') = regexp_extract(f.path, '[^/]*$') UNION ALL SELECT path, 3, uuid FROM f JOIN r ON r.told AND r.d = f.d UNION ALL SELECT path, 4, uuid FROM f JOIN r ON r.uuid = f.id),
+    b AS (SELECT path, min((step, uuid)) AS m FROM c GROUP BY path) SELECT doc_id, m[2] AS uuid, m[1]::INT AS step FROM f LEFT JOIN b USING (path)"""
+)
+def registry_row_fallback(documents):
+    """Registry rows are found by path, by name, by the digest that a hash row tells, by id, or not at all."""
+    f = documents.selectExpr("doc_id", "'new/' || CAST(doc_id % 50 AS STRING) || '/n' || CAST(doc_id AS STRING) AS path", "md5(coalesce(text, '')) AS md5_hash", "CASE WHEN doc_id % 6 = 5 THEN 'u' || CAST(doc_id AS STRING) END AS id")
+    at = F.expr("CASE WHEN doc_id % 6 = 0 THEN path WHEN doc_id % 6 = 1 THEN 'old/n' || CAST(doc_id AS STRING) ELSE 'gone/' || CAST(doc_id AS STRING) || '.x' END")
+    r = f.select(F.expr("'u' || CAST(doc_id AS STRING)").alias("uuid"), at.alias("current_path"), "md5_hash", "doc_id")
+    hashes = r.filter("doc_id % 6 = 2").select(F.col("current_path").alias("file_path"), "md5_hash")
+    return review.registry_rows(f, r.select("uuid", "current_path"), hashes).select("doc_id", "uuid", "step")
+
+
+@query("SELECT doc_id FROM documents AS d WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND md5(coalesce(text, '')) IN (SELECT md5(coalesce(text, '')) FROM documents GROUP BY 1 HAVING count(*) > 1) AND (lang IS NULL OR source IS NULL OR doc_id % 3 <> 0) ORDER BY doc_id LIMIT 25")
+def sampled_reviews(documents, labels):
+    """The first documents without a label that have a copy and lack a field; a third have the last one."""
+    copies = documents.withColumn("d", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    copies = copies.join(copies.groupBy("d").count().filter("count > 1"), "d")
+    rows = documents.withColumn("note", F.when(F.col("doc_id") % 3 == 0, "x"))
+    return review.sample(rows, labels, "doc_id", 25, duplicates=copies, missing=["lang", "source", "note"]).select("doc_id")
+
+
+@query("SELECT c_mktsegment AS uuid, max((coalesce(c_name, ''), c_nationkey::VARCHAR))[1] AS phash, max((coalesce(c_name, ''), c_nationkey::VARCHAR))[2] AS md5_hash FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY 1")
+def tolerant_hashes(customer):
+    """Columns by other names and in other cases, repeated ids."""
+    return review.uuid_hashes(customer.select(F.col("c_mktsegment").alias("ID"), F.col("c_name").alias("P_Hash"), F.col("c_nationkey").alias("MD5")))

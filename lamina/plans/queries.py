@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.functions import scalar as S
-from lamina.operators import dedup, fingerprint, match, stats
+from lamina.operators import dedup, fingerprint, match, review, stats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -399,22 +399,19 @@ def review_sample(documents, labels):
 
 @query("SELECT doc_id, lag(doc_id) OVER (PARTITION BY source ORDER BY doc_id) AS prev_id, lead(doc_id) OVER (PARTITION BY source ORDER BY doc_id) AS next_id FROM documents")
 def navigation(documents):
-    from pyspark.sql import Window as W
-
-    w = W.partitionBy("source").orderBy("doc_id")
-    return documents.select("doc_id", F.lag("doc_id").over(w).alias("prev_id"), F.lead("doc_id").over(w).alias("next_id"))
+    out = review.neighbours_in_order(documents.select("source", "doc_id"), "source", "doc_id")
+    return out.select("doc_id", F.col("previous").alias("prev_id"), F.col("next").alias("next_id"))
 
 
 @query("SELECT doc_id, ceil(row_number() OVER (ORDER BY doc_id) / 200.0)::BIGINT AS page FROM documents")
 def pagination(documents):
-    return match.numbered(documents.select("doc_id"), "doc_id").select("doc_id", F.ceil(F.col("rn") / 200).alias("page"))
+    return review.pages(documents.select("doc_id"), 200, "doc_id").select("doc_id", "page")
 
 
 @query("SELECT host, round(avg(CASE WHEN regexp_matches(url, '/en/[0-9]+') THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS rate, avg(CASE WHEN regexp_matches(url, '/en/[0-9]+') THEN 1.0 ELSE 0.0 END) >= 0.7 AS accepted FROM (SELECT url, regexp_extract(url, '://([^/]+)/', 1) AS host FROM pages) GROUP BY host")
 def regex_success(pages):
-    hit = F.col("url").rlike("/en/[0-9]+").cast("double")
-    g = pages.groupBy(F.regexp_extract("url", "://([^/]+)/", 1).alias("host")).agg(F.avg(hit).alias("r"))
-    return g.select("host", F.round("r", 6).alias("rate"), (F.col("r") >= 0.7).alias("accepted"))
+    g = review.success(pages.withColumn("host", F.regexp_extract("url", "://([^/]+)/", 1)), "host", F.col("url").rlike("/en/[0-9]+"))
+    return g.select("host", F.round("rate", 6).alias("rate"), (F.col("rate") >= 0.7).alias("accepted"))
 
 
 @query("SELECT event_type, count(*) AS n, sum(json_extract(props, '$.k')::BIGINT)::BIGINT AS total FROM events GROUP BY 1")
