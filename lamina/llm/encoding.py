@@ -1,8 +1,8 @@
 """Target encoding in the order of time: how often earlier lines of other folds with the same value were returned.
 
-History is summed up in a cube of periods: whole hours before a line's own by cumulative sums, the rest of its
-hour by an exact join. Hours with many lines are cut into minutes, those into seconds, milliseconds and
-microseconds, so that no period that is joined has more than `MOST` lines.
+History is summed up in a cube of periods: whole hours before a line's own by cumulative sums over the cube, which
+lines join by key and hour; what stands before the line in its own hour by running sums over its microseconds. Hours with more
+than `MOST` lines are cut into minutes, those into seconds, milliseconds and microseconds.
 """
 
 from __future__ import annotations
@@ -17,9 +17,8 @@ from lamina.llm.shared import Tables, materialize, remainder
 
 #: Microseconds of a period, each level cutting those before it.
 LEVELS = (3_600_000_000, 60_000_000, 1_000_000, 1_000, 1)
-HOUR, MINUTE = 0, 1
-#: Lines of a key in a period that are joined with each other; a period with more is cut.
-MOST = 8
+#: Lines of a key in a period that are put in order together; a period with more is cut.
+MOST = 10_000
 #: Fixed by the query contract.
 FOLDS, WEIGHT, BASE, UNKNOWN = 5, 50, 500_000, -1
 
@@ -40,65 +39,55 @@ def rate(n: Column, s: Column, prior: Column) -> Column:
 
 
 def _period(level: int) -> Column:
-    return F.call_function("div", F.col("_t") - F.pmod("_t", F.lit(LEVELS[level])), F.lit(LEVELS[level]))
+    return F.call_function("div", F.col("t") - F.pmod("t", F.lit(LEVELS[level])), F.lit(LEVELS[level]))
 
 
-_sums = [f"{x}{f}" for f in range(FOLDS) for x in "ns"]
+def _before(window: W) -> list[Column]:
+    """Sums of n and s of other folds that stand before a row in the order of the window; rows of equal order do not."""
+    past = window.rangeBetween(W.unboundedPreceding, -1)
+    of = lambda x, f: F.coalesce(F.sum(F.when(F.col("fold") == f, F.col(x))).over(past), F.lit(0))
+    return [reduce(lambda a, b: a + b, [F.when(F.col("fold") == f, 0).otherwise(of(x, f)) for f in range(FOLDS)]) for x in "ns"]
 
 
-def closed(lines: DataFrame, level: int, top: int) -> DataFrame:
-    """(_k, _b, size, sums): each key's periods of `level` with its lines (1 if all are of one moment) and, by fold, the sums of all periods before it inside the period of level `top` - 1 (top 0: of all).
+def cube(lines: DataFrame, level: int) -> DataFrame:
+    """(_k, _b, _f, _n, _s, size, flat): each key's periods of a level by fold, with the lines of other folds in earlier periods inside the period above (above the hours: in all).
 
-    Lines are added up before they are shuffled, and windows see a row for each period: never more than
-    a period of the level above has, at the top one for each hour.
+    size: lines of the period; flat: all are of one moment. Lines are added up before they are shuffled, and windows
+    see a row for each period and fold: as many as the period above has, or, for hours, as many as there are.
     """
-    of = [F.sum(F.when(F.col("_fold") == f, F.col(x)).otherwise(0)).alias(f"{x}{f}") for f in range(FOLDS) for x in "ns"]
-    ids = [_period(k).alias(f"_b{k}") for k in range(max(top - 1, 0), level + 1)]
-    cube = lines.select("_k", "_t", "_fold", "n", "s", *ids).groupBy("_k", *[f"_b{k}" for k in range(max(top - 1, 0), level + 1)]).agg(F.count("*").alias("size"), F.min("_t").alias("lo"), F.max("_t").alias("hi"), *of)
-    # lines of one moment have none of their period before them, however many they are
-    cube = cube.withColumn("size", F.when(F.col("lo") < F.col("hi"), F.col("size")).otherwise(1)).drop("lo", "hi")
-    out = None
-    for k in range(level, top - 1, -1):
-        inside = [f"_b{k - 1}"] if k else []
-        sums = cube if k == level else cube.groupBy("_k", *inside, f"_b{k}").agg(F.sum("size").alias("size"), *[F.sum(x).alias(x) for x in _sums])
-        before = W.partitionBy("_k", *inside).orderBy(f"_b{k}").rowsBetween(W.unboundedPreceding, -1)
-        cum = sums.select("_k", *inside, f"_b{k}", "size", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(x) for x in _sums])
-        if out is None:
-            out = cum
-        else:
-            above = cum.select("_k", f"_b{k}", *[F.col(x).alias(f"_{x}") for x in _sums])
-            out = out.join(above, ["_k", f"_b{k}"]).withColumns({x: F.col(x) + F.col(f"_{x}") for x in _sums}).drop(*[f"_{x}" for x in _sums])
-    return out.select("_k", F.col(f"_b{level}").alias("_b"), "size", *_sums)
-
-
-def history(rows: DataFrame, key: Column, name: str, first: int = HOUR, most: int = MOST) -> DataFrame:
+    above = [_period(level - 1).alias("_a")] if level else []
+    cells = lines.groupBy("_k", *above, _period(level).alias("_b"), "fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("lines"), F.min("t").alias("lo"), F.max("t").alias("hi"))
+    order = W.partitionBy("_k", *["_a"] * bool(level)).orderBy("_b")
+    here = order.rangeBetween(0, 0)
+    n, s = _before(order)
+    return cells.select("_k", "_b", F.col("fold").alias("_f"), n.alias("_n"), s.alias("_s"), F.sum("lines").over(here).alias("size"), (F.min("lo").over(here) == F.max("hi").over(here)).alias("flat"))
+
+
+def history(rows: DataFrame, key: Column, name: str, most: int = MOST) -> DataFrame:
     """Rows (t in microseconds, fold, n lines, s of them returned, …) with <name>_n and <name>_s: lines and returned ones of other folds with the same key and an earlier t.
 
-    Rows are all different and their columns of simple types; keys are not null. `first`: the level that is joined first, MINUTE for keys
-    with many lines in an hour; closed hours are summed up all the same. The result is a written table.
+    Keys are not null. The result is a written table. A moment with any number of lines needs no order inside it, so it is joined only.
     """
     n_, s_ = f"{name}_n", f"{name}_s"
-    kept = rows.columns
-    live = rows.withColumns({"_k": key, "_t": F.col("t"), "_fold": F.col("fold"), n_: F.lit(0).cast("long"), s_: F.lit(0).cast("long")})
-    parts = []
+    live, parts = rows.withColumns({"_k": key, n_: F.lit(0).cast("long"), s_: F.lit(0).cast("long")}), []
     with Tables() as tables:
-        for level in range(first, len(LEVELS)):
-            cum = materialize(closed(live, level, 0 if level == first else level))
-            other = lambda x: reduce(lambda a, b: a + b, [F.col(f"{x}{f}") for f in range(FOLDS)]) - F.get(F.array(*[F.col(f"{x}{f}") for f in range(FOLDS)]), F.col("_fold"))
-            at = live.withColumn("_b", _period(level)).withColumnsRenamed({"n": "_n", "s": "_s"}).join(cum, ["_k", "_b"])
-            at = at.withColumns({n_: F.col(n_) + other("n"), s_: F.col(s_) + other("s")}).drop(*_sums).withColumnsRenamed({"_n": "n", "_s": "s"})
-            last = level == len(LEVELS) - 1
-            light = at if last else at.filter(F.col("size") <= most)
-            if not last:
-                cells = light.filter("size > 1").groupBy("_k", "_b", F.col("_fold").alias("_f"), F.col("_t").alias("_u")).agg(F.sum("n").alias("_n"), F.sum("s").alias("_s"))
-                earlier = light.join(cells, (light["_k"] == cells["_k"]) & (light["_b"] == cells["_b"]) & (F.col("_u") < F.col("_t")) & (F.col("_f") != F.col("_fold")), "left").drop(cells["_k"], cells["_b"])
-                same = [c for c in light.columns if c not in ("size",)]
-                summed = earlier.groupBy(*same).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_n"), F.coalesce(F.sum("_s"), F.lit(0)).alias("_s"))
-                light = summed.withColumns({n_: F.col(n_) + F.col("_n"), s_: F.col(s_) + F.col("_s")})
-            parts.append(light.select(*kept, n_, s_))
-            if last or cum.filter(F.col("size") > most).isEmpty():
+        for level in range(len(LEVELS)):
+            closed = materialize(cube(live, level))
+            at = live.withColumn("_b", _period(level))
+
+            def joined(periods: DataFrame, at: DataFrame = at) -> DataFrame:
+                p = periods.select(F.col("_k").alias("_pk"), F.col("_b").alias("_pb"), "_f", "_n", "_s")
+                # by key and period alone, so that what follows finds a period's lines together
+                out = at.join(p, (F.col("_k") == F.col("_pk")) & (F.col("_b") == F.col("_pb")) & (F.col("_f") - F.col("fold") == 0))
+                return out.withColumns({n_: F.col(n_) + F.col("_n"), s_: F.col(s_) + F.col("_s")}).drop("_pk", "_pb", "_f", "_n", "_s")
+
+            parts.append(joined(closed.filter("flat")).select(*rows.columns, n_, s_))
+            n, s = _before(W.partitionBy("_k", "_b").orderBy("t"))
+            parts.append(joined(closed.filter(~F.col("flat") & (F.col("size") <= most))).withColumns({n_: F.col(n_) + n, s_: F.col(s_) + s}).select(*rows.columns, n_, s_))
+            dense = closed.filter(~F.col("flat") & (F.col("size") > most))
+            if dense.isEmpty():  # at the last level every period is one moment
                 break
-            live = materialize(at.filter(F.col("size") > most).drop("_b", "size"))
+            live = materialize(joined(dense).drop("_b"))
         return tables.keep(materialize(reduce(DataFrame.unionByName, parts)))
 
 
@@ -124,8 +113,8 @@ def encode(sale_lines: DataFrame, sales: DataFrame, items: DataFrame, vendors: D
         own = sale_lines.groupBy("sale_id").agg(F.count("*").alias("n"), F.sum(returned).alias("s"))
         whole = at.join(own, "sale_id").withColumns({"n": F.col("n") * F.col("told"), "s": F.col("s") * F.col("told")})
         whole = materialize(whole.join(label(clients, "client_id", "segment", "segment"), "client_id", "left").withColumn("segment", _known(F.col("segment"))))
-        whole = history(whole, F.lit(0), "all", MINUTE).withColumn("base", rate(F.col("all_n"), F.col("all_s"), F.lit(BASE))).drop("all_n", "all_s")
-        whole = history(whole, F.col("segment"), "segment", MINUTE).withColumn("segment_rate", rate(F.col("segment_n"), F.col("segment_s"), F.col("base"))).drop("segment", "segment_n", "segment_s")
+        whole = history(whole, F.lit(0), "all").withColumn("base", rate(F.col("all_n"), F.col("all_s"), F.lit(BASE))).drop("all_n", "all_s")
+        whole = history(whole, F.col("segment"), "segment").withColumn("segment_rate", rate(F.col("segment_n"), F.col("segment_s"), F.col("base"))).drop("segment", "segment_n", "segment_s")
         whole = history(whole, F.col("client_id"), "client")
         told = whole.select("sale_id", "client_id", "t", "fold", "told", "base", "client_n", rate(F.col("client_n"), F.col("client_s"), F.col("segment_rate")).alias("client_rate"))
 
@@ -133,9 +122,9 @@ def encode(sale_lines: DataFrame, sales: DataFrame, items: DataFrame, vendors: D
         rows = lines.groupBy("sale_id", "item_id", "vendor_id", "client_id", "t", "fold", "base", "client_n", "client_rate").agg(F.sum("told").alias("n"), F.sum(F.col("r") * F.col("told")).alias("s"))
         rows = rows.join(label(items, "item_id", "kind", "kind"), "item_id", "left").withColumn("kind", _known(F.col("kind")))
         rows = materialize(rows.join(label(vendors, "vendor_id", "nation_id", "nation"), "vendor_id", "left").withColumn("nation", _known(F.col("nation"))))
-        rows = history(rows, F.col("kind"), "kind", MINUTE).withColumn("kind_rate", rate(F.col("kind_n"), F.col("kind_s"), F.col("base"))).drop("kind", "kind_n", "kind_s")
+        rows = history(rows, F.col("kind"), "kind").withColumn("kind_rate", rate(F.col("kind_n"), F.col("kind_s"), F.col("base"))).drop("kind", "kind_n", "kind_s")
         rows = history(rows, F.col("item_id"), "item").withColumn("item_rate", rate(F.col("item_n"), F.col("item_s"), F.col("kind_rate"))).drop("item_s", "kind_rate")
-        rows = history(rows, F.col("nation"), "nation", MINUTE).withColumn("nation_rate", rate(F.col("nation_n"), F.col("nation_s"), F.col("base"))).drop("nation", "nation_n", "nation_s", "base")
+        rows = history(rows, F.col("nation"), "nation").withColumn("nation_rate", rate(F.col("nation_n"), F.col("nation_s"), F.col("base"))).drop("nation", "nation_n", "nation_s", "base")
         rows = tables.keep(history(rows, _known(F.col("vendor_id")), "vendor"))
     rows = rows.withColumn("vendor_rate", rate(F.col("vendor_n"), F.col("vendor_s"), F.col("nation_rate")))
     return rows.select("sale_id", "item_id", "vendor_id", F.col("n").alias("n_lines"), F.col("s").alias("n_returned"), "item_n", "item_rate", "vendor_n", "vendor_rate", "client_n", "client_rate")
