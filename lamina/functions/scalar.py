@@ -46,6 +46,11 @@ def normalize_id(c: Column) -> Column:
     return F.when(extract(c, p, 2).isNotNull(), F.concat_ws("-", F.upper(extract(c, p, 1)), extract(c, p, 2), F.lower(extract(c, p, 3))))
 
 
+def bare_id(c: Column) -> Column:
+    """An identifier in small letters without separators; nothing for null."""
+    return F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"[\s\-_]+", ""))
+
+
 def sanitize(c: Column) -> Column:
     """A text as a file name: other than letters, digits, _ and - become one _, none at the ends."""
     return F.regexp_replace(F.regexp_replace(c, r"[^\p{L}\p{N}_\-]+", "_"), r"^_+|_+$|(_)_+", "$1")

@@ -8,7 +8,18 @@ from pyspark.sql import functions as F
 from lamina.functions.scalar import clean
 
 
-def distribution(df: DataFrame, value: Column, name: str) -> DataFrame:
+def distribution(df: DataFrame, value: Column, name: str, order: str | None = None) -> DataFrame:
+    """(name, n). order: `count` (greatest first), `value` (numbers ascending, then texts, what is unknown among them), or none."""
+    out = _distribution(df, value, name)
+    if order == "count":
+        return out.orderBy(F.desc("n"), name)
+    if order == "value":
+        number = F.col(name).try_cast("int")
+        return out.orderBy(number.isNull(), number, name)
+    return out
+
+
+def _distribution(df: DataFrame, value: Column, name: str) -> DataFrame:
     return df.groupBy(F.coalesce(clean(value.cast("string")), F.lit("Unknown")).alias(name)).agg(F.count("*").alias("n"))
 
 

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.functions.patterns import relative
-from lamina.functions.scalar import base_name, file_type, parent, segments
+from lamina.functions.scalar import SUFFIXES, base_name, file_type, parent, segments
 from lamina.operators.match import unique_names
-from lamina.sources.snapshots import recover, swap, written
+from lamina.sources.snapshots import Store, recover, swap, written
 
+#: File names of pictures, as a glob.
+SUFFIX_GLOB = "*.{" + ",".join(x for s in SUFFIXES["image"] for x in (s, s.upper())) + "}"
 _text = lambda *names: [T.StructField(n, T.StringType()) for n in names]
 #: Columns of the registries.
 ANNOTATIONS = T.StructType(_text("uuid", "specimen_id", "original_path", "current_path", "macroclass_label", "class_label", "genera_label", "campaign_year", "fuente", "comentarios", "created_at"))
@@ -106,3 +108,14 @@ def copy_plan(staged: DataFrame, kept: DataFrame, overwrite: bool = False) -> Da
     named = names.select("key.rel", "key.digest", F.concat(F.when(F.col("folder") == "", "").otherwise(F.concat("folder", F.lit("/"))), F.col("unique_name")).alias("new_rel"))
     o, n = out.alias("o"), named.alias("n")
     return o.join(n, (F.col("o.rel") == F.col("n.rel")) & F.col("o.digest").eqNullSafe(F.col("n.digest")) & (F.col("o.action") == "rename"), "left").select("o.*", "n.new_rel")
+
+
+def pictures(rows: DataFrame) -> DataFrame:
+    """Files that are pictures by their suffix, in the order of their paths whatever the case."""
+    return rows.filter(F.col("type") == "image").orderBy(F.lower("path"), "path")
+
+
+def registry_folder(spark: SparkSession, output: str) -> str | None:
+    """Where a collection keeps its registries: `registries`, else `registros`; null without either."""
+    store = Store(spark, output)
+    return next((store.join(n) for n in ("registries", "registros") if store.exists(n)), None)

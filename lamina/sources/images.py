@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.functions.patterns import exif_time
+from lamina.functions.scalar import clean
 
 #: Side of the picture that is transformed, side of the block of low frequencies.
 SIDE, LOW = 32, 8
@@ -39,9 +43,10 @@ def phash(grey: np.ndarray) -> str:
     return np.packbits(block.reshape(-1) > np.median(block)).tobytes().hex()
 
 
-def image_hashes(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, width, height, phash) of all images that can be decoded; null where one cannot."""
-    rows = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(folder).select("image.*")
+def image_hashes(spark: SparkSession, folder: str, names: str | None = None) -> DataFrame:
+    """(path, width, height, phash) of all images that can be decoded; null where one cannot. names: a glob; other files are not opened."""
+    source = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True)
+    rows = (source.option("pathGlobFilter", names) if names else source).load(folder).select("image.*")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,7 +64,7 @@ def image_hashes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def exif(content: bytes) -> dict[str, str]:
-    """Text tags of a JPEG or TIFF file; empty where there are none or the file is damaged."""
+    """Text tags of a JPEG or TIFF file, those of `TAGS` by name, others by number; empty where there are none or the file is damaged."""
     try:
         if content[:2] == b"\xff\xd8":
             at = 2
@@ -86,9 +91,9 @@ def _directory(tiff: bytes) -> dict[str, str]:
             tag, kind, count, value = struct.unpack_from(order + "HHII", tiff, at + 2 + 12 * k)
             if tag == 0x8769:  # where the directory of the picture's own tags is
                 todo.append(value)
-            elif tag in TAGS and kind == 2:
+            elif kind == 2:
                 where = value if count > 4 else at + 10 + 12 * k
-                out[TAGS[tag]] = tiff[where : where + count].split(b"\0")[0].decode().strip()
+                out[TAGS.get(tag, f"{tag:04x}")] = tiff[where : where + count].split(b"\0")[0].decode(errors="replace").strip()
     return out
 
 
@@ -112,3 +117,62 @@ def fill_years(files: DataFrame, metadata: DataFrame) -> DataFrame:
     year = metadata.select("path", F.col("year").alias("_exif"))
     out = files.join(year, "path", "left").withColumn("year_conflict", F.coalesce(F.col("campaign_year") != F.col("_exif"), F.lit(False)))
     return out.withColumn("campaign_year", F.coalesce("campaign_year", "_exif")).drop("_exif")
+
+
+_YEAR = re.compile(r"\b(?:19|20)\d{2}\b")
+
+
+def year_of(tags: dict[str, str]) -> int | None:
+    """The first year in the time taken or modified, else in any text tag."""
+    first = [tags[t] for t in ("taken", "modified") if t in tags]
+    for text in [*first, *tags.values()]:
+        if m := _YEAR.search(text):
+            return int(m.group(0))
+    return None
+
+
+def _content(path: str) -> bytes | None:
+    """The bytes of a file, of any store; nothing if it is not there."""
+    fs, at = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path.removeprefix("file:"))
+    try:
+        with fs.open_input_stream(at) as f:
+            head = f.read(1 << 18)
+            # a JPEG file has its tags in front, a TIFF file anywhere
+            return head if head[:2] == b"\xff\xd8" else head + f.read()
+    except (FileNotFoundError, OSError):
+        return None
+
+
+def first_years(rows: DataFrame, key: str, paths: str) -> DataFrame:
+    """(key, year, used, opened): the EXIF year of the first of a row's paths ('; '-joined) that tells one, that path, and how many files were opened.
+
+    Files are opened one after another until one tells a year, so a row whose first file does opens no other. Paths that are not there, files
+    without tags and damaged ones are passed over. Without any: null.
+    """
+    whole = rows.select(F.col(key).alias("k"), F.filter(F.transform(F.split(F.coalesce(paths, F.lit("")), ";"), lambda p: clean(p)), lambda p: p.isNotNull()).alias("paths"))
+
+    def one(candidates: list[str]) -> tuple[int | None, str | None, int]:
+        opened = 0
+        for p in candidates:
+            content = _content(p)
+            opened += content is not None
+            if content is not None and (year := year_of(exif(content))) is not None:
+                return year, p, opened
+        return None, None, opened
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [one(p) for p in batch.column("paths").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array([g[0] for g in got], pa.int32()), pa.array([g[1] for g in got], pa.string()), pa.array([g[2] for g in got], pa.int32())], names=["k", "year", "used", "opened"])
+
+    return whole.mapInArrow(run, f"k {whole.schema['k'].dataType.simpleString()}, year int, used string, opened int").withColumnRenamed("k", key)
+
+
+def year_lines(rows: DataFrame, key: str, **paths: str) -> DataFrame:
+    """(key, line): a line for each path of each side, with its EXIF year; sides and their columns of paths in the order given."""
+    order = {side: n for n, side in enumerate(paths)}
+    cells = [rows.select(F.col(key), F.lit(side).alias("side"), F.lit(n).alias("n"), F.posexplode(F.split(F.coalesce(paths[side], F.lit("")), ";")).alias("at", "p")) for side, n in order.items()]
+    every = reduce(DataFrame.unionByName, cells).withColumn("p", clean(F.col("p"))).filter("p IS NOT NULL")
+    years = first_years(every.select("p").distinct(), "p", "p").select("p", "year")
+    named = F.format_string("[%-8s] %s  →  %s", "side", F.regexp_extract("p", r"([^/\\\\]*)$", 1), F.coalesce(F.col("year").cast("string"), F.lit("(no EXIF / not found)")))
+    return every.join(years, "p").select(key, "n", "at", named.alias("line")).orderBy(key, "n", "at").select(key, "line")
