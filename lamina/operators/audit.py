@@ -96,13 +96,19 @@ def integrity_report(main: DataFrame, hashes: DataFrame, duplicates: DataFrame,
 
 
 def preservation_report(sources: dict[str, DataFrame], merged: DataFrame, duplicates: DataFrame, key: str) -> DataFrame:
-    """(part, n): rows of each source, their distinct keys, merged keys, missing and new ones, and those missing that are duplicates."""
+    """(part, n): rows of each source, their distinct keys, merged keys, missing and new ones, and those missing that are duplicates.
+
+    equal_totals: 1 if as many keys were merged as there were; preserved: 1 if all that are missing are duplicates; else 0.
+    """
     distinct = reduce(DataFrame.union, [df.select(key) for df in sources.values()]).distinct()
     lost = distinct.join(merged, key, "left_anti")
     parts = {f"source_{k}": df for k, df in sources.items()} | {
         "distinct": distinct, "merged": merged.select(key).distinct(), "missing": lost, "new": merged.select(key).distinct().join(distinct, key, "left_anti"), "justified": lost.join(duplicates, key, "left_semi"),
     }
-    return reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("n")).select(F.lit(p).alias("part"), "n") for p, df in parts.items()])
+    counts = reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("n")).select(F.lit(p).alias("part"), "n") for p, df in parts.items()])
+    of = lambda p: F.coalesce(F.max(F.when(F.col("part") == p, F.col("n"))), F.lit(0))
+    verdicts = counts.agg((of("distinct") == of("merged")).cast("long").alias("equal_totals"), (of("missing") == of("justified")).cast("long").alias("preserved"))
+    return counts.unionByName(verdicts.select(F.explode(F.array(*[F.struct(F.lit(v).alias("part"), F.col(v).alias("n")) for v in ("equal_totals", "preserved")])).alias("r")).select("r.*"))
 
 
 def scan_summary(files: DataFrame, size: str, file_type: str, digest: str) -> DataFrame:

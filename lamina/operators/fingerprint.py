@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from hashlib import md5
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lamina.functions.scalar import bits_to_hex, hamming
+from lamina.sources.snapshots import written
 
 
 def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -58,25 +60,47 @@ def median_bits(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddin
     return row.select(key, bits_to_hex([F.when(F.get("v", F.lit(i)) > F.col("m"), 1).otherwise(0) for i in range(64)]).alias("phash"))
 
 
+#: Keys of a hash that bands make, at most; candidates for each hash that are aimed at.
+MOST_KEYS, AIM = 500, 32
+
+
+def bands_for(most: int, left: int, right: int) -> tuple[int, int]:
+    """(bands, of which a key takes) for that many distinct hashes: of most + k bands at least k are equal in hashes at most `most` bits apart.
+
+    A key of k bands has 64 * k / (most + k) bits. k is the least, from 3 for small distances, for which chance makes no more than `AIM` candidates for each hash, or the greatest that makes `MOST_KEYS` keys at most.
+    """
+    least = 3 if most <= 4 else 2 if most <= 8 else 1  # hashes of like texts are not spread evenly
+    best = least
+    for k in range(least, 64 - most + 1):
+        if comb(most + k, k) > MOST_KEYS:
+            break
+        best = k
+        if left * right * comb(most + k, k) / 2 ** (64 * k // (most + k)) <= AIM * (left + right):
+            break
+    return most + best, best
+
+
 def near_hashes(left: DataFrame, right: DataFrame, most: int, phash: str, itself: bool = False) -> DataFrame:
     """Pairs (ha, hb, dist) of distinct hashes with 0 < dist <= most.
 
-    Digits are cut into bands. Of most + k bands at least k are equal, so each
-    combination of k bands is a key of about 64 * k / (most + k) bits, which
-    few hashes share by chance.
+    The 64 bits are cut into bands, of which two near hashes have some in common: each combination of bands is a key that few hashes share by chance.
+    How many bands a key takes follows from the numbers of hashes, counted once.
     """
-    k = 3 if most <= 4 else 2 if most <= 8 else 1
-    n = most + k
-    if n > 16:
-        raise ValueError("hashes of 16 digits have bands for a distance of 15 at most")
-    edge = [16 * i // n for i in range(n + 1)]
-    band = lambda c, i: F.substring(c, edge[i] + 1, edge[i + 1] - edge[i])
+    if not 0 < most < 64:
+        raise ValueError("hashes have 64 bits: a distance from 1 to 63 is asked for")
+    sides = [written(df.select(F.col(phash).alias("h")).filter(F.col(phash).isNotNull()).distinct()) for df in ([left] if itself else [left, right])]
+    sizes = [df.count() for df in sides]
+    n, k = bands_for(most, sizes[0], sizes[-1])
+    edge = [64 * i // n for i in range(n + 1)]
+    half = lambda at: F.lpad(F.conv(F.substring("h", at, 8), 16, 2), 32, "0")
 
     def banded(df: DataFrame, as_: str) -> DataFrame:
-        h = df.select(F.col(phash).alias(as_)).filter(F.col(as_).isNotNull()).distinct()
-        return h.select(as_, F.posexplode(F.array(*[F.concat(*[band(F.col(as_), i) for i in c]) for c in combinations(range(n), k)])).alias("band", "part"))
+        rows = df.filter(F.col("h").rlike("^[0-9a-fA-F]{16}$")).select("h", F.concat(half(1), half(9)).alias("bits"))
+        part = lambda i: F.substring("bits", edge[i] + 1, edge[i + 1] - edge[i])
+        keys = F.array(*[F.xxhash64(F.lit(j), *[part(i) for i in c]) for j, c in enumerate(combinations(range(n), k))])
+        return rows.select(F.col("h").alias(as_), F.explode(keys).alias("key"))
 
-    pairs = banded(left, "ha").join(banded(right, "hb"), ["band", "part"]).filter(F.col("ha") < F.col("hb") if itself else F.col("ha") != F.col("hb"))
+    pairs = banded(sides[0], "ha").join(banded(sides[-1], "hb"), "key").filter(F.col("ha") < F.col("hb") if itself else F.col("ha") != F.col("hb"))
     return pairs.withColumn("dist", hamming(F.col("ha"), F.col("hb"))).filter(F.col("dist").between(1, most)).select("ha", "hb", "dist").distinct()
 
 

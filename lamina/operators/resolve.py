@@ -58,6 +58,21 @@ def decide(conflicts: DataFrame, decisions: DataFrame, default: str) -> DataFram
     return out.withColumn("outcome", F.coalesce("own", "near", F.lit(default))).withColumn("needs_review", F.col("outcome") == "defer").drop("own", "near")
 
 
+def decide_groups(rows: DataFrame, group: str, key: str, field: str, decisions: DataFrame, mode: str = "auto") -> DataFrame:
+    """(group, key, field, outcome, needs_review) of rows in groups that know several values of a field.
+
+    decisions: (group, outcome), one of each counts; without one `mode` holds: auto keeps what there is, deferred asks. The first row by key is the
+    original: `keep` leaves it as it is, another outcome than `keep`, `none` and `defer` is its new value, `none` takes its value away. `defer` changes
+    nothing and marks all rows of the group for review.
+    """
+    value = clean(F.col(field).cast("string"))
+    seen = rows.filter(F.col(group).isNotNull()).groupBy(group).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.min(key).alias("_first")).filter("_lo <> _hi").drop("_lo", "_hi")
+    told = decisions.groupBy(group).agg(F.min("outcome").alias("_told"))
+    out = rows.join(seen.join(told, group, "left"), group).withColumn("outcome", F.coalesce("_told", F.lit({"auto": "keep", "deferred": "defer"}[mode])))
+    new = F.when((F.col(key) != F.col("_first")) | F.col("outcome").isin("keep", "defer"), value).when(F.col("outcome") != "none", F.col("outcome"))
+    return out.select(group, key, new.alias(field), "outcome", (F.col("outcome") == "defer").alias("needs_review"))
+
+
 def decision_summary(decisions: DataFrame) -> DataFrame:
     return decisions.groupBy("type").agg(F.count("*").alias("n"))
 

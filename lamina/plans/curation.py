@@ -313,7 +313,7 @@ def integrity_report(documents, labels):
     return out.withColumn("first", F.array_join("first", ","))
 
 
-@query("WITH a AS (SELECT doc_id FROM documents WHERE doc_id % 3 <> 2), b AS (SELECT doc_id FROM documents WHERE doc_id % 2 = 0), s AS (SELECT doc_id FROM a UNION SELECT doc_id FROM b), m AS (SELECT DISTINCT doc_id FROM labels) SELECT 'source_a' AS part, (SELECT count(*) FROM a) AS n UNION ALL SELECT 'source_b', (SELECT count(*) FROM b) UNION ALL SELECT 'distinct', (SELECT count(*) FROM s) UNION ALL SELECT 'merged', (SELECT count(*) FROM m) UNION ALL SELECT 'missing', (SELECT count(*) FROM s ANTI JOIN m USING (doc_id)) UNION ALL SELECT 'new', (SELECT count(*) FROM m ANTI JOIN s USING (doc_id)) UNION ALL SELECT 'justified', (SELECT count(*) FROM (SELECT * FROM s ANTI JOIN m USING (doc_id)) SEMI JOIN (SELECT doc_id FROM documents WHERE lang = 'de') USING (doc_id))")
+@query("WITH a AS (SELECT doc_id FROM documents WHERE doc_id % 3 <> 2), b AS (SELECT doc_id FROM documents WHERE doc_id % 2 = 0), s AS (SELECT doc_id FROM a UNION SELECT doc_id FROM b), m AS (SELECT DISTINCT doc_id FROM labels), o AS (SELECT 'source_a' AS part, (SELECT count(*) FROM a) AS n UNION ALL SELECT 'source_b', (SELECT count(*) FROM b) UNION ALL SELECT 'distinct', (SELECT count(*) FROM s) UNION ALL SELECT 'merged', (SELECT count(*) FROM m) UNION ALL SELECT 'missing', (SELECT count(*) FROM s ANTI JOIN m USING (doc_id)) UNION ALL SELECT 'new', (SELECT count(*) FROM m ANTI JOIN s USING (doc_id)) UNION ALL SELECT 'justified', (SELECT count(*) FROM (SELECT * FROM s ANTI JOIN m USING (doc_id)) SEMI JOIN (SELECT doc_id FROM documents WHERE lang = 'de') USING (doc_id))) SELECT * FROM o UNION ALL SELECT 'equal_totals', (max(CASE WHEN part = 'distinct' THEN n END) - max(CASE WHEN part = 'merged' THEN n END) = 0)::BIGINT FROM o UNION ALL SELECT 'preserved', (max(CASE WHEN part = 'missing' THEN n END) - max(CASE WHEN part = 'justified' THEN n END) = 0)::BIGINT FROM o")
 def preservation_report(documents, labels):
     parts = {"a": documents.filter("doc_id % 3 <> 2"), "b": documents.filter("doc_id % 2 = 0")}
     return audit.preservation_report(parts, labels.select("doc_id"), documents.filter("lang = 'de'"), "doc_id")

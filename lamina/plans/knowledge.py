@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lamina.operators import learned, provenance, review
+from lamina.operators import learned, provenance, resolve, review
 from lamina.plans.curation import PATH
 from lamina.plans.queries import query
 from lamina.sources import reports
@@ -174,3 +174,16 @@ def sampled_reviews(documents, labels):
 def tolerant_hashes(customer):
     """Columns by other names and in other cases, repeated ids."""
     return review.uuid_hashes(customer.select(F.col("c_mktsegment").alias("ID"), F.col("c_name").alias("P_Hash"), F.col("c_nationkey").alias("MD5")))
+
+
+@query(
+    """WITH d AS (SELECT doc_id, md5(coalesce(text, '')) AS digest, CASE doc_id % 3 WHEN 0 THEN source WHEN 1 THEN lang END AS label FROM documents),
+    g AS (SELECT digest, min(doc_id) AS first, CASE substr(digest, 1, 1) WHEN '0' THEN 'none' WHEN '1' THEN 'none' WHEN '2' THEN 'defer' WHEN '3' THEN 'defer' WHEN '4' THEN 'new' WHEN '5' THEN 'new' WHEN '6' THEN 'new' ELSE 'keep' END AS outcome FROM d GROUP BY digest HAVING count(DISTINCT label) > 1)
+    SELECT digest, doc_id, CASE WHEN doc_id <> first OR outcome IN ('keep', 'defer') THEN label WHEN outcome <> 'none' THEN outcome END AS label, outcome, outcome = 'defer' AS needs_review FROM d JOIN g USING (digest)"""
+)
+def group_decisions(documents):
+    """Copies with several labels, decided by the first digit of their digest; some are left to the mode."""
+    rows = documents.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("digest"), F.expr("CASE doc_id % 3 WHEN 0 THEN source WHEN 1 THEN lang END").alias("label"))
+    first = F.substring("digest", 1, 1)
+    outcome = F.when(first.isin("0", "1"), "none").when(first.isin("2", "3"), "defer").when(first.isin("4", "5", "6"), "new")
+    return resolve.decide_groups(rows, "digest", "doc_id", "label", rows.select("digest", outcome.alias("outcome")).filter("outcome IS NOT NULL").distinct())

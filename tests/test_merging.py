@@ -8,7 +8,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from lamina.operators import enrich, learned, match, merge, provenance, tree
+from lamina.operators import enrich, fingerprint, learned, match, merge, provenance, tree
 from lamina.sources import files, reports, snapshots
 from lamina.streaming import intake
 
@@ -484,3 +484,23 @@ def test_reports_are_written(spark, tmp_path):
     open_ = reports.deferred(spark.createDataFrame([("a", "defer", "/x"), ("b", "keep", "/y")], "type string, outcome string, path string")).collect()
     assert [(r.type, json.loads(r.request)) for r in open_] == [("a", {"outcome": "defer", "path": "/x"})]
     assert reports.staging_folder("/out/", "run").startswith("/out_staging_run_2")
+
+
+@pytest.mark.parametrize("most, itself", [(1, True), (3, False), (8, True), (8, False), (20, True)])
+def test_near_hashes_equal_brute_force(spark, most, itself):
+    rng = random.Random(most)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    make = lambda: [f"{b ^ sum(1 << i for i in rng.sample(range(64), rng.randint(0, most + 2))):016x}" for b in base for _ in range(8)]
+    left, right = make(), make()
+    df = lambda hs: spark.createDataFrame([(h,) for h in [*hs, None, "short"]], "h string")
+    got = {(r.ha, r.hb): r.dist for r in fingerprint.near_hashes(df(left), df(left if itself else right), most, "h", itself).collect()}
+    far = lambda a, b: (int(a, 16) ^ int(b, 16)).bit_count()
+    want = {(a, b): far(a, b) for a in left for b in (left if itself else right) if 0 < far(a, b) <= most and (a < b or not itself)}
+    assert got == want and want
+
+
+def test_bands_leave_few_candidates_by_chance():
+    for most, n in ((3, 10**6), (8, 200_000)):
+        bands, k = fingerprint.bands_for(most, n, n)
+        assert bands - k == most and n * n / 2 * fingerprint.comb(bands, k) / 2 ** (64 * k / bands) <= fingerprint.AIM * 2 * n
+    assert 200_000**2 / 2 * fingerprint.comb(*fingerprint.bands_for(8, 200_000, 200_000)) / 2 ** (64 * fingerprint.bands_for(8, 200_000, 200_000)[1] / fingerprint.bands_for(8, 200_000, 200_000)[0]) < 10**7
