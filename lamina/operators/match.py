@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -33,14 +34,21 @@ def merge_field(existing: Column, staged: Column, longer: bool = False) -> Colum
     return F.struct(value.alias("value"), (differ & F.lit(not longer)).alias("conflict"))
 
 
-def merge_registries(existing: DataFrame, staged: DataFrame, key: str, fields: dict[str, bool]) -> DataFrame:
-    """Full outer merge by key; fields: name to whether it is a comment. Rows carry where they come from and their conflicts."""
+def merge_registries(existing: DataFrame, staged: DataFrame, key: str, fields: dict[str, bool], same: Callable[[Column], Column] | None = None, others: bool = False, skip: tuple[str, ...] = ()) -> DataFrame:
+    """Full outer merge by key; fields: name to whether it is a comment. Rows carry where they come from and their conflicts.
+
+    same: what is made of keys before they are compared (the existing one is kept as it is). others: further columns of either side stay, the existing
+    value first, a side that lacks one filling nothing in, but for those in `skip`. Null keys match nothing. Keys are expected once on each side.
+    """
     e, s = existing.alias("e"), staged.alias("s")
-    both = e.join(s, F.col(f"e.{key}") == F.col(f"s.{key}"), "full_outer")
+    norm = same or (lambda c: c)
+    both = e.join(s, norm(F.col(f"e.{key}")) == norm(F.col(f"s.{key}")), "full_outer")
     merged = {f: merge_field(F.col(f"e.{f}").cast("string"), F.col(f"s.{f}").cast("string"), c) for f, c in fields.items()}
     origin = F.when(F.col(f"s.{key}").isNull(), "existing").when(F.col(f"e.{key}").isNull(), "new").otherwise("both")
     n = sum((F.coalesce(m["conflict"].cast("int"), F.lit(0)) for m in merged.values()), F.lit(0))
-    return both.select(F.coalesce(f"e.{key}", f"s.{key}").alias(key), origin.alias("origin"), *[m["value"].alias(f) for f, m in merged.items()], n.alias("n_conflicts"))
+    more = [c for c in dict.fromkeys([*existing.columns, *staged.columns]) if c != key and c not in fields and c not in skip] if others else []
+    of = lambda c: F.coalesce(*[F.col(f"{t}.{c}") for t, df in (("e", existing), ("s", staged)) if c in df.columns])
+    return both.select(F.coalesce(f"e.{key}", f"s.{key}").alias(key), origin.alias("origin"), *[m["value"].alias(f) for f, m in merged.items()], n.alias("n_conflicts"), *[of(c).alias(c) for c in more])
 
 
 def integrity(main: DataFrame, hashes: DataFrame, key: str) -> DataFrame:

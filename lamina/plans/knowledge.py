@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lamina.operators import learned, provenance, resolve, review
+from lamina.functions.scalar import bare_id
+from lamina.operators import learned, match, provenance, resolve, review
 from lamina.plans.curation import PATH
 from lamina.plans.queries import query
 from lamina.sources import reports
@@ -187,3 +188,16 @@ def group_decisions(documents):
     first = F.substring("digest", 1, 1)
     outcome = F.when(first.isin("0", "1"), "none").when(first.isin("2", "3"), "defer").when(first.isin("4", "5", "6"), "new")
     return resolve.decide_groups(rows, "digest", "doc_id", "label", rows.select("digest", outcome.alias("outcome")).filter("outcome IS NOT NULL").distinct())
+
+
+@query(
+    """WITH e AS (SELECT 'LH-' || p_partkey::VARCHAR || ' A' AS id, p_brand AS brand, CASE WHEN p_partkey % 4 <> 0 THEN p_type END AS kind, p_size AS size FROM part WHERE p_partkey % 3 <> 0),
+    s AS (SELECT 'lh_' || p_partkey::VARCHAR || 'a' AS id, CASE WHEN p_partkey % 5 = 0 THEN 'other' ELSE p_brand END AS brand, p_type AS kind, p_retailprice AS price FROM part WHERE p_partkey % 3 <> 1)
+    SELECT coalesce(e.id, s.id) AS id, CASE WHEN s.id IS NULL THEN 'existing' WHEN e.id IS NULL THEN 'new' ELSE 'both' END AS origin, coalesce(e.brand, s.brand) AS brand, coalesce(e.kind, s.kind) AS kind, coalesce(e.brand <> s.brand, false)::INT AS n_conflicts, size, price
+    FROM e FULL JOIN s ON lower(regexp_replace(e.id, '[ _-]', '', 'g')) = lower(regexp_replace(s.id, '[ _-]', '', 'g'))"""
+)
+def registry_merge_ids(part):
+    """Identifiers that are written in two ways; columns that one side has alone stay."""
+    e = part.filter("p_partkey % 3 <> 0").selectExpr("'LH-' || CAST(p_partkey AS STRING) || ' A' AS id", "p_brand AS brand", "CASE WHEN p_partkey % 4 <> 0 THEN p_type END AS kind", "p_size AS size", "1 AS created_at")
+    s = part.filter("p_partkey % 3 <> 1").selectExpr("'lh_' || CAST(p_partkey AS STRING) || 'a' AS id", "CASE WHEN p_partkey % 5 = 0 THEN 'other' ELSE p_brand END AS brand", "p_type AS kind", "p_retailprice AS price")
+    return match.merge_registries(e, s, "id", {"brand": False, "kind": False}, same=bare_id, others=True, skip=("created_at",))
