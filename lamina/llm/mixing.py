@@ -197,10 +197,16 @@ def mix(docs: DataFrame, sources: Column, key: str = "doc_id", text: str = "text
     # all sources get an s in front, and marks of their own doubled; "~" stands for the null source and comes last
     marked = lambda x: F.concat(F.lit("s"), F.replace(F.replace(x, F.lit("\x02"), F.lit("\x02\x02")), F.lit("\x01"), F.lit("\x02-")))
     pattern = F.array_join(F.array_sort(F.array_distinct(F.transform(sources, lambda x: F.coalesce(marked(x), F.lit("~"))))), "\x01")
-    hashed = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(f"`{key}`")), 1)
-    rows = docs.select(F.col(f"`{key}`").alias("key"), *[F.col(f"`{c}`").alias(f"_{c}") for c in keep], size.alias("size"), pattern.alias("pattern"), hashed.alias("hash"))
+    # rows without a key, or of one key, are told apart by their texts
+    hashed = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(f"`{key}`"), F.col(f"`{text}`")), 1)
+    rows = docs.select(F.col(f"`{key}`").alias("key"), *[F.col(f"`{c}`").alias(f"_{c}") for c in keep], size.alias("size"), pattern.alias("pattern"), hashed.alias("hash"), F.monotonically_increasing_id().alias("at"))
     with Tables() as tables:
-        sized = materialize(rows.select("key", "size", "pattern", "hash"))
+        sized = materialize(rows.select("key", "size", "pattern", "hash", "at"))
+        again = materialize(sized.filter("size > 0").groupBy("pattern", "hash", "size").agg(F.count("*").alias("copies")).filter("copies > 1"))
+        if not again.isEmpty():  # rows of equal key and text get places of their own, by where they stand
+            tables.keep(again)
+            apart = lambda df: df.join(again, ["pattern", "hash", "size"], "left").withColumn("hash", F.when(F.col("copies").isNull(), F.col("hash")).otherwise(F.shiftrightunsigned(F.xxhash64("hash", "at"), 1))).drop("copies")
+            rows, sized = apart(rows), materialize(apart(sized))
         if not keep:  # rows with other columns are read again: they may hold the whole texts
             rows = tables.keep(sized)
         totals = sized.groupBy("pattern").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
