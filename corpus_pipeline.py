@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lamina.llm import decontaminate, mixing, ngram_join, quality, tokens
 from lamina.llm.queries import TOKENIZER
 from lamina.llm.shared import Tables, arrow_rows, discard, materialize, table
+from lamina.operators.match import numbered
 
 
 #: Words of a shingle and similarity in percent from which documents are near copies here; op3's own are those of its contract.
@@ -28,26 +29,38 @@ def _whole(docs: DataFrame, *names: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality verdict rejects go."""
+    """Documents that the quality verdict rejects go; null texts have no words, so they do. Repeated rows share their fate; other columns are kept as they are."""
     return quality.score_quality(_whole(docs, "text"), keep=["_row"]).filter("kept").select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group stays, once; documents without doc_id stay."""
+    """One document of each group of near copies stays: that with the smallest doc_id, one without doc_id only if none has one.
+
+    Rows of equal doc_id, or without one, are documents of their own, and go only as near copies do: they are numbered in a written
+    table then. Texts without words, null ones among them, are near to nothing. Empty tables stay empty; other columns are kept as they are.
+    """
+    odd = docs.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL")
+    if odd.isEmpty():
+        return _without_copies(docs, docs, "doc_id").select(docs.columns)
+    with Tables() as tables:
+        order = numbered(_whole(docs, "doc_id", "text").withColumn("_h", F.xxhash64("text")), F.col("doc_id").isNull(), "doc_id", "_h")
+        rows = tables.keep(materialize(order.select("_row", "text", "rn")))
+    return _without_copies(rows, rows.select(F.col("rn").alias("doc_id"), "text"), "rn").select("_row.*")
+
+
+def _without_copies(rows: DataFrame, docs: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not that of a near copy of an earlier one."""
     with Tables() as tables:
         found = tables.keep(materialize(ngram_join.join(docs, words=WORDS, percent=PERCENT)))
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(key))
     # up to a counted number of ids they go to the texts; beyond it the join shuffles both
     if gone.count() <= MOST_SENT:
         gone = F.broadcast(gone)
-    out = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return out
-    return out.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(out.filter("doc_id IS NULL"))
+    return rows.join(gone, key, "left_anti")
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go.
+    """Contaminated documents go; repeated and null doc_ids are rows like others. Null texts have no words and stay.
 
     Rows go through Python workers whole, so few at once; that holds for jobs started here only, hence the table.
     """
@@ -57,14 +70,14 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mixture takes it, as many rows; one that it does not take goes."""
+    """Each document as often as the mixture takes it, as many rows; one that it does not take, or that has no words, goes. Null is a source too."""
     mixed = mixing.mix(_whole(docs, "doc_id", "text", "source"), F.array("source"), keep=["_row"])
     times = F.expr("CASE WHEN size > 0 THEN cast(taken div size AS int) ELSE 0 END")
     return mixed.select("_row", F.explode(F.array_repeat(F.lit(1), times))).select("_row.*")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Writes the token files and returns a row for each document read back from them."""
+    """Writes the token files and returns a row for each document read back from them; null texts are empty. Ties of doc_id are in no stated order."""
     return tokens.round_trip(docs, TOKENIZER, with_ids=False)
 
 
