@@ -53,7 +53,9 @@ def automaton(items: list[tuple]) -> ahocorasick.Automaton:
     owners: dict[bytes, set] = {}
     for item, text in items:
         for w in windows(text):
-            owners.setdefault(w, set()).add(str(item))
+            ids = owners.setdefault(w, set())
+            if item is not None:  # words of an item without an id are hit, but there is no item to name
+                ids.add(str(item))
     out = ahocorasick.Automaton()
     for w, ids in owners.items():
         out.add_word(f" {w.decode('latin-1')} ", (len(w), w.count(b" ") + 1, tuple(ids)))
@@ -98,7 +100,10 @@ FIELDS = "n_words long, hit_ranges array<struct<first:long,last:long>>, hit_span
 
 
 def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES, keep: str | None = None) -> DataFrame:
-    """Per document: key, n_words, hit_ranges (words), hit_spans (bytes of the text), items; also the column `keep`."""
+    """Per document: key, n_words, hit_ranges (words), hit_spans (bytes of the text), items; also the column `keep`.
+
+    Items without an id contaminate like others, but are not among the items found.
+    """
     spark = docs.sparkSession
     sized = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text"))
     blocks: list[list] = [[]]
@@ -146,7 +151,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     if several:
         # passes are merged by the number of the row; the first has all rows. Ranges of different passes may overlap
         for p in parts[1:]:
-            out = out.unionByName(p.filter("size(items) > 0"))
+            out = out.unionByName(p.filter("size(hit_ranges) > 0"))
         out = out.groupBy("key").agg(
             F.first("n_words").alias("n_words"),
             F.sort_array(F.array_distinct(F.flatten(F.collect_list("hit_ranges")))).alias("hit_ranges"),
