@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm.shared import put, shared_dir, store
+from lamina.llm.shared import arrow_rows, put, shared_dir, store
 
 #: Fixed by the contract: payloads below this many bytes are never revisits.
 MIN_BYTES = 100
@@ -37,6 +37,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 CHUNK = 1 << 18
 SALTS = 16
+#: Whole pages that are sent to a Python worker at once.
+PAGES = 500
 
 
 def urn(page: int | None) -> str:
@@ -182,7 +184,8 @@ def read(archives: DataFrame) -> DataFrame:
 def round_trip(pages: DataFrame, **options) -> DataFrame:
     """Writes the archives now and returns their records, read back when asked for."""
     spark: SparkSession = pages.sparkSession
-    made = write(pages, **options).collect()  # one short row for each archive
+    with arrow_rows(spark, PAGES):
+        made = write(pages, **options).collect()  # one short row for each archive
     if not made:
         return read(spark.createDataFrame([], "path string"))
     paths = spark.createDataFrame([(r["path"],) for r in made], "path string").repartition(len(made))
