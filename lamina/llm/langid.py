@@ -30,7 +30,11 @@ from lamina.llm.shared import blocks, string_bytes
 SIZE, SYMBOLS, N, MAX_LANGS = 1024, 4096, 3, 65_536
 UNKNOWN = "und"
 #: Bytes of text and n-grams looked at together; n-gram counts that a task holds before it sends them.
-BLOCK, BOUND, HELD = 1 << 18, 1 << 13, 1 << 20
+BLOCK, BOUND, HELD = 1 << 18, 1 << 12, 1 << 20
+#: Vectors that a worker keeps.
+KEPT = 1 << 14
+_known: dict[int, int] = {}
+_bound = np.empty((KEPT, SIZE), np.int8)
 _symbols: np.ndarray | None = None
 _vectors: list[np.ndarray] | None = None
 
@@ -50,14 +54,24 @@ def symbols() -> np.ndarray:
 
 
 def vectors(ids: np.ndarray) -> np.ndarray:
-    """The bound vectors of n-grams: the product of their letters' vectors, each rotated by its place."""
+    """The bound vectors of n-grams: the product of their letters' vectors, each rotated by its place. The first `KEPT` that a worker meets are bound once."""
     global _vectors
     if _vectors is None:
         letters = np.random.default_rng(5).integers(0, 2, (SYMBOLS, SIZE), dtype=np.int8) * 2 - 1
         _vectors = [np.roll(letters, k, axis=1) for k in range(N)]
-    out = _vectors[0][ids % SYMBOLS]
-    for k in range(1, N):
-        out *= _vectors[k][ids // SYMBOLS**k % SYMBOLS]
+    place = np.fromiter((_known.get(i, -1) for i in ids.tolist()), np.int64, len(ids))
+    new = np.flatnonzero(place < 0)
+    out = np.empty((len(ids), SIZE), np.int8)
+    old = np.flatnonzero(place >= 0)
+    out[old] = _bound[place[old]]
+    if len(new):
+        bound = _vectors[0][ids[new] % SYMBOLS]
+        for k in range(1, N):
+            bound *= _vectors[k][ids[new] // SYMBOLS**k % SYMBOLS]
+        out[new] = bound
+        for i, v in zip(ids[new][: max(0, KEPT - len(_known))].tolist(), bound, strict=False):
+            _bound[len(_known)] = v
+            _known[i] = len(_known)
     return out
 
 
@@ -155,12 +169,20 @@ def prototypes(counts: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def profiles(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bundled vector of each row, and its letters."""
+    """Bundled vector of each row, and its letters. Vectors are bound for some n-grams at a time, so a long text with many of them takes no more memory than its letters."""
     n = len(at) - 1
     ids, row, letters = ngrams(data, at)
     seen, which = np.unique(ids, return_inverse=True)
-    counts = np.bincount(row * len(seen) + which, minlength=n * len(seen)).reshape(n, len(seen)).astype(np.float32)
-    return counts @ vectors(seen).astype(np.float32), letters
+    order = np.argsort(which, kind="stable")
+    which, row = which[order], row[order]
+    out = np.zeros((n, SIZE), np.float32)
+    step = max(64, min(BOUND, (1 << 22) // max(n, 1)))
+    for a in range(0, len(seen), step):
+        part = seen[a : a + step]
+        i, j = np.searchsorted(which, (a, a + len(part)))
+        counts = np.bincount(row[i:j] * len(part) + which[i:j] - a, minlength=n * len(part)).reshape(n, len(part)).astype(np.float32)
+        out += counts @ vectors(part).astype(np.float32)
+    return out, letters
 
 
 def predict(docs: DataFrame, names: list[str], proto: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
