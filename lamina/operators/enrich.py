@@ -13,11 +13,14 @@ from hashlib import sha256
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
+from lamina.sources.files import registry, save_registry
+from lamina.sources.snapshots import written
+
 
 def rule_based(df: DataFrame, text: str, name: str, rules: list[tuple[str, str]], default: str | None = None) -> DataFrame:
     """The label of the first rule whose pattern is found, else the default."""
@@ -34,6 +37,35 @@ def with_cache(wanted: DataFrame, cache: DataFrame, key: str, ask: Callable[[Dat
     return cache.join(keys, key, "left_semi").unionByName(ask(keys.join(cache, key, "left_anti")))
 
 
+class Cache:
+    """A table of answers that is kept: each key is asked for once, over all runs.
+
+    counts: keys that were wanted, that the table had, that were asked for, and whose answer has an error and is not kept.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, key: str) -> None:
+        self.spark, self.path, self.key, self.counts = spark, path, key, {}
+        self.schema = StructType.fromDDL(schema)
+
+    def rows(self) -> DataFrame:
+        return registry(self.spark, self.path, self.schema)
+
+    def answers(self, wanted: DataFrame, ask: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Kept and new answers for the keys of `wanted`; `ask` answers in the columns of the cache, and may add `error`."""
+        known = self.rows()
+        keys = written(wanted.select(self.key).filter(F.col(self.key).isNotNull()).distinct())
+        new = ask(keys.join(known, self.key, "left_anti"))
+        new = written(new if "error" in new.columns else new.withColumn("error", F.lit(None).cast("string")))
+        names = self.schema.names
+        good = new.filter("error IS NULL").select(*names)
+        n = new.agg(F.count("*").alias("asked"), F.count("error").alias("failed")).first()
+        n_wanted = keys.count()
+        self.counts = {"wanted": n_wanted, "known": n_wanted - n["asked"], "asked": n["asked"], "failed": n["failed"]}
+        if n["asked"] > n["failed"]:
+            save_registry(known.unionByName(good), self.path)
+        return self.rows().join(keys, self.key, "left_semi")
+
+
 @dataclass(frozen=True)
 class Limits:
     """What a remote service bears: calls a minute of all tasks together, calls of one task at once, tries of a call, seconds before the second try."""

@@ -15,9 +15,17 @@ from pyspark.sql import functions as F
 from lamina.functions import patterns
 from lamina.operators import dedup, review, routing
 from lamina.sources import files, images
+from lamina.sources.reports import Log
 from lamina.sources.snapshots import Run, Snapshots, Stage, Store
 
 INFO = "staging_info.json"
+#: What is counted of each stage.
+FOUND = {
+    "hashed": lambda: {"pictures": F.col("phash").isNotNull(), "unread": F.col("digest").isNull()},
+    "extracted": lambda: {"specimens": F.col("specimen_id").isNotNull(), "to_review": F.col("needs_review")},
+    "marked": lambda: {"exact": F.col("duplicate_type") == "exact", "perceptual": F.col("duplicate_type") == "perceptual"},
+    "routed": lambda: {"duplicates": F.col("folder") == "Duplicados", "lost": F.col("folder") == "Casos_Perdidos_Generales"},
+}
 
 
 def hashed(spark: SparkSession, folders: Sequence[str], listing: DataFrame) -> DataFrame:
@@ -54,10 +62,11 @@ def routed(rows: DataFrame, review_unknown: bool) -> DataFrame:
     return out.withColumn("target", F.concat_ws("/", F.nullif(F.col("folder"), F.lit("")), "new_name"))
 
 
-def organize(spark: SparkSession, folders: Sequence[str], state: str, review_unknown: bool = False) -> Run:
+def organize(spark: SparkSession, folders: Sequence[str], state: str, review_unknown: bool = False, log: Log | None = None) -> Run:
     """Runs all stages over the folders; those whose input has not changed since a run with the same `state` are taken from there.
 
     The key of the input is of the listing: paths, sizes and times. Folders that are not there count as empty.
+    log: gets the rows of each stage that runs and what it found, counted by the job that writes them.
     """
     there = [f for f in folders if Store(spark, f).exists()]
     listing = files.scan(spark, *there)
@@ -68,6 +77,8 @@ def organize(spark: SparkSession, folders: Sequence[str], state: str, review_unk
         Stage("hashed", lambda df: hashed(spark, there, df) if there else df.withColumns({"digest": F.lit(None).cast("string"), "phash": F.lit(None).cast("string")}), version),
         Stage("extracted", extracted), Stage("marked", marked), Stage("routed", lambda df: routed(df.withColumnRenamed("folder", "source_folder"), review_unknown), f"1 {review_unknown}"),
     ]
+    if log is not None:
+        steps = [Stage(s.name, lambda df, s=s: log.watch(s.name, s.run(df), **FOUND[s.name]()), s.version) for s in steps]
     return Snapshots(spark, state).run(listing, steps)
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from lamina.__main__ import main
 from lamina.functions import scalar
-from lamina.operators import organize, review, stats
-from lamina.sources import files, images
+from lamina.operators import enrich, organize, review, stats
+from lamina.sources import files, images, reports
 
 
 def png(seed: int, side: int = 16) -> bytes:
@@ -69,6 +69,34 @@ def test_a_run_goes_from_folders_to_registries_and_resumes(spark, tree):
     assert asked.kept == ["hashed", "extracted", "marked"] and {r.folder for r in asked.result.filter("name = 'odd.png'").collect()} == {"Revision_Manual/No_Specimen_ID"}
 
 
+def test_a_run_logs_what_its_stages_found(spark, tree):
+    log = reports.Log(spark)
+    out = organize.organize(spark, [str(tree / "in")], str(tree / "state"), log=log).result
+    got = {(r.stage, r.action): r.n for r in log.close().collect()}
+    assert {n for (_, a), n in got.items() if a == "rows"} == {out.count()} and len(got) == 12
+    assert got["hashed", "pictures"] == out.filter("phash IS NOT NULL").count() == 3 and got["hashed", "unread"] == 0
+    assert (got["marked", "exact"], got["routed", "duplicates"], got["routed", "lost"], got["extracted", "specimens"]) == (2, 1, 1, 1)
+    again = reports.Log(spark)
+    assert organize.organize(spark, [str(tree / "in")], str(tree / "state"), log=again).ran == [] and again.close().count() == 0
+
+
+def test_a_cache_asks_once_and_counts(spark, tmp_path):
+    asked = []
+
+    def ask(keys):
+        rows = [(r.k, len(r.k), "no" if r.k == "bad" else None) for r in keys.collect()]
+        asked.extend(r[0] for r in rows)
+        return spark.createDataFrame(rows, "k string, n int, error string")
+
+    cache = enrich.Cache(spark, str(tmp_path / "cache"), "k string, n int", "k")
+    wanted = spark.createDataFrame([("a",), ("bb",), ("bad",), ("a",), (None,)], "k string")
+    assert sorted(map(tuple, cache.answers(wanted, ask).collect())) == [("a", 1), ("bb", 2)]
+    assert cache.counts == {"wanted": 3, "known": 0, "asked": 3, "failed": 1}
+    later = enrich.Cache(spark, str(tmp_path / "cache"), "k string, n int", "k")
+    assert sorted(map(tuple, later.answers(spark.createDataFrame([("bb",), ("bad",), ("new",)], "k string"), ask).collect())) == [("bb", 2), ("new", 3)]
+    assert later.counts == {"wanted": 3, "known": 1, "asked": 2, "failed": 1} and sorted(asked) == ["a", "bad", "bad", "bb", "new"]
+
+
 def test_a_run_over_nothing(spark, tmp_path):
     assert organize.organize(spark, [str(tmp_path / "none")], str(tmp_path / "state")).result.count() == 0
 
