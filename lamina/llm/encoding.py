@@ -76,7 +76,8 @@ def history(rows: DataFrame, key: Column, name: str, most: int = MOST) -> DataFr
             at = live.withColumn("_b", _period(level))
 
             def joined(periods: DataFrame, at: DataFrame = at) -> DataFrame:
-                p = periods.select(F.col("_k").alias("_pk"), F.col("_b").alias("_pb"), "_f", "_n", "_s")
+                # a period has a row for each fold at most, so a task holds its part of them and lines need no sorting
+                p = periods.select(F.col("_k").alias("_pk"), F.col("_b").alias("_pb"), "_f", "_n", "_s").hint("shuffle_hash")
                 # by key and period alone, so that what follows finds a period's lines together
                 out = at.join(p, (F.col("_k") == F.col("_pk")) & (F.col("_b") == F.col("_pb")) & (F.col("_f") - F.col("fold") == 0))
                 return out.withColumns({n_: F.col(n_) + F.col("_n"), s_: F.col(s_) + F.col("_s")}).drop("_pk", "_pb", "_f", "_n", "_s")
@@ -111,17 +112,19 @@ def encode(sale_lines: DataFrame, sales: DataFrame, items: DataFrame, vendors: D
     with Tables() as tables:
         # what a sale's lines share: all history, the client's segment, the client
         own = sale_lines.groupBy("sale_id").agg(F.count("*").alias("n"), F.sum(returned).alias("s"))
-        whole = at.join(own, "sale_id").withColumns({"n": F.col("n") * F.col("told"), "s": F.col("s") * F.col("told")})
-        whole = materialize(whole.join(label(clients, "client_id", "segment", "segment"), "client_id", "left").withColumn("segment", _known(F.col("segment"))))
+        whole = own.join(at.hint("shuffle_hash"), "sale_id").withColumns({"n": F.col("n") * F.col("told"), "s": F.col("s") * F.col("told")})
+        whole = materialize(whole.join(label(clients, "client_id", "segment", "segment").hint("shuffle_hash"), "client_id", "left").withColumn("segment", _known(F.col("segment"))))
         whole = history(whole, F.lit(0), "all").withColumn("base", rate(F.col("all_n"), F.col("all_s"), F.lit(BASE))).drop("all_n", "all_s")
         whole = history(whole, F.col("segment"), "segment").withColumn("segment_rate", rate(F.col("segment_n"), F.col("segment_s"), F.col("base"))).drop("segment", "segment_n", "segment_s")
         whole = history(whole, F.col("client_id"), "client")
         told = whole.select("sale_id", "client_id", "t", "fold", "told", "base", "client_n", rate(F.col("client_n"), F.col("client_s"), F.col("segment_rate")).alias("client_rate"))
 
-        lines = sale_lines.select("sale_id", F.coalesce(F.col("item_id").cast("long"), F.lit(UNKNOWN)).alias("item_id"), F.col("vendor_id").cast("long").alias("vendor_id"), returned.alias("r")).join(told, "sale_id")
-        rows = lines.groupBy("sale_id", "item_id", "vendor_id", "client_id", "t", "fold", "base", "client_n", "client_rate").agg(F.sum("told").alias("n"), F.sum(F.col("r") * F.col("told")).alias("s"))
-        rows = rows.join(label(items, "item_id", "kind", "kind"), "item_id", "left").withColumn("kind", _known(F.col("kind")))
-        rows = materialize(rows.join(label(vendors, "vendor_id", "nation_id", "nation"), "vendor_id", "left").withColumn("nation", _known(F.col("nation"))))
+        # lines are added up before they meet their sale: one with very many is spread by its items
+        lines = sale_lines.select("sale_id", F.coalesce(F.col("item_id").cast("long"), F.lit(UNKNOWN)).alias("item_id"), F.col("vendor_id").cast("long").alias("vendor_id"), returned.alias("r"))
+        lines = lines.groupBy("sale_id", "item_id", "vendor_id").agg(F.count("*").alias("n"), F.sum("r").alias("s"))
+        rows = lines.join(told.hint("shuffle_hash"), "sale_id").withColumns({"n": F.col("n") * F.col("told"), "s": F.col("s") * F.col("told")}).drop("told")
+        rows = rows.join(label(items, "item_id", "kind", "kind").hint("shuffle_hash"), "item_id", "left").withColumn("kind", _known(F.col("kind")))
+        rows = materialize(rows.join(label(vendors, "vendor_id", "nation_id", "nation").hint("shuffle_hash"), "vendor_id", "left").withColumn("nation", _known(F.col("nation"))))
         rows = history(rows, F.col("kind"), "kind").withColumn("kind_rate", rate(F.col("kind_n"), F.col("kind_s"), F.col("base"))).drop("kind", "kind_n", "kind_s")
         rows = history(rows, F.col("item_id"), "item").withColumn("item_rate", rate(F.col("item_n"), F.col("item_s"), F.col("kind_rate"))).drop("item_s", "kind_rate")
         rows = history(rows, F.col("nation"), "nation").withColumn("nation_rate", rate(F.col("nation_n"), F.col("nation_s"), F.col("base"))).drop("nation", "nation_n", "nation_s", "base")
