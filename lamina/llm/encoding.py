@@ -17,10 +17,11 @@ from lamina.llm.shared import Tables, materialize, remainder
 
 #: Microseconds of a period, each level cutting those before it.
 LEVELS = (3_600_000_000, 60_000_000, 1_000_000, 1_000, 1)
-#: Lines of a key in a period that are put in order together; a period with more is cut.
-MOST = 10_000
 #: Fixed by the query contract.
 FOLDS, WEIGHT, BASE, UNKNOWN = 5, 50, 500_000, -1
+#: Lines of a key in a period that are put in order together; a period with more is cut. Sums up to it take so many bits that all folds stand side by side in one number.
+BITS = 60 // FOLDS
+MOST = (1 << BITS) - 1
 
 
 def microseconds(at: Column) -> Column:
@@ -49,6 +50,18 @@ def _before(window: W) -> list[Column]:
     return [reduce(lambda a, b: a + b, [F.when(F.col("fold") == f, 0).otherwise(of(x, f)) for f in range(FOLDS)]) for x in "ns"]
 
 
+def _before_packed(window: W) -> list[Column]:
+    """The same where all lines of a window are `MOST` at most: one sum for n and one for s."""
+    past = window.rangeBetween(W.unboundedPreceding, -1)
+    shift = F.col("fold") * BITS
+    out = []
+    for x in "ns":
+        side_by_side = F.coalesce(F.sum(F.call_function("shiftleft", F.col(x), shift)).over(past), F.lit(0).cast("long"))
+        fold = lambda f, all_of=side_by_side: F.shiftright(all_of, f * BITS).bitwiseAND(F.lit(MOST).cast("long"))
+        out.append(reduce(lambda a, b: a + b, [F.when(F.col("fold") == f, 0).otherwise(fold(f)) for f in range(FOLDS)]))
+    return out
+
+
 def cube(lines: DataFrame, level: int) -> DataFrame:
     """(_k, _b, _f, _n, _s, size, flat): each key's periods of a level by fold, with the lines of other folds in earlier periods inside the period above (above the hours: in all).
 
@@ -56,17 +69,17 @@ def cube(lines: DataFrame, level: int) -> DataFrame:
     see a row for each period and fold: as many as the period above has, or, for hours, as many as there are.
     """
     above = [_period(level - 1).alias("_a")] if level else []
-    cells = lines.groupBy("_k", *above, _period(level).alias("_b"), "fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("lines"), F.min("t").alias("lo"), F.max("t").alias("hi"))
+    cells = lines.groupBy("_k", *above, _period(level).alias("_b"), "fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.min("t").alias("lo"), F.max("t").alias("hi"))
     order = W.partitionBy("_k", *["_a"] * bool(level)).orderBy("_b")
     here = order.rangeBetween(0, 0)
     n, s = _before(order)
-    return cells.select("_k", "_b", F.col("fold").alias("_f"), n.alias("_n"), s.alias("_s"), F.sum("lines").over(here).alias("size"), (F.min("lo").over(here) == F.max("hi").over(here)).alias("flat"))
+    return cells.select("_k", "_b", F.col("fold").alias("_f"), n.alias("_n"), s.alias("_s"), F.sum("n").over(here).alias("size"), (F.min("lo").over(here) == F.max("hi").over(here)).alias("flat"))
 
 
 def history(rows: DataFrame, key: Column, name: str, most: int = MOST) -> DataFrame:
     """Rows (t in microseconds, fold, n lines, s of them returned, …) with <name>_n and <name>_s: lines and returned ones of other folds with the same key and an earlier t.
 
-    Keys are not null. The result is a written table. A moment with any number of lines needs no order inside it, so it is joined only.
+    Keys are not null; n and s are not negative. most: `MOST` or less. The result is a written table. A moment with any number of lines needs no order inside it, so it is joined only.
     """
     n_, s_ = f"{name}_n", f"{name}_s"
     live, parts = rows.withColumns({"_k": key, n_: F.lit(0).cast("long"), s_: F.lit(0).cast("long")}), []
@@ -83,7 +96,7 @@ def history(rows: DataFrame, key: Column, name: str, most: int = MOST) -> DataFr
                 return out.withColumns({n_: F.col(n_) + F.col("_n"), s_: F.col(s_) + F.col("_s")}).drop("_pk", "_pb", "_f", "_n", "_s")
 
             parts.append(joined(closed.filter("flat")).select(*rows.columns, n_, s_))
-            n, s = _before(W.partitionBy("_k", "_b").orderBy("t"))
+            n, s = _before_packed(W.partitionBy("_k", "_b").orderBy("t"))
             parts.append(joined(closed.filter(~F.col("flat") & (F.col("size") <= most))).withColumns({n_: F.col(n_) + n, s_: F.col(s_) + s}).select(*rows.columns, n_, s_))
             dense = closed.filter(~F.col("flat") & (F.col("size") > most))
             if dense.isEmpty():  # at the last level every period is one moment
