@@ -31,9 +31,13 @@ FOUND = {
 def hashed(spark: SparkSession, folders: Sequence[str], listing: DataFrame) -> DataFrame:
     """Listed files with digest, and pictures with phash; files that cannot be read have none. Only files with a picture's suffix are decoded."""
     every = reduce(DataFrame.unionByName, [files.contents(spark, f) for f in folders])
-    seen = reduce(DataFrame.unionByName, [images.image_hashes(spark, f, files.SUFFIX_GLOB) for f in folders]).select("path", "phash")
+    seen = reduce(DataFrame.unionByName, [images.image_hashes(spark, f, files.SUFFIX_GLOB) for f in folders])
+    # sources write file:/a b and file:///a%20b for the same file
+    seen = seen.withColumn("path", F.expr("coalesce(try_url_decode(replace(path, '+', '%2B')), path)"))
+    at = lambda df: F.regexp_replace(df["path"], "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/").alias("_at")
     out = listing.join(every.withColumnRenamed("md5_hash", "digest").dropDuplicates(["path"]), "path", "left")
-    return out.join(seen.dropDuplicates(["path"]), "path", "left")
+    out = out.select("*", at(out)).join(seen.select(at(seen), "phash").groupBy("_at").agg(F.min("phash").alias("phash")), "_at", "left")
+    return out.drop("_at")
 
 
 def _taxon(level: str) -> Column:
