@@ -14,15 +14,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lamina.functions.scalar import bits_to_hex, hamming
-from lamina.sources.snapshots import written
+from lamina.functions.scalar import bits_to_hex, halves, hamming
+from lamina.sources.snapshots import few_rows, written
+
+
+#: Whole texts that are sent to a Python worker at once.
+TEXTS = 500
 
 
 def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(key, simhash, columns to keep): bit i is set if more tokens have it in the first half of their md5 than have not.
 
     A text's tokens stay in its row, so nothing is shuffled. A batch's distinct tokens are hashed once; their bits are then
-    added up by position. A text without tokens has no bit set.
+    added up by position. A text without tokens has no bit set. The result is written: texts are read and hashed once, however often it is used.
     """
     keep = keep or []
     tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), lambda t: t != "")
@@ -48,7 +52,8 @@ def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list
 
     rows = docs.select(F.col(key).alias("key"), tokens.alias("t"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("k"))
     out = rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, simhash string, k {rows.schema['k'].dataType.simpleString()}")
-    return out.select(F.col("key").alias(key), "simhash", *[F.col(f"k.`{c}`").alias(c) for c in keep])
+    with few_rows(docs.sparkSession, TEXTS):
+        return written(out.select(F.col("key").alias(key), "simhash", *[F.col(f"k.`{c}`").alias(c) for c in keep]))
 
 
 def median_bits(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -84,24 +89,38 @@ def near_hashes(left: DataFrame, right: DataFrame, most: int, phash: str, itself
     """Pairs (ha, hb, dist) of distinct hashes with 0 < dist <= most.
 
     The 64 bits are cut into bands, of which two near hashes have some in common: each combination of bands is a key that few hashes share by chance.
-    How many bands a key takes follows from the numbers of hashes, counted once.
+    How many bands a key takes follows from the numbers of hashes, counted once. Hashes go as numbers, and a pair is told by the first combination
+    that it shares only, so none has to be told from its repeats.
     """
     if not 0 < most < 64:
         raise ValueError("hashes have 64 bits: a distance from 1 to 63 is asked for")
-    sides = [written(df.select(F.col(phash).alias("h")).filter(F.col(phash).isNotNull()).distinct()) for df in ([left] if itself else [left, right])]
+    (high, low), legible = halves(F.col("h")), F.col("h").rlike("^[0-9a-fA-F]{16}$")
+    number = lambda df: df.filter(legible).select(F.shiftleft(high, 32).bitwiseOR(low).alias("x"), F.when(F.col("h") != F.lower("h"), F.col("h")).alias("raw"))
+    sides = [written(number(df.select(F.col(phash).alias("h")).distinct())) for df in ([left] if itself else [left, right])]
     sizes = [df.count() for df in sides]
     n, k = bands_for(most, sizes[0], sizes[-1])
     edge = [64 * i // n for i in range(n + 1)]
-    half = lambda at: F.lpad(F.conv(F.substring("h", at, 8), 16, 2), 32, "0")
-
-    def banded(df: DataFrame, as_: str) -> DataFrame:
-        rows = df.filter(F.col("h").rlike("^[0-9a-fA-F]{16}$")).select("h", F.concat(half(1), half(9)).alias("bits"))
-        part = lambda i: F.substring("bits", edge[i] + 1, edge[i + 1] - edge[i])
-        keys = F.array(*[F.xxhash64(F.lit(j), *[part(i) for i in c]) for j, c in enumerate(combinations(range(n), k))])
-        return rows.select(F.col("h").alias(as_), F.explode(keys).alias("key"))
-
-    pairs = banded(sides[0], "ha").join(banded(sides[-1], "hb"), "key").filter(F.col("ha") < F.col("hb") if itself else F.col("ha") != F.col("hb"))
-    return pairs.withColumn("dist", hamming(F.col("ha"), F.col("hb"))).filter(F.col("dist").between(1, most)).select("ha", "hb", "dist").distinct()
+    signed = lambda v: F.lit(v - (1 << 64) if v >> 63 else v).cast("long")
+    band = [((1 << edge[i + 1] - edge[i]) - 1) << 64 - edge[i + 1] for i in range(n)]
+    keys = list(combinations(range(n), k))
+
+    def banded(df: DataFrame, side: str) -> DataFrame:
+        cut = F.array(*[F.struct(F.lit(j).alias("j"), F.col("x").bitwiseAND(signed(sum(band[i] for i in c))).alias("part")) for j, c in enumerate(keys)])
+        rows = df.select(F.col("x").alias(f"x{side}"), F.col("raw").alias(f"raw{side}"), F.explode(cut).alias("key"))
+        return rows.select(f"x{side}", f"raw{side}", "key.j", "key.part")
+
+    differ = F.col("xa").bitwiseXOR(F.col("xb"))
+    alike = F.lit(0).cast("long")
+    for i in range(n):
+        alike = alike.bitwiseOR(F.when(differ.bitwiseAND(signed(band[i])) == 0, signed(1 << i)).otherwise(signed(0)))
+    # bands before the last of a combination that are not of it: if two hashes share one, an earlier combination has them
+    before = F.get(F.array(*[signed(sum(1 << i for i in range(c[-1]) if i not in c)) for c in keys]), F.col("j"))
+    text = lambda side: F.coalesce(f"raw{side}", F.lpad(F.lower(F.hex(f"x{side}")), 16, "0")).alias(f"h{side}")
+    # one side would pass for small before its keys are exploded, and be sent whole through the driver
+    met = banded(sides[0], "a").join(banded(sides[-1], "b").hint("merge"), ["j", "part"])
+    met = met.filter(F.bit_count(differ).between(1, most) & (alike.bitwiseAND(before) == 0))
+    pairs = met.select(text("a"), text("b"), F.bit_count(differ).alias("dist"))
+    return pairs.filter("ha < hb") if itself else pairs
 
 
 def near_pairs(left: DataFrame, right: DataFrame, most: int, key: str, phash: str, itself: bool = False) -> DataFrame:

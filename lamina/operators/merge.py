@@ -61,7 +61,7 @@ def links(staged: DataFrame, kept: DataFrame, annotated: DataFrame, most: int =
     come before it in the batch, copies or not. inside: the link stays in the batch. root: the end of the chain. Blank keys, hashes and digests match nothing.
     """
     tidy = lambda df: df.select(clean(F.col(key).cast("string")).alias("key"), clean(F.col(phash)).alias("phash"), clean(F.col(digest)).alias("digest"), F.col(order).alias("order")).filter("key IS NOT NULL").withColumn("row", F.struct("order", "key"))
-    s, k = written(tidy(staged)), tidy(kept)
+    s, k = written(tidy(staged)), written(tidy(kept))
     hashes = written(s.filter("phash IS NOT NULL").select("phash").distinct())
     outside = _by_hash(hashes, k, most).select("phash", *[F.col(c).alias(f"_{c}") for c in ("same", "near")])
     inside = _by_hash(hashes, s, most)

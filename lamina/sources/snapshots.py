@@ -11,7 +11,8 @@ import json
 import posixpath
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from hashlib import sha256
 
@@ -41,6 +42,18 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def few_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs started inside send at most so many rows at once to Python workers: a worker holds a batch whole, however large its texts are."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Store:
     """A folder of any file system that Spark reaches."""
 

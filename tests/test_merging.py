@@ -504,3 +504,21 @@ def test_bands_leave_few_candidates_by_chance():
         bands, k = fingerprint.bands_for(most, n, n)
         assert bands - k == most and n * n / 2 * fingerprint.comb(bands, k) / 2 ** (64 * k / bands) <= fingerprint.AIM * 2 * n
     assert 200_000**2 / 2 * fingerprint.comb(*fingerprint.bands_for(8, 200_000, 200_000)) / 2 ** (64 * fingerprint.bands_for(8, 200_000, 200_000)[1] / fingerprint.bands_for(8, 200_000, 200_000)[0]) < 10**7
+
+
+@pytest.mark.parametrize("itself", [False, True])
+def test_exploded_hashes_are_never_broadcast(spark, itself):
+    h = ["0" * 16, "0" * 15 + "7", "F" * 16, "f" * 15 + "E", "f" * 16, "0" * 14 + "0F", "8" + "0" * 15]
+    df = spark.createDataFrame([(x,) for x in h], "h string")
+    near = fingerprint.near_hashes(df, df, 3, "h", itself)
+    assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+    want = {(x, y) for x in h for y in h if 0 < (int(x, 16) ^ int(y, 16)).bit_count() <= 3 and (x < y or not itself)}
+    got = [(r.ha, r.hb) for r in near.collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("name", ["first_match_cascade", "merge_links", "pair_kinds", "near_pairs", "mark_duplicates", "perceptual_groups"])
+def test_texts_are_hashed_once(spark, name):
+    from lamina.plans.queries import QUERIES
+
+    assert "MapInArrow" not in QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
