@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lamina.sources.snapshots import written
+
 
 def exact_groups(files: DataFrame, digest: Column, key: str, size: str) -> DataFrame:
     """Groups of equal content with more than one file; the largest file leads, the smallest key on ties. Keys are of any type that has an order."""
@@ -32,14 +34,15 @@ def perceptual_groups(files: DataFrame, phash: str, digest: str, key: str) -> Da
 def mark_duplicates(files: DataFrame, digest: str, phash: str, key: str) -> DataFrame:
     """Each file with its duplicate_of (exact first, then perceptual among files not yet marked) and the root of that chain.
 
-    Files without a digest or hash are no duplicates by it.
+    Files without a digest or hash are no duplicates by it. The three columns are written once, and so are the links, which meet themselves.
     """
+    files = written(files.select(key, digest, phash))
     exact = files.groupBy(digest).agg(F.min(key).alias("exact_of"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
     one = files.join(exact, digest, "left").withColumn("exact_of", F.when(F.col("exact_of") != F.col(key), F.col("exact_of")))
     near = one.filter("exact_of IS NULL").groupBy(phash).agg(F.min(key).alias("near_of"))
     out = one.join(near, phash, "left").withColumn("near_of", F.when(F.col("exact_of").isNull() & (F.col("near_of") != F.col(key)), F.col("near_of")))
     kind = F.when(F.col("exact_of").isNotNull(), "exact").when(F.col("near_of").isNotNull(), "perceptual")
-    out = out.select(key, F.coalesce("exact_of", "near_of").alias("duplicate_of"), kind.alias("duplicate_type"))
+    out = written(out.select(key, F.coalesce("exact_of", "near_of").alias("duplicate_of"), kind.alias("duplicate_type")))
     # an exact original can itself point at a perceptual one, and that one at none: two steps reach the root
     step = out.select(F.col(key).alias("duplicate_of"), F.col("duplicate_of").alias("next"))
     return out.join(step, "duplicate_of", "left").select(key, "duplicate_of", "duplicate_type", F.coalesce("next", "duplicate_of", key).alias("root"))
