@@ -19,6 +19,7 @@ empty table gives no files and an empty result; other columns are left out.
 from __future__ import annotations
 
 import functools
+import gc
 import itertools
 import json
 import os
@@ -45,9 +46,9 @@ HEAD = struct.Struct("<4sHHIIIQQI")  # magic, version, lanes, block, crc of the
 MAGIC, VERSION = b"RNSF", 1
 #: Stretches that a worker remembers (as many again while it renews them), and their longest; bytes of text that it looks at together.
 #: Workers live on after a task, so what they remember stays small, and only what occurs twice in a block is worth it.
-REMEMBER, LONGEST, TEXT_BLOCK = 1 << 17, 64, 4 << 20
+REMEMBER, LONGEST, TEXT_BLOCK = 1 << 17, 64, 2 << 20
 #: Texts that are sent to a Python worker at once.
-TEXTS = 2000
+TEXTS = 500
 
 
 # --- tokenising
@@ -191,6 +192,14 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def forget() -> None:
+    """Drops the tokenizer of a worker and what it remembers: workers outlive the encoding, beside all that comes later."""
+    if pieces.cache_info().currsize:
+        pieces.cache_clear()
+        gc.collect()
+        give_back()
+
+
 # --- coding
 
 
@@ -391,6 +400,7 @@ def write(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
         frames = materialize(pack(docs, tokenizer, key, text, frame))
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            forget()
             total = np.zeros(n_ids, np.int64)
             for batch in batches:
                 for raw in batch.column("ids"):
@@ -409,6 +419,7 @@ def write(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
         held = docs.sparkSession.sparkContext.broadcast((table.raw, base))
 
         def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            forget()
             raw, base = held.value
             table = Table(np.frombuffer(raw, "<u4"))
 
@@ -433,6 +444,7 @@ def read(spark: SparkSession, paths: list[str], table_path: str, with_ids: bool
     """doc_id, start, n_tokens, ids_crc32 and, if asked for, ids of each document in the files."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         fs, at = store(table_path)
         with fs.open_input_stream(at) as f:
             table = Table(np.frombuffer(f.read(), "<u4"))

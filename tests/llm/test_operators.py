@@ -570,3 +570,15 @@ def test_url_filters(spark, limit, hot):
         assert r.key == "clash"
     assert urlfilter.judge(captures.limit(0), entries).count() == 0
     assert {r.n_active for r in urlfilter.judge(captures, entries.limit(0)).collect()} == {0}
+
+
+def test_tokenizer_goes_from_a_worker_once_texts_are_encoded(spark):
+    """One task after another in this process, as in a worker: what comes after the encoding holds no tokenizer."""
+    tokens.pieces(TOKENIZER).encode(pa.array(["a text, and a text"]))
+    assert tokens.pieces.cache_info().currsize == 1
+    tokens.forget()
+    assert tokens.pieces.cache_info().currsize == 0
+    tokens.forget()
+    docs = spark.createDataFrame([(1, "a text, and a text"), (2, None)], "doc_id long, text string")
+    got = [tuple(r) for r in tokens.round_trip(docs, TOKENIZER, with_ids=False).select("doc_id", "start").orderBy("doc_id").collect()]
+    assert got[0] == (1, 0) and got[1][1] > 1
