@@ -45,15 +45,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Jobs started inside send at most so many rows at once to Python workers: whole texts are large, and JVM and worker both hold a batch."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+def arrow_rows(spark: SparkSession, rows: int, read: bool = False) -> Iterator[None]:
+    """Jobs started inside send at most so many rows at once to Python workers: whole texts are large, and JVM and worker both hold a batch.
+
+    read: no more are decoded at once from Parquet either.
+    """
+    names = ["spark.sql.execution.arrow.maxRecordsPerBatch", *["spark.sql.parquet.columnarReaderBatchSize"] * read]
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in before.items():
+        spark.conf.set(name, str(min(rows, int(value)) if int(value) > 0 else rows))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -113,10 +118,10 @@ def discard(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cuts lineage with a Parquet table in the shared folder, so a lost executor costs a re-read only."""
+def materialize(df: DataFrame, **options: str) -> DataFrame:
+    """Cuts lineage with a Parquet table in the shared folder, so a lost executor costs a re-read only. options: of the Parquet writer."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.__dict__["working_path"] = path
     if (scope := _scope.get()) is not None:

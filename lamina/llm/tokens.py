@@ -47,8 +47,10 @@ MAGIC, VERSION = b"RNSF", 1
 #: Stretches that a worker remembers (as many again while it renews them), and their longest; bytes of text that it looks at together.
 #: Workers live on after a task, so what they remember stays small, and only what occurs twice in a block is worth it.
 REMEMBER, LONGEST, TEXT_BLOCK = 1 << 17, 64, 2 << 20
-#: Texts that are sent to a Python worker at once.
-TEXTS = 500
+#: Texts, and frames, that are sent to a Python worker at once.
+TEXTS, FRAMES = 500, 1
+#: A page of Parquet ends with the frame that fills it, else no page ends before its hundredth row: pages are compressed whole, outside the heap.
+PAGES = {"parquet.page.size.row.check.min": "1"}
 
 
 # --- tokenising
@@ -396,8 +398,9 @@ def write(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
     folder = folder or shared_dir(docs.sparkSession)
     n_ids = max(Tokenizer.from_file(tokenizer).get_vocab_size(), END + 1)
     kind = np.dtype("<u2" if n_ids <= 1 << 16 else "<u4")
-    with Tables(), arrow_rows(docs.sparkSession, TEXTS):
-        frames = materialize(pack(docs, tokenizer, key, text, frame))
+    spark = docs.sparkSession
+    with Tables(), arrow_rows(spark, TEXTS):
+        frames = materialize(pack(docs, tokenizer, key, text, frame), **PAGES)
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             forget()
@@ -408,7 +411,8 @@ def write(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict({"id": pa.array(at, pa.int64()), "n": pa.array(total[at], pa.int64())})
 
-        got = frames.select("ids").mapInArrow(frugal(count), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # one row for each id
+        with arrow_rows(spark, FRAMES, read=True):
+            got = frames.select("ids").mapInArrow(frugal(count), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # one row for each id
         counts = np.zeros(n_ids, np.int64)
         counts[got["id"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
         table = Table(quantise(counts))
@@ -416,7 +420,7 @@ def write(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
         base, total = {}, 0
         for r in frames.groupBy("shard").agg(F.sum("n").alias("n")).orderBy("shard").collect():  # one row for each shard
             base[r["shard"]], total = total, total + r["n"]
-        held = docs.sparkSession.sparkContext.broadcast((table.raw, base))
+        held = spark.sparkContext.broadcast((table.raw, base))
 
         def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             forget()
@@ -436,7 +440,8 @@ def write(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
                 size = put(path, coded(itertools.chain([first], run)))
                 yield pa.RecordBatch.from_pydict({"path": [path], "bytes": [size]})
 
-        made = frames.mapInArrow(frugal(code), "path string, bytes long").collect()  # one short row for each file
+        with arrow_rows(spark, FRAMES, read=True):
+            made = frames.mapInArrow(frugal(code), "path string, bytes long").collect()  # one short row for each file
         return sorted(r["path"] for r in made), f"{folder}/table.freq"
 
 

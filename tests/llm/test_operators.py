@@ -427,6 +427,25 @@ def test_tokens_of_repeated_and_null_keys_in_several_frames(spark, frame):
     assert sorted(((r.doc_id or 0, r.ids) for r in got)) == sorted(((k or 0, ids(t)) for k, t in rows))
 
 
+def test_frames_go_to_workers_one_at_a_time(spark, monkeypatch):
+    """A shard has the more frames the more it holds; JVM and worker held all of them at once."""
+    frugal = tokens.frugal
+
+    def watched(run):
+        def alone(batches):
+            for b in batches:
+                assert "ids" not in b.schema.names or b.num_rows == 1, f"{b.num_rows} frames at once"
+                yield b
+
+        return frugal(lambda batches: run(alone(batches)))
+
+    monkeypatch.setattr(tokens, "frugal", watched)
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(40)], "doc_id long, text string")
+    before = [spark.conf.get(f"spark.sql.{c}") for c in ("execution.arrow.maxRecordsPerBatch", "parquet.columnarReaderBatchSize")]
+    assert tokens.round_trip(docs, TOKENIZER, frame=5).count() == 40
+    assert before == [spark.conf.get(f"spark.sql.{c}") for c in ("execution.arrow.maxRecordsPerBatch", "parquet.columnarReaderBatchSize")]
+
+
 def test_coding_of_long_and_damaged_frames():
     ids = np.random.default_rng(1).zipf(1.3, 200_001) % 5000
     table = tokens.Table(tokens.quantise(np.bincount(ids, minlength=5000)))
