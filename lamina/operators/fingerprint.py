@@ -18,14 +18,14 @@ from lamina.functions.scalar import bits_to_hex, halves, hamming
 from lamina.sources.snapshots import few_rows, written
 
 
-#: Whole texts that are sent to a Python worker at once.
-TEXTS = 500
+#: Whole texts that are sent to a Python worker at once, and tokens that it looks at together; a text of more stands alone.
+TEXTS, TOKENS = 500, 1 << 18
 
 
 def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(key, simhash, columns to keep): bit i is set if more tokens have it in the first half of their md5 than have not.
 
-    A text's tokens stay in its row, so nothing is shuffled. A batch's distinct tokens are hashed once; their bits are then
+    A text's tokens stay in its row, so nothing is shuffled. Distinct tokens of a part of a batch are hashed once; their bits are then
     added up by position. A text without tokens has no bit set. The result is written: texts are read and hashed once, however often it is used.
     """
     keep = keep or []
@@ -35,20 +35,24 @@ def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list
         for batch in batches:
             column = batch.column("t")
             at = np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))]).astype(np.int64)
-            coded = column.flatten().dictionary_encode()
-            raw = np.frombuffer(b"".join([md5(t).digest()[:8] for t in coded.dictionary.cast(pa.binary()).to_pylist()]), np.uint8).reshape(-1, 8)
-            word = coded.indices.to_numpy()
+            flat = column.flatten()
             sums = np.zeros((len(column), 64), np.int64)
             i = 0
             while i < len(column):  # about a quarter million tokens at a time
-                j = max(i + 1, int(np.searchsorted(at, at[i] + (1 << 18), "right")) - 1)
+                j = max(i + 1, int(np.searchsorted(at, at[i] + TOKENS, "right")) - 1)
                 full = i + np.flatnonzero(np.diff(at[i : j + 1]))
                 if len(full):
-                    bits = np.unpackbits(raw[word[at[i] : at[j]]], axis=1)
+                    coded = flat.slice(int(at[i]), int(at[j] - at[i])).dictionary_encode()
+                    raw = np.frombuffer(b"".join([md5(t).digest()[:8] for t in coded.dictionary.cast(pa.binary()).to_pylist()]), np.uint8).reshape(-1, 8)
+                    bits = np.unpackbits(raw[coded.indices.to_numpy()], axis=1)
                     sums[full] = np.add.reduceat(bits, at[full] - at[i], axis=0, dtype=np.int32)
+                    del coded, raw, bits
                 i = j
             out = np.packbits(2 * sums > np.diff(at)[:, None], axis=1)
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([r.tobytes().hex() for r in out], pa.string()), batch.column("k")], names=["key", "simhash", "k"])
+            # workers outlive the task, and hold what they do not give back
+            del batch, column, flat, sums, out
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(key).alias("key"), tokens.alias("t"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("k"))
     out = rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, simhash string, k {rows.schema['k'].dataType.simpleString()}")

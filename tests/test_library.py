@@ -128,3 +128,20 @@ def test_query_equals_sql(spark, name):
     assert sorted(got.columns) == sorted(want.columns)
     text = lambda rows, names: sorted(tuple(f"{r[names.index(n)]:.6g}" if isinstance(r[names.index(n)], float) else str(r[names.index(n)]) for n in sorted(names)) for r in rows)
     assert text([tuple(r) for r in got.collect()], got.columns) == text(want.fetchall(), want.columns)
+
+
+def test_tokens_are_hashed_in_parts(spark, tmp_path, monkeypatch):
+    md5, log = fingerprint.md5, str(tmp_path / "hashed")
+
+    def counted(t):
+        with open(log, "a") as f:
+            f.write("x")
+        return md5(t)
+
+    docs = spark.createDataFrame([(i, "same words here" if i % 9 else None) for i in range(40)], "doc_id long, text string").coalesce(1)
+    want = sorted(fingerprint.simhash(docs).collect())
+    monkeypatch.setattr(fingerprint, "md5", counted)
+    monkeypatch.setattr(fingerprint, "TOKENS", 9, raising=False)
+    assert sorted(fingerprint.simhash(docs).collect()) == want
+    with open(log) as f:  # 35 texts of 3 tokens, 3 texts at most in a part
+        assert len(f.read()) >= 36
