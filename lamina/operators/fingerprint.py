@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import md5
-from itertools import combinations
+from itertools import combinations, pairwise
 from math import comb
 
 import numpy as np
@@ -18,43 +18,47 @@ from lamina.functions.scalar import bits_to_hex, halves, hamming
 from lamina.sources.snapshots import few_rows, written
 
 
-#: Whole texts that are sent to a Python worker at once, and tokens that it looks at together; a text of more stands alone.
+#: Whole texts that are sent to a Python worker at once, and tokens that it looks at together.
 TEXTS, TOKENS = 500, 1 << 18
+#: The four bits of the high and of the low half of each byte, 16 bits apart: so many tokens can be added up, four positions in a number.
+_bits = np.array([[sum((b >> 7 - 4 * half - q & 1) << 16 * q for q in range(4)) for half in range(2)] for b in range(256)], "<u8")
+MOST_ADDED = (1 << 16) - 1
 
 
 def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(key, simhash, columns to keep): bit i is set if more tokens have it in the first half of their md5 than have not.
 
-    A text's tokens stay in its row, so nothing is shuffled. Distinct tokens of a part of a batch are hashed once; their bits are then
-    added up by position. A text without tokens has no bit set. The result is written: texts are read and hashed once, however often it is used.
+    Arrow splits texts at ASCII white space and tokens stay in their row, so nothing is shuffled. Distinct tokens of a part of a batch are hashed once;
+    their bits are then added up by position. A text without tokens has no bit set. The result is written: texts are read and hashed once, however often it is used.
     """
     keep = keep or []
-    tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), lambda t: t != "")
+    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column("t")
-            at = np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            column = pc.ascii_split_whitespace(batch.column("t"))  # an empty token stands before and behind white space at the ends
+            parts = np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))]).astype(np.int64)
             flat = column.flatten()
+            token = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
+            at = np.concatenate([[0], np.cumsum(token)])[parts]
+            flat = flat.filter(pa.array(token))
             sums = np.zeros((len(column), 64), np.int64)
-            i = 0
-            while i < len(column):  # about a quarter million tokens at a time
-                j = max(i + 1, int(np.searchsorted(at, at[i] + TOKENS, "right")) - 1)
-                full = i + np.flatnonzero(np.diff(at[i : j + 1]))
-                if len(full):
-                    coded = flat.slice(int(at[i]), int(at[j] - at[i])).dictionary_encode()
-                    raw = np.frombuffer(b"".join([md5(t).digest()[:8] for t in coded.dictionary.cast(pa.binary()).to_pylist()]), np.uint8).reshape(-1, 8)
-                    bits = np.unpackbits(raw[coded.indices.to_numpy()], axis=1)
-                    sums[full] = np.add.reduceat(bits, at[full] - at[i], axis=0, dtype=np.int32)
-                    del coded, raw, bits
-                i = j
+            for a in range(0, int(at[-1]), TOKENS):
+                coded = flat.slice(a, TOKENS).dictionary_encode()
+                edge = np.frombuffer(coded.dictionary.buffers()[1], np.int32)[: len(coded.dictionary) + 1].tolist()
+                data = coded.dictionary.buffers()[2].to_pybytes()
+                raw = np.frombuffer(b"".join([md5(data[i:j]).digest()[:8] for i, j in pairwise(edge)]), np.uint8).reshape(-1, 8)
+                bits = _bits[raw].reshape(-1, 16)[coded.indices.to_numpy()]
+                begin = np.unique(np.concatenate([at[(at >= a) & (at < a + len(bits))], np.arange(a, a + len(bits), MOST_ADDED)]))
+                np.add.at(sums, np.searchsorted(at, begin, "right") - 1, np.add.reduceat(bits, begin - a, axis=0).view("<u2"))
+                del coded, data, raw, bits
             out = np.packbits(2 * sums > np.diff(at)[:, None], axis=1)
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([r.tobytes().hex() for r in out], pa.string()), batch.column("k")], names=["key", "simhash", "k"])
             # workers outlive the task, and hold what they do not give back
-            del batch, column, flat, sums, out
+            del batch, column, flat, token, sums, out
             pa.default_memory_pool().release_unused()
 
-    rows = docs.select(F.col(key).alias("key"), tokens.alias("t"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("k"))
+    rows = docs.select(F.col(key).alias("key"), lowered.alias("t"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("k"))
     out = rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, simhash string, k {rows.schema['k'].dataType.simpleString()}")
     with few_rows(docs.sparkSession, TEXTS):
         return written(out.select(F.col("key").alias(key), "simhash", *[F.col(f"k.`{c}`").alias(c) for c in keep]))
@@ -122,9 +126,11 @@ def near_hashes(left: DataFrame, right: DataFrame, most: int, phash: str, itself
     text = lambda side: F.coalesce(f"raw{side}", F.lpad(F.lower(F.hex(f"x{side}")), 16, "0")).alias(f"h{side}")
     # one side would pass for small before its keys are exploded, and be sent whole through the driver
     met = banded(sides[0], "a").join(banded(sides[-1], "b").hint("merge"), ["j", "part"])
+    if itself:  # each pair in one order only, before any of its texts is made
+        met = met.filter("xa < xb")
     met = met.filter(F.bit_count(differ).between(1, most) & (alike.bitwiseAND(before) == 0))
     pairs = met.select(text("a"), text("b"), F.bit_count(differ).alias("dist"))
-    return pairs.filter("ha < hb") if itself else pairs
+    return pairs.select(F.least("ha", "hb").alias("ha"), F.greatest("ha", "hb").alias("hb"), "dist") if itself else pairs
 
 
 def near_pairs(left: DataFrame, right: DataFrame, most: int, key: str, phash: str, itself: bool = False) -> DataFrame:

@@ -1,7 +1,9 @@
 """Merges, trees of links and folders, snapshots, intake streams, patterns as data, bounded calls, provenance and reports."""
 
+import hashlib
 import json
 import random
+import re
 import time
 from collections import defaultdict
 
@@ -522,3 +524,21 @@ def test_texts_are_hashed_once(spark, name):
     from lamina.plans.queries import QUERIES
 
     assert "MapInArrow" not in QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_simhash_of_odd_and_long_texts(spark, monkeypatch):
+    """Tokens reach the worker inside their text, not as rows of an array: splitting them in the JVM took longer than hashing them."""
+    texts = [None, "", " ", "\t a \n", "A a b\x0b\x0c\r\nc", "Été\u00a0été É\x1cx \u2003y", "x " * 40 + "y", "one two three " * 30]
+    long = "p q r " * 25_000
+    df = spark.createDataFrame([*enumerate([*texts, long])], "doc_id int, text string").coalesce(1)
+
+    def brute(text):
+        digests = [int.from_bytes(hashlib.md5(t.encode()).digest()[:8], "big") for t in re.split(r"[ \t\n\x0b\f\r]+", (text or "").lower()) if t]
+        return f"{sum(1 << i for i in range(64) if 2 * sum(d >> i & 1 for d in digests) > len(digests)):016x}"
+
+    kinds = []
+    with_arrow = type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, *a, **k: kinds.append(self.schema["t"].dataType.simpleString()) or with_arrow(self, *a, **k))
+    got = {r.doc_id: r.simhash for r in fingerprint.simhash(df).collect()}
+    assert got == {i: brute(t) for i, t in enumerate([*texts, long])}
+    assert kinds == ["string"]
