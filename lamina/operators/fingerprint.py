@@ -23,20 +23,27 @@ TEXTS, TOKENS = 500, 1 << 18
 #: The four bits of the high and of the low half of each byte, 16 bits apart: so many tokens can be added up, four positions in a number.
 _bits = np.array([[sum((b >> 7 - 4 * half - q & 1) << 16 * q for q in range(4)) for half in range(2)] for b in range(256)], "<u8")
 MOST_ADDED = (1 << 16) - 1
+#: ASCII white space, and what of it `\s` means in RE2 and in SQL of DuckDB: no vertical tab.
+SPACE, RE2_SPACE = " \t\n\x0b\f\r", " \t\n\f\r"
 
 
-def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None, space: str = SPACE, blank: str | None = "0" * 16) -> DataFrame:
     """(key, simhash, columns to keep): bit i is set if more tokens have it in the first half of their md5 than have not.
 
-    Arrow splits texts at ASCII white space and tokens stay in their row, so nothing is shuffled. Distinct tokens of a part of a batch are hashed once;
-    their bits are then added up by position. A text without tokens has no bit set. The result is written: texts are read and hashed once, however often it is used.
+    Arrow lowers texts, each character by itself, and splits them at `space`; tokens stay in their row, so nothing is shuffled. Distinct tokens of a part of a batch are hashed
+    once; their bits are then added up by position. A text without tokens has no bit set, or what `blank` says. The result is written: texts are read and hashed once, however often it is used.
     """
     keep = keep or []
-    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
+    valid = F.make_valid_utf8(F.coalesce(F.col(text), F.lit("")))
+    others = [c for c in SPACE if c not in space]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = pc.ascii_split_whitespace(batch.column("t"))  # an empty token stands before and behind white space at the ends
+            column = pc.utf8_lower(batch.column("t"))
+            if any(pc.any(pc.match_substring(column, c)).as_py() for c in others):
+                column = pc.split_pattern_regex(column, f"[{space}]")
+            else:
+                column = pc.ascii_split_whitespace(column)  # an empty token stands before and behind white space at the ends
             parts = np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))]).astype(np.int64)
             flat = column.flatten()
             token = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
@@ -53,12 +60,13 @@ def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list
                 np.add.at(sums, np.searchsorted(at, begin, "right") - 1, np.add.reduceat(bits, begin - a, axis=0).view("<u2"))
                 del coded, data, raw, bits
             out = np.packbits(2 * sums > np.diff(at)[:, None], axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([r.tobytes().hex() for r in out], pa.string()), batch.column("k")], names=["key", "simhash", "k"])
+            hashes = pa.array([r.tobytes().hex() if n else blank for r, n in zip(out, np.diff(at).tolist(), strict=True)], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), hashes, batch.column("k")], names=["key", "simhash", "k"])
             # workers outlive the task, and hold what they do not give back
-            del batch, column, flat, token, sums, out
+            del batch, column, flat, token, sums, out, hashes
             pa.default_memory_pool().release_unused()
 
-    rows = docs.select(F.col(key).alias("key"), lowered.alias("t"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("k"))
+    rows = docs.select(F.col(key).alias("key"), valid.alias("t"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("k"))
     out = rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, simhash string, k {rows.schema['k'].dataType.simpleString()}")
     with few_rows(docs.sparkSession, TEXTS):
         return written(out.select(F.col("key").alias(key), "simhash", *[F.col(f"k.`{c}`").alias(c) for c in keep]))

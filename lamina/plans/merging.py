@@ -5,10 +5,12 @@ Odd documents are a staged batch, even ones the collection, of which every fifth
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from lamina.operators import merge, tree
-from lamina.plans.queries import DIST, SIMHASH, _marked, query
+from lamina.plans.queries import DIST, SIMHASH, _hashed, _md5, query
 
 MOST = 3
 
@@ -37,7 +39,9 @@ places AS (SELECT root, p, min((d, k)) AS pos FROM pieces WHERE p IS NOT NULL GR
 
 
 def _batch(documents):
-    rows = _marked(documents).selectExpr("CAST(doc_id AS STRING) AS uuid", "doc_id AS ordinal", "simhash AS phash", "digest AS md5_hash")
+    # a text without tokens is a row of blank hashes: it matches nothing and stays
+    hashed = _hashed(documents.withColumn("digest", _md5()), ["digest"])
+    rows = hashed.selectExpr("CAST(doc_id AS STRING) AS uuid", "doc_id AS ordinal", "simhash AS phash", "CASE WHEN simhash IS NOT NULL THEN digest END AS md5_hash")
     notes = documents.selectExpr("doc_id", *_columns())
     links = merge.links(rows.filter("ordinal % 2 = 1"), rows.filter("ordinal % 2 = 0"), notes.filter(_KEPT), MOST)
     return rows, notes, links
@@ -89,7 +93,8 @@ def merge_conflicts(documents):
     UNION ALL SELECT 'hashes', count(*) FROM f WHERE doc_id % 2 = 0 OR doc_id NOT IN (SELECT doc_id FROM links)) SELECT * FROM counted"""
 )
 def merge_summary(documents):
-    out = merge.summary(_merge(documents))
+    merged = _merge(documents)
+    out = merge.summary(replace(merged, hashes=merged.hashes.filter("phash IS NOT NULL")))
     return out.filter("NOT startswith(part, 'conflicts_')")
 
 

@@ -130,6 +130,20 @@ def test_query_equals_sql(spark, name):
     assert text([tuple(r) for r in got.collect()], got.columns) == text(want.fetchall(), want.columns)
 
 
+@pytest.mark.parametrize("name", ["doc_fingerprint", "near_pairs", "pair_kinds", "perceptual_groups", "mark_duplicates", "first_match_cascade", "merge_links", "merge_annotations", "merge_conflicts", "merge_summary", "merge_file_plan"])
+def test_fingerprints_of_odd_texts_equal_sql(spark, tmp_path, name):
+    """Texts without tokens have no fingerprint in SQL, which takes a vertical tab for a letter and lowers each letter by itself."""
+    words = "one two three four five six seven eight nine ten"
+    texts = [words, None, "", words + " \n", " \t\r\n ", None, "\x0b", "\x0b\x0b", f"{words}\x0bone", f"{words} one", f"ΟΔΟΣ {words}", f"οδοσ {words}", f"ΟΔΟΣ. {words}", "İstanbul", "istanbul", "a\u00a0b", "ÀÉ ß", "àé ß", words + " eleven", ""]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts * 2)]
+    c = duckdb.connect()
+    for table, df in {"documents": spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "labels": spark.createDataFrame([(i, 1, 0) for i in range(0, 40, 2)], "doc_id long, quality int, toxic int")}.items():
+        df.write.parquet(str(tmp_path / f"{table}.parquet"))
+        c.sql(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    want, got = c.sql(q.SQL[name]), q.QUERIES[name](spark, str(tmp_path))
+    assert sorted(tuple(map(str, r)) for r in got.select(*want.columns).collect()) == sorted(tuple(map(str, r)) for r in want.fetchall())
+
+
 def test_tokens_are_hashed_in_parts(spark, tmp_path, monkeypatch):
     md5, log = fingerprint.md5, str(tmp_path / "hashed")
 
